@@ -138,4 +138,7 @@ def meets(polygons: DataFrame, polygon_keys: list[str], lines: DataFrame, line_k
         & geo.quad_meets_segment(corners, F.col("sx1"), F.col("sy1"), F.col("sx2"), F.col("sy2"))
     )
     # a line has several pieces and a polygon several rings: keep each pair once
-    return touching.groupBy(*polygon_keys, *line_keys).agg(*[F.max(c).alias(c) for c in carry])
+    pairs = touching.select(*polygon_keys, *line_keys, *carry)
+    if not carry:
+        return pairs.distinct()
+    return pairs.groupBy(*polygon_keys, *line_keys).agg(*[F.max(c).alias(c) for c in carry])

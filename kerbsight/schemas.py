@@ -9,8 +9,16 @@ POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.D
 GEOM = T.ArrayType(T.ArrayType(POINT))
 
 
+_KINDS = {
+    "string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType(), "int": T.IntegerType(),
+    "timestamp": T.TimestampType(), "binary": T.BinaryType(),
+}
+
+
 def _schema(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """``name type, name type`` without needing a session, unlike the DDL parser."""
+    pairs = [column.split() for column in spec.split(",") if column.strip()]
+    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in pairs])
 
 
 CAR_COUNTS = _schema(
