@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracles
@@ -306,12 +306,7 @@ def transit_flow_gold(spark, sf):
         standin.transit_runs(spark, sf), standin.day_types(spark, sf), standin.stops(spark, sf),
         standin.gtfs_stops(spark, sf), standin.net_nodes(spark, sf), standin.net_edges(spark, sf),
     )
-    line = F.element_at("geom", 1)
-    return _round(daily.withColumns({"n_vertices": F.size(line), "length": _routed_length(line)}), length=4).drop("geom")
-
-
-def _routed_length(line: Column) -> Column:
-    return geo.part_length(line)
+    return _round(daily.withColumn("n_vertices", F.size(F.element_at("geom", 1))), length=4).drop("geom")
 
 
 def stop_match(spark, sf):

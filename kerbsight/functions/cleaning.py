@@ -10,13 +10,15 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# plain decimal notation; a cast alone would also take "NaN", "Infinity" and "12d"
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def number(c: Column | str, fill: float | None = None) -> Column:
-    """Text to double; junk and NaN become NULL, or ``fill`` when one is given."""
-    text = F.trim(_col(c).cast("string"))
-    value = text.try_cast("double")
-    # a trailing d or f is a Java literal suffix, not a number in a data file
-    clean = F.when(~F.isnan(value) & ~text.rlike("[0-9.][dDfF]$"), value)
-    return clean if fill is None else F.coalesce(clean, F.lit(float(fill)))
+    """Text to double; junk becomes NULL, or ``fill`` when one is given."""
+    text = _col(c).cast("string")
+    value = F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return value if fill is None else F.coalesce(value, F.lit(float(fill)))
 
 
 def whole_id(c: Column | str) -> Column:

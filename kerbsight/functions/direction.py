@@ -79,8 +79,14 @@ def label_bearing(label: Column) -> Column:
     text = F.trim(F.lower(label))
     for umlaut, plain in (("ö", "oe"), ("ü", "ue"), ("ä", "ae")):
         text = F.replace(text, F.lit(umlaut), F.lit(plain))
-    hits = [F.when(text.contains(place), F.lit(float(b))) for place, b in LABEL_BEARINGS.items()]
-    return F.coalesce(*hits)
+
+    def first_hit(folded: Column) -> Column:
+        return F.coalesce(*[
+            F.when(folded.contains(place), F.lit(float(b))) for place, b in LABEL_BEARINGS.items()
+        ])
+
+    # the lambda binds the folded text, so that it is computed once for all names
+    return F.element_at(F.transform(F.array(text), first_hit), 1)
 
 
 def bearing_to_centre(lon: Column, lat: Column) -> Column:

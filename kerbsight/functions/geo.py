@@ -155,67 +155,16 @@ def sight_rings(geom: Column, **options) -> Column:
     return F.filter(rings, lambda ring: ring.isNotNull())
 
 
-def ring_moments(ring: Column) -> Column:
-    """Signed area and first moments of a ring, taken about its first vertex."""
-    o = F.element_at(ring, 1)
-    n = F.size(ring)
-
-    def add(acc: Column, i: Column) -> Column:
-        p, q = F.element_at(ring, i), F.element_at(ring, i % n + 1)
-        px, py, qx, qy = p["x"] - o["x"], p["y"] - o["y"], q["x"] - o["x"], q["y"] - o["y"]
+def polygon_centroid(vertices: list[tuple[Column, Column]]) -> tuple[Column, Column]:
+    """Centroid of one ring given as a list of coordinate columns (shoelace formula
+    about the first vertex)."""
+    ox, oy = vertices[0]
+    local = [(x - ox, y - oy) for x, y in vertices]
+    twice_area = mx = my = F.lit(0.0)
+    for (px, py), (qx, qy) in zip(local, local[1:] + local[:1]):
         cross = px * qy - qx * py
-        return F.struct(
-            (acc["a"] + cross / 2).alias("a"),
-            (acc["mx"] + (px + qx) * cross / 6).alias("mx"),
-            (acc["my"] + (py + qy) * cross / 6).alias("my"),
-        )
-
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-    return F.aggregate(F.sequence(F.lit(1), n), zero, add)
-
-
-def rings_centroid(rings: Column) -> Column:
-    """Centroid ``x,y`` of rings that do not overlap each other."""
-    o = F.element_at(F.element_at(rings, 1), 1)
-
-    def add(acc: Column, ring: Column) -> Column:
-        m = ring_moments(ring)
-        sign = F.signum(m["a"])
-        area = F.abs(m["a"])
-        head = F.element_at(ring, 1)
-        return F.struct(
-            (acc["a"] + area).alias("a"),
-            (acc["mx"] + sign * m["mx"] + area * (head["x"] - o["x"])).alias("mx"),
-            (acc["my"] + sign * m["my"] + area * (head["y"] - o["y"])).alias("my"),
-        )
-
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-    total = F.aggregate(rings, zero, add)
-    return point(
-        o["x"] + F.try_divide(total["mx"], total["a"]), o["y"] + F.try_divide(total["my"], total["a"])
-    )
-
-
-def rings_may_overlap(rings: Column) -> Column:
-    """True when the bounding boxes of two different rings overlap."""
-
-    def box(ring: Column) -> Column:
-        xs, ys = F.transform(ring, lambda v: v["x"]), F.transform(ring, lambda v: v["y"])
-        return F.struct(
-            F.array_min(xs).alias("x1"), F.array_min(ys).alias("y1"),
-            F.array_max(xs).alias("x2"), F.array_max(ys).alias("y2"),
-        )
-
-    boxes = F.transform(rings, box)
-
-    def meets_later(b: Column, i: Column) -> Column:
-        later = F.slice(boxes, i + 2, F.size(boxes))
-        return F.exists(
-            later,
-            lambda c: (b["x1"] <= c["x2"]) & (c["x1"] <= b["x2"]) & (b["y1"] <= c["y2"]) & (c["y1"] <= b["y2"]),
-        )
-
-    return (F.size(rings) > 1) & F.exists(F.transform(boxes, meets_later), lambda hit: hit)
+        twice_area, mx, my = twice_area + cross, mx + (px + qx) * cross, my + (py + qy) * cross
+    return ox + F.try_divide(mx, 3 * twice_area), oy + F.try_divide(my, 3 * twice_area)
 
 
 # ------------------------------------------------------------------------ predicates

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbsight.functions import geo
 
+# ship the helpers below with the job; workers need not have the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def union_centroid(rings: list[np.ndarray]) -> tuple[float, float]:
     """Centroid of the union of a few convex rings, by vertical slabs.
@@ -66,20 +71,46 @@ def union_centroid(rings: list[np.ndarray]) -> tuple[float, float]:
     return mx / area + origin[0], my / area + origin[1]
 
 
+def _apart(rings: list[np.ndarray]) -> bool:
+    """True when no two bounding boxes overlap."""
+    low, high = np.array([r.min(axis=0) for r in rings]), np.array([r.max(axis=0) for r in rings])
+    meet = (low[:, None] <= high[None]).all(axis=2) & (low[None] <= high[:, None]).all(axis=2)
+    return int(meet.sum()) == len(rings)
+
+
+def area_centroid(rings: list[np.ndarray]) -> tuple[float, float]:
+    """Centroid of the union of convex rings; a plain weighted mean when they are apart."""
+    if not _apart(rings):
+        return union_centroid(rings)
+    origin = rings[0][0]
+    area, first = 0.0, np.zeros(2)
+    for ring in rings:
+        a = ring - origin
+        b = np.roll(a, -1, axis=0)
+        cross = a[:, 0] * b[:, 1] - b[:, 0] * a[:, 1]
+        turn = 1.0 if cross.sum() >= 0 else -1.0
+        area += turn * cross.sum() / 2
+        first += turn * ((a + b) * cross[:, None]).sum(axis=0) / 6
+    return (float(origin[0] + first[0] / area), float(origin[1] + first[1] / area)) if area else (float("nan"),) * 2
+
+
 def with_centroid(areas: DataFrame, rings: str = "rings") -> DataFrame:
     """Add ``x_lon_center, y_lat_centre``, computed in degrees like the published table.
 
-    One ring, or rings apart from each other, are summed in column expressions. Only
-    rows whose rings may overlap go to Arrow batches for the true union.
+    An area of one quad is a formula on its eight coordinates. Only areas of several
+    quads, which may overlap, go to Arrow batches for the centroid of their union.
     """
-    placed = areas.withColumn("_w", geo.geom_to_wgs84(F.col(rings))).withColumn(
-        "_mixed", geo.rings_may_overlap(F.col("_w"))
-    )
-    apart = (
-        placed.filter(~F.col("_mixed")).withColumn("_c", geo.rings_centroid(F.col("_w")))
-        .withColumn("x_lon_center", F.col("_c.x")).withColumn("y_lat_centre", F.col("_c.y")).drop("_c", "_w", "_mixed")
+    ring = F.element_at(rings, 1)
+    corners = [(F.element_at(ring, i)["x"], F.element_at(ring, i)["y"]) for i in range(1, 5)]
+    flat = areas.filter(F.size(rings) == 1).withColumns({
+        f"_{axis}{i}": formula(x, y)
+        for i, (x, y) in enumerate(corners) for axis, formula in (("x", geo.lv95_to_lon), ("y", geo.lv95_to_lat))
+    })
+    x, y = geo.polygon_centroid([(F.col(f"_x{i}"), F.col(f"_y{i}")) for i in range(4)])
+    single = flat.withColumn("x_lon_center", x).withColumn("y_lat_centre", y).select(
+        *areas.columns, "x_lon_center", "y_lat_centre"
     )
-    mixed = placed.filter("_mixed").drop("_mixed")
+    several = areas.filter(F.size(rings) > 1).withColumn("_w", geo.geom_to_wgs84(F.col(rings)))
     out = T.StructType([
         *areas.schema.fields, T.StructField("x_lon_center", T.DoubleType()), T.StructField("y_lat_centre", T.DoubleType())
     ])
@@ -87,10 +118,10 @@ def with_centroid(areas: DataFrame, rings: str = "rings") -> DataFrame:
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             centres = [
-                union_centroid([np.array([(v["x"], v["y"]) for v in ring]) for ring in shape]) for shape in frame["_w"]
+                area_centroid([np.array([(v["x"], v["y"]) for v in part]) for part in shape]) for shape in frame["_w"]
             ]
             yield frame.drop(columns="_w").assign(
                 x_lon_center=[c[0] for c in centres], y_lat_centre=[c[1] for c in centres]
             )
 
-    return apart.unionByName(mixed.mapInPandas(batches, out))
+    return single.unionByName(several.mapInPandas(batches, out))

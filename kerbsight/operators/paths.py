@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbsight.functions import geo
@@ -10,22 +12,26 @@ from kerbsight.operators.network import Adjacency, adjacency
 from kerbsight.session import cut, cut_observed
 
 
-def shortest_paths(pairs: DataFrame, edges: DataFrame, levels_per_job: int = 4, max_levels: int = 100_000,
+#: with at most this many improved nodes, settled sources leave the loop
+FEW_ROWS = 50_000
+
+
+def shortest_paths(pairs: DataFrame, edges: DataFrame, max_levels: int = 100_000,
                    net: Adjacency | None = None) -> DataFrame:
     """Node sequence of the shortest path per pair: ``src, dst, pos, node, length``.
 
-    ``pairs`` holds distinct ``src, dst`` nodes. Pairs without a path, or with equal
-    ends, give no rows. Of equally long paths the one with fewer edges wins, then the
-    one with the smallest node before each node, counted from the end.
+    ``pairs`` holds ``src, dst`` nodes. Pairs without a path, or with equal ends, give
+    no rows. Of equally long paths the one with fewer edges wins, then the one with
+    the smallest node before each node, counted from the end.
     """
     net = net or adjacency(edges)
     wanted = pairs.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct()
     wanted = cut(wanted, "pairs")
-    state, hops = _distances(wanted, net, levels_per_job, max_levels)
+    state, hops = _distances(wanted, net, max_levels)
     return _walk_back(wanted, state, hops)
 
 
-def _distances(wanted: DataFrame, net: Adjacency, levels_per_job: int, max_levels: int) -> tuple[DataFrame, int]:
+def _distances(wanted: DataFrame, net: Adjacency, max_levels: int) -> tuple[DataFrame, int]:
     """Relax all sources together until no distance improves.
 
     Target nodes are in the table from the start with an infinite distance. The
@@ -44,50 +50,65 @@ def _distances(wanted: DataFrame, net: Adjacency, levels_per_job: int, max_level
         )
     )
     state = cut(state, "reach")
-    for _ in range(0, max_levels, levels_per_job):
+    settled: list[DataFrame] = []
+    relax = _Relax(net)
+    done, levels, hops = 0, 4, 0
+    while done < max_levels:
         bound = state.filter("target").groupBy("src").agg(F.max("dist").alias("bound"))
         state = state.join(bound, "src")
-        for _ in range(levels_per_job):
-            state = _relax(state, net)
+        for _ in range(levels):
+            state = relax.apply(state)
+        done += levels
         state, seen = cut_observed(
             state.drop("bound"), "reach", fresh=F.count_if("fresh"), hops=F.max(F.when(c("dist") < never, c("hops")))
         )
+        hops = max(hops, seen["hops"] or 0)
         if not seen["fresh"]:
-            return state, seen["hops"] or 0
+            return reduce(DataFrame.unionByName, settled, state), hops
+        if seen["fresh"] <= FEW_ROWS:
+            active = F.broadcast(state.filter("fresh").select("src").distinct())
+            settled.append(state.join(active, "src", "left_anti"))
+            state = state.join(active, "src", "left_semi")
+            levels = 6
     raise RuntimeError(f"distances still improving after {max_levels} levels")
 
 
-def _relax(state: DataFrame, net: Adjacency) -> DataFrame:
+class _Relax:
     """Improved nodes offer a distance to their neighbours; the smallest offer stays."""
-    c = F.col
-    goes = c("fresh") & (c("dist") < c("bound"))
-    met = state.withColumn("at", F.when(goes, c("node"))).join(
-        net.joinable().withColumnRenamed("node", "at"), "at", "left"
-    )
 
-    def row(node, dist, hops, pred, fresh, target):
-        return F.struct(
-            c("src").alias("src"), c("bound").alias("bound"), node.alias("node"), dist.alias("dist"),
-            hops.alias("hops"), pred.alias("pred"), fresh.alias("fresh"), target.alias("target"),
+    def __init__(self, net: Adjacency):
+        c = F.col
+        self.net = net
+
+        def row(node: Column, dist: Column, hops: Column, pred: Column, fresh: Column, target: Column) -> Column:
+            return F.struct(
+                c("src").alias("src"), c("bound").alias("bound"), node.alias("node"), dist.alias("dist"),
+                hops.alias("hops"), pred.alias("pred"), fresh.alias("fresh"), target.alias("target"),
+            )
+
+        old = row(c("node"), c("dist"), c("hops"), c("pred"), F.lit(False), c("target"))
+        own = F.when(F.coalesce(c("chunk"), F.lit(0)) == 0, F.array(old)).otherwise(F.array())
+        offers = F.transform(
+            "outs",
+            lambda o: row(o["v"], c("dist") + o["length"], c("hops") + 1, c("node"), F.lit(True), F.lit(False)),
         )
-
-    old = row(c("node"), c("dist"), c("hops"), c("pred"), F.lit(False), c("target"))
-    own = F.when(F.coalesce(c("chunk"), F.lit(0)) == 0, F.array(old)).otherwise(F.array())
-    offers = F.transform(
-        "outs",
-        lambda o: row(o["v"], c("dist") + o["length"], c("hops") + 1, c("node"), F.lit(True), F.lit(False)),
-    )
-    return (
-        met.select(F.explode(F.concat(own, F.coalesce(offers, F.array()))).alias("r")).select("r.*")
-        .groupBy("src", "node", "bound")
-        .agg(
+        self.at = F.when(c("fresh") & (c("dist") < c("bound")), c("node"))
+        self.emitted = F.explode(F.concat(own, F.coalesce(offers, F.array()))).alias("r")
+        self.kept = [
             F.min(F.struct("dist", "hops", "pred")).alias("best"),
             # False sorts before True: an offer that only equals the old value is not news
             F.min(F.struct("dist", "hops", "fresh")).alias("news"),
             F.bool_or("target").alias("target"),
+        ]
+
+    def apply(self, state: DataFrame) -> DataFrame:
+        met = state.withColumn("at", self.at).join(
+            self.net.joinable().withColumnRenamed("node", "at"), "at", "left"
+        )
+        return (
+            met.select(self.emitted).select("r.*").groupBy("src", "node", "bound").agg(*self.kept)
+            .select("src", "node", "bound", "best.dist", "best.hops", "best.pred", "news.fresh", "target")
         )
-        .select("src", "node", "bound", "best.dist", "best.hops", "best.pred", "news.fresh", "target")
-    )
 
 
 def _walk_back(wanted: DataFrame, state: DataFrame, hops: int) -> DataFrame:

@@ -36,13 +36,19 @@ def clean_car_counts(raw: DataFrame) -> DataFrame:
 
 def typical_day_cars(counts: DataFrame) -> DataFrame:
     """Mean flow per station, direction and hour, with the first known attributes."""
-    order_by = ["messung_dat_zeit"] + (["id"] if "id" in counts.columns else [])
-    order = F.struct(*order_by)
-    attributes = [c for c in ("lon", "lat", "ekoord", "nkoord", "msname", "zsname", "achse") if c in counts.columns]
+    order = F.struct(*(["messung_dat_zeit"] + (["id"] if "id" in counts.columns else [])))
+    names = [c for c in ("msname", "zsname", "achse") if c in counts.columns]
+    place = [c for c in ("lon", "lat", "ekoord", "nkoord") if c in counts.columns]
+    # the cleaned table has no row without a place, so its parts come from one row
     return (
         counts.dropna(subset=["msid", "richtung", "hour"])
         .groupBy("msid", "richtung", "hour")
-        .agg(F.avg("anz_fahrzeuge").alias("flow_value"), *[first_known(c, order).alias(c) for c in attributes])
+        .agg(
+            F.avg("anz_fahrzeuge").alias("flow_value"),
+            F.min_by(F.struct(*place), order).alias("_place"),
+            *[first_known(c, order).alias(c) for c in names],
+        )
+        .select("msid", "richtung", "hour", "flow_value", "_place.*", *names)
     )
 
 
@@ -123,10 +129,10 @@ def exact_quantiles(df: DataFrame, keys: list[str], columns: list[str], quantile
     wanted = F.explode(F.array(*[
         F.struct(F.lit(n).alias("quantile"), F.lit(float(q)).alias("q")) for n, q in quantiles.items()
     ]))
-    spot = c("q") * (c("_all") - 1)
+    spot = c("q") * (c("_size") - 1)
     held = (
         bins.withColumn("_before", F.coalesce(F.sum("_n").over(running), F.lit(0)))
-        .withColumn("_all", F.sum("_n").over(group))
+        .withColumn("_size", F.sum("_n").over(group))
         .select("*", wanted.alias("_w")).select("*", "_w.quantile", "_w.q")
         .withColumn("_low", F.floor(spot) + 1).withColumn("_high", F.ceil(spot) + 1)
         .filter((c("_before") < c("_high")) & (c("_before") + c("_n") >= c("_low")))

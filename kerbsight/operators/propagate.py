@@ -48,6 +48,10 @@ BIKE = PathModel(3000.0, 5.0, 0.0015, 90.0, 2.0, direction.COMFORT_BIKE)
 PED = PathModel(800.0, 3.0, 0.003, 120.0, 1.0, direction.COMFORT_PED)
 CARS = CarModel()
 
+#: with at most this many moving rows a job does several levels
+FEW_ROWS = 20_000
+BEST, ARRIVAL, CREDIT = 0, 1, 2
+
 
 # --------------------------------------------------------------- bike and pedestrian
 def path_seeds(stations: DataFrame, edges: DataFrame, total: str, in_share: str, out_share: str) -> DataFrame:
@@ -72,8 +76,8 @@ def path_seeds(stations: DataFrame, edges: DataFrame, total: str, in_share: str,
     return forth.unionByName(returning).filter(F.col("flow") > 0).withColumn("dist", F.lit(0.0))
 
 
-def propagate_paths(seeds: DataFrame, edges: DataFrame, model: PathModel, levels_per_job: int = 3,
-                    max_levels: int = 10_000, net: Adjacency | None = None) -> DataFrame:
+def propagate_paths(seeds: DataFrame, edges: DataFrame, model: PathModel, max_levels: int = 10_000,
+                    net: Adjacency | None = None) -> DataFrame:
     """Flow per ``u, v, key, hour`` of the comfort-weighted model.
 
     Every reached edge is credited the arriving flow. Arrivals are never merged: the
@@ -81,75 +85,89 @@ def propagate_paths(seeds: DataFrame, edges: DataFrame, model: PathModel, levels
     has at most ``flow / min_flow`` live rows in a level.
     """
     net = net or adjacency(edges, model.comfort)
-    cols = ["hour", "bearing", "u", "v", "key", "dist", "flow"]
+    step = _PathStep(net, model)
     may_flow = (F.col("dist") < model.max_distance) & (F.col("flow") >= model.min_flow)
-    rows = seeds.select(*cols, may_flow.alias("live"))
+    rows = seeds.select(*step.columns, may_flow.alias("live"))
     credits: list[DataFrame] = []
-    for _ in range(0, max_levels, levels_per_job):
-        for _ in range(levels_per_job):
-            rows = _path_step(rows, net, model, cols)
+    done, levels = 0, 3
+    while done < max_levels:
+        for _ in range(levels):
+            rows = step.apply(rows)
+        done += levels
         rows, seen = cut_observed(rows, "paths", live=F.count_if(F.col("live")))
         credits.append(rows.filter(~F.col("live")))
         if not seen["live"]:
             break
         rows = rows.filter("live")
+        # few rows left: more levels per job; many: write often, which also rebalances
+        levels = 6 if seen["live"] <= FEW_ROWS else 3
     else:
         raise RuntimeError(f"flows still moving after {max_levels} levels")
     every = reduce(DataFrame.unionByName, credits)
     return every.groupBy("u", "v", "key", "hour").agg(F.sum("flow").alias("flow"))
 
 
-def _path_weight(bearing: Column, dist: Column, o: Column, model: PathModel) -> Column:
-    weight = direction.power_weight(bearing, o["bearing"], model.max_arc, model.exponent) * o["comfort"]
-    allowed = (o["length"] > 0) & (dist + o["length"] <= model.max_distance)
-    return F.when(F.coalesce(allowed, F.lit(False)), F.greatest(weight, F.lit(0.0))).otherwise(0.0)
-
-
 def _sum(weights: Column) -> Column:
     return F.aggregate(weights, F.lit(0.0), lambda acc, w: acc + w)
 
 
-def _path_step(rows: DataFrame, net: Adjacency, model: PathModel, cols: list[str]) -> DataFrame:
-    """Live rows settle (credited, no longer live) and are followed by their children."""
-    c = F.col
+class _PathStep:
+    """One level: live rows settle (credited, no longer live), followed by their children.
 
-    def weights() -> Column:
-        return F.transform("outs", lambda o: _path_weight(c("bearing"), c("dist"), o, model))
+    The column expressions name columns only, so they are built once for all levels.
+    """
 
-    at = rows.withColumn("node", F.when(c("live"), c("v")))
-    if net.many_chunks:
-        totals = (
-            at.filter("live").select("node", "bearing", "dist").distinct()
-            .join(net.joinable(), "node").withColumn("part", _sum(weights()))
-            .groupBy("node", "bearing", "dist").agg(F.sum("part").alias("total"))
-            .withColumnsRenamed({"node": "tn", "bearing": "tb", "dist": "td"})
+    columns = ["hour", "bearing", "u", "v", "key", "dist", "flow"]
+
+    def __init__(self, net: Adjacency, model: PathModel):
+        c = F.col
+        self.net = net
+
+        def weight(o: Column) -> Column:
+            w = direction.power_weight(c("bearing"), o["bearing"], model.max_arc, model.exponent) * o["comfort"]
+            allowed = (o["length"] > 0) & (c("dist") + o["length"] <= model.max_distance)
+            return F.when(F.coalesce(allowed, F.lit(False)), F.greatest(w, F.lit(0.0))).otherwise(0.0)
+
+        def child(o: Column, i: Column) -> Column:
+            arriving = direction.decay_per_metre(
+                c("flow") * F.try_divide(F.get("ws", i), c("total")), o["length"], model.alpha
+            )
+            return F.struct(
+                c("hour").alias("hour"), c("bearing").alias("bearing"), c("v").alias("u"), o["v"].alias("v"),
+                o["key"].alias("key"), (c("dist") + o["length"]).alias("dist"), arriving.alias("flow"),
+                ((F.get("ws", i) > 0) & (arriving >= model.min_flow)).alias("live"),
+            )
+
+        settled = F.struct(*[c(n).alias(n) for n in self.columns], F.lit(False).alias("live"))
+        own = F.when(F.coalesce(c("chunk"), F.lit(0)) == 0, F.array(settled)).otherwise(F.array())
+        onward = F.filter(F.transform("outs", child), lambda r: F.coalesce(r["live"], F.lit(False)))
+        self.node = F.when(c("live"), c("v"))
+        self.weights = F.transform("outs", weight)
+        self.partial = _sum(self.weights)
+        self.total = _sum(c("ws"))
+        self.emitted = F.explode(F.concat(own, F.coalesce(onward, F.array()))).alias("r")
+        # a child at the distance limit is credited and goes no further
+        self.live = c("live") & (c("dist") < model.max_distance)
+
+    def apply(self, rows: DataFrame) -> DataFrame:
+        c = F.col
+        at = rows.withColumn("node", self.node)
+        if self.net.many_chunks:
+            totals = (
+                at.filter("live").select("node", "bearing", "dist").distinct()
+                .join(self.net.joinable(), "node").withColumn("part", self.partial)
+                .groupBy("node", "bearing", "dist").agg(F.sum("part").alias("total"))
+                .withColumnsRenamed({"node": "tn", "bearing": "tb", "dist": "td"})
+            )
+            at = at.join(
+                totals, (c("node") == c("tn")) & c("bearing").eqNullSafe(c("tb")) & (c("dist") == c("td")), "left"
+            ).drop("tn", "tb", "td")
+        met = at.join(self.net.joinable(), "node", "left").withColumn("ws", self.weights)
+        if not self.net.many_chunks:
+            met = met.withColumn("total", self.total)
+        return met.select(self.emitted).select(*[c(f"r.{n}") for n in self.columns], c("r.live").alias("live")).withColumn(
+            "live", self.live
         )
-        at = at.join(
-            totals, (c("node") == c("tn")) & c("bearing").eqNullSafe(c("tb")) & (c("dist") == c("td")), "left"
-        ).drop("tn", "tb", "td")
-    met = at.join(net.joinable(), "node", "left").withColumn("ws", weights())
-    if not net.many_chunks:
-        met = met.withColumn("total", _sum(c("ws")))
-
-    def child(o: Column, i: Column) -> Column:
-        arriving = direction.decay_per_metre(
-            c("flow") * F.try_divide(F.get("ws", i), c("total")), o["length"], model.alpha
-        )
-        dist = c("dist") + o["length"]
-        return F.struct(
-            c("hour").alias("hour"), c("bearing").alias("bearing"), c("v").alias("u"), o["v"].alias("v"),
-            o["key"].alias("key"), dist.alias("dist"), arriving.alias("flow"),
-            ((F.get("ws", i) > 0) & (arriving >= model.min_flow)).alias("live"),
-        )
-
-    settled = F.struct(*[c(n).alias(n) for n in cols], F.lit(False).alias("live"))
-    own = F.when(F.coalesce(c("chunk"), F.lit(0)) == 0, F.array(settled)).otherwise(F.array())
-    onward = F.filter(F.transform("outs", child), lambda r: F.coalesce(r["live"], F.lit(False)))
-    # a child below the thresholds of the next step is credited there and goes no further
-    rows_out = F.concat(own, F.coalesce(onward, F.array()))
-    return met.select(F.explode(rows_out).alias("r")).select("r.*").withColumn(
-        "live", c("live") & (c("dist") < model.max_distance)
-    )
 
 
 # ---------------------------------------------------------------------------- cars
@@ -164,84 +182,117 @@ def propagate_cars(seeds: DataFrame, edges: DataFrame, model: CarModel = CARS, m
     arrival order and one window per (seed, node) reproduces the queue exactly.
     """
     net = net or adjacency(edges)
+    step = _CarStep(net, model)
     c = F.col
-    fresh = seeds.filter(c("flow").isNotNull() & c("bearing").isNotNull()).select(
-        F.lit(1).alias("kind"), "seed", c("hour").cast("int").alias("hour"), "bearing", "node",
+    starts = seeds.filter(c("flow").isNotNull() & c("bearing").isNotNull()).select(
+        F.lit(ARRIVAL).alias("kind"), "seed", c("hour").cast("int").alias("hour"), "bearing", "node",
         F.lit(0.0).alias("dist"), c("flow").cast("double").alias("flow"), F.lit("").alias("path"),
         F.lit(None).cast("bigint").alias("u"), F.lit(None).cast("int").alias("key"), F.lit(0.0).alias("edge_flow"),
     )
-    moves = (c("dist") <= model.max_distance) & (c("flow") >= model.min_flow)
-    rows, credits = cut(fresh, "cars"), []
-    for _ in range(max_levels):
-        active = rows.filter((c("kind") == 0) | moves)
-        rows, seen = cut_observed(
-            _car_step(active, net, model), "cars", moving=F.count_if((c("kind") == 1) & moves)
-        )
-        credits.append(rows.filter("kind = 1"))
+    rows = cut(starts.filter((c("dist") <= model.max_distance) & (c("flow") >= model.min_flow)), "cars")
+    credits: list[DataFrame] = []
+    done, levels = 0, 1
+    while done < max_levels:
+        for _ in range(levels):
+            rows = step.apply(rows)
+        done += levels
+        rows, seen = cut_observed(rows, "cars", moving=F.count_if(c("kind") == ARRIVAL))
+        credits.append(rows.filter(c("u").isNotNull()))
         if not seen["moving"]:
             break
+        # arrivals of this table are credited now; forget it for their next step
+        rows = rows.filter(c("kind") != CREDIT).withColumn("u", F.lit(None).cast("bigint"))
+        levels = 1
+        if seen["moving"] <= FEW_ROWS:
+            # seeds at rest need their node distances no more
+            active = rows.filter(c("kind") == ARRIVAL).select("seed").distinct()
+            rows = rows.join(F.broadcast(active), "seed", "left_semi")
+            levels = 4
     else:
         raise RuntimeError(f"flows still moving after {max_levels} levels")
     every = reduce(DataFrame.unionByName, credits)
     return every.groupBy("u", c("node").alias("v"), "key", "hour").agg(F.sum("edge_flow").alias("total_flow"))
 
 
-def _car_step(rows: DataFrame, net: Adjacency, model: CarModel) -> DataFrame:
-    """One level: keep the best distance per (seed, node) and emit the children."""
-    c = F.col
-    group = Window.partitionBy("seed", "node")
-    queue = group.orderBy("kind", "path")
-    judged = (
-        rows.withColumn("earlier", F.min("dist").over(queue.rowsBetween(Window.unboundedPreceding, -1)))
-        .withColumn("turn", F.row_number().over(queue))
-        .withColumn("best", F.min("dist").over(group))
-        .withColumn("goes", (c("kind") == 1) & (c("earlier").isNull() | (c("dist") < c("earlier"))))
-        .filter(c("goes") | (c("turn") == 1))
-        .withColumn("at", F.when(c("goes"), c("node")))
-    )
-    outs = net.joinable().withColumnRenamed("node", "at")
+class _CarStep:
+    """One level: keep the best distance per (seed, node) and emit the children.
 
-    def weights() -> Column:
-        def one(o: Column) -> Column:
+    Rows are of three kinds: ``BEST`` (smallest distance so far of a seed at a node),
+    ``ARRIVAL`` (to be judged in this level) and ``CREDIT`` (only a flow to be counted).
+    """
+
+    columns = ["kind", "seed", "hour", "bearing", "node", "dist", "flow", "path", "u", "key", "edge_flow"]
+
+    def __init__(self, net: Adjacency, model: CarModel):
+        c = F.col
+        self.net = net
+        group = Window.partitionBy("seed", "node")
+        queue = group.orderBy("kind", "path")
+        self.earlier = F.min("dist").over(queue.rowsBetween(Window.unboundedPreceding, -1))
+        self.turn = F.row_number().over(queue)
+        self.best = F.min("dist").over(group)
+        self.goes = (c("kind") == ARRIVAL) & (c("earlier").isNull() | (c("dist") < c("earlier")))
+        first = (c("turn") == 1) & c("best").isNotNull()
+        credited = (c("kind") != BEST) & c("u").isNotNull()
+        self.matters = c("goes") | first | credited
+
+        def weight(o: Column) -> Column:
             w = direction.linear_weight(c("bearing"), o["bearing"], model.max_arc)
             return F.when(w >= model.min_share, w).otherwise(0.0)
 
-        return F.transform("outs", one)
-
-    if net.many_chunks:
-        totals = (
-            judged.filter("goes").select("at", "bearing").distinct()
-            .join(outs, "at").withColumn("part", _sum(weights()))
-            .groupBy("at", "bearing").agg(F.sum("part").alias("total"))
+        def row(kind: Column, node: Column, dist: Column, flow: Column, path: Column, u: Column, key: Column, edge_flow: Column) -> Column:
+            return F.struct(
+                kind.alias("kind"), c("seed").alias("seed"), c("hour").alias("hour"), c("bearing").alias("bearing"),
+                node.alias("node"), dist.alias("dist"), flow.alias("flow"), path.alias("path"), u.alias("u"),
+                key.alias("key"), edge_flow.alias("edge_flow"),
+            )
+
+        no_dist, no_node, no_key = F.lit(None).cast("double"), F.lit(None).cast("bigint"), F.lit(None).cast("int")
+
+        def child(o: Column, i: Column) -> Column:
+            share = c("flow") * F.try_divide(F.get("ws", i), c("total"))
+            length = F.coalesce(o["length"], F.lit(0.0))
+            dist = c("dist") + length
+            flow = direction.decay_per_100m(share, length, model.decay)
+            moves = (dist <= model.max_distance) & (flow >= model.min_flow)
+            position = F.lpad(F.lower(F.hex(o["ord"])), net.ord_digits, "0")
+            return row(
+                F.when(moves, ARRIVAL).otherwise(CREDIT), o["v"], F.when(moves, dist), F.when(moves, flow),
+                F.when(moves, F.concat(c("path"), position)).otherwise(""), c("node"), o["key"].cast("int"), share,
+            )
+
+        state = row(F.lit(BEST), c("node"), c("best"), no_dist, F.lit(""), no_node, no_key, F.lit(0.0))
+        counted = row(F.lit(CREDIT), c("node"), no_dist, no_dist, F.lit(""), c("u"), c("key"), c("edge_flow"))
+        once = F.coalesce(c("chunk"), F.lit(0)) == 0
+        kept = F.concat(
+            F.when(once & first, F.array(state)).otherwise(F.array()),
+            F.when(once & credited, F.array(counted)).otherwise(F.array()),
         )
-        judged = judged.join(totals, ["at", "bearing"], "left")
-    met = judged.join(outs, "at", "left").withColumn("ws", weights())
-    if not net.many_chunks:
-        met = met.withColumn("total", _sum(c("ws")))
-
-    def child(o: Column, i: Column) -> Column:
-        credited = c("flow") * F.try_divide(F.get("ws", i), c("total"))
-        length = F.coalesce(o["length"], F.lit(0.0))
-        position = F.lpad(F.lower(F.hex(o["ord"])), net.ord_digits, "0")
-        return F.struct(
-            F.lit(1).alias("kind"), c("seed").alias("seed"), c("hour").alias("hour"), c("bearing").alias("bearing"),
-            o["v"].alias("node"), (c("dist") + length).alias("dist"),
-            direction.decay_per_100m(credited, length, model.decay).alias("flow"),
-            F.concat(c("path"), position).alias("path"),
-            c("node").alias("u"), o["key"].cast("int").alias("key"), credited.alias("edge_flow"),
+        onward = F.coalesce(F.filter(F.transform("outs", child), lambda r: r["edge_flow"] > 0), F.array())
+        self.at = F.when(c("goes"), c("node"))
+        self.weights = F.transform("outs", weight)
+        self.partial = _sum(self.weights)
+        self.total = _sum(c("ws"))
+        self.emitted = F.explode(F.concat(kept, F.when(c("goes"), onward).otherwise(F.array()))).alias("r")
+        self.results = [c(f"r.{n}") for n in self.columns]
+
+    def apply(self, rows: DataFrame) -> DataFrame:
+        judged = (
+            rows.withColumns({"earlier": self.earlier, "turn": self.turn, "best": self.best})
+            .withColumn("goes", self.goes).filter(self.matters).withColumn("at", self.at)
         )
-
-    state = F.struct(
-        F.lit(0).alias("kind"), c("seed").alias("seed"), c("hour").alias("hour"), c("bearing").alias("bearing"),
-        c("node").alias("node"), c("best").alias("dist"), F.lit(None).cast("double").alias("flow"),
-        F.lit("").alias("path"), F.lit(None).cast("bigint").alias("u"), F.lit(None).cast("int").alias("key"),
-        F.lit(0.0).alias("edge_flow"),
-    )
-    first = (c("turn") == 1) & (F.coalesce(c("chunk"), F.lit(0)) == 0)
-    own = F.when(first, F.array(state)).otherwise(F.array())
-    onward = F.filter(F.transform("outs", child), lambda r: r["edge_flow"] > 0)
-    out = F.concat(own, F.when(c("goes"), F.coalesce(onward, F.array())).otherwise(F.array()))
-    return met.select(F.explode(out).alias("r")).select("r.*")
+        outs = self.net.joinable().withColumnRenamed("node", "at")
+        if self.net.many_chunks:
+            totals = (
+                judged.filter("goes").select("at", "bearing").distinct()
+                .join(outs, "at").withColumn("part", self.partial)
+                .groupBy("at", "bearing").agg(F.sum("part").alias("total"))
+            )
+            judged = judged.join(totals, ["at", "bearing"], "left")
+        met = judged.join(outs, "at", "left").withColumn("ws", self.weights)
+        if not self.net.many_chunks:
+            met = met.withColumn("total", self.total)
+        return met.select(self.emitted).select(*self.results)
 
 
 def mass_balance(flows: DataFrame, seeds: DataFrame, flow: str = "total_flow", seed_flow: str = "flow") -> DataFrame:

@@ -57,4 +57,4 @@ def transit_flows(runs: DataFrame, day_types: DataFrame, stops: DataFrame, feed_
     near_nodes, near_edges = cut(near_nodes, "near-nodes"), cut(near_edges, "near-edges")
     lines = cut(segment_lines(hourly, stop_nodes(stops, feed_stops, near_nodes), near_nodes, near_edges), "segment-lines")
     routed = hourly.join(lines, ["haltestellen_id", "nach_hst_id"])
-    return lines, (routed if level == "hourly" else segment_days(routed, carry=["geom"]))
+    return lines, (routed if level == "hourly" else segment_days(routed, carry=["geom", "length"]))

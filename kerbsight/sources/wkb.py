@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import struct
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbsight import schemas
 
+# ship the helpers below with the job; workers need not have the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Geometry type codes of the WKB format.
 LINE, POLYGON, MULTI_LINE, MULTI_POLYGON = 2, 3, 5, 6
 _EWKB_SRID = 0x20000000
