@@ -145,33 +145,30 @@ VIEWS: dict[str, str] = {
              NULL::BIGINT AS u, NULL::INT AS key, 0.0::DOUBLE AS edge_flow
       FROM car_starts WHERE flow_value IS NOT NULL
       UNION ALL
-      SELECT unnest.kind, level + 1, seed, hour, bearing, unnest.node, unnest.dist, unnest.flow, unnest.path,
-             unnest.u, unnest.key, unnest.edge_flow
+      SELECT r.kind, level + 1, seed, hour, bearing, r.node, r.dist, r.flow, r.path, r.u, r.key, r.edge_flow
       FROM (
-        SELECT j.level, j.seed, j.hour, j.bearing, unnest(list_concat(
-          CASE WHEN first THEN [{{'kind': 0, 'node': j.node, 'dist': j.best, 'flow': NULL::DOUBLE, 'path': '',
-                                 'u': NULL::BIGINT, 'key': NULL::INT, 'edge_flow': 0.0::DOUBLE}}] ELSE [] END,
-          CASE WHEN goes THEN coalesce(o.outs, []) ELSE [] END)) AS unnest
+        SELECT level, seed, hour, bearing, unnest(list_concat(
+          CASE WHEN turn = 1 AND nth = 1 THEN [{{'kind': 0, 'node': node, 'dist': best, 'flow': NULL::DOUBLE, 'path': '',
+                 'u': NULL::BIGINT, 'key': NULL::INT, 'edge_flow': 0.0::DOUBLE}}] ELSE [] END,
+          CASE WHEN w > 0 THEN [{{'kind': 1, 'node': v, 'dist': dist + length, 'flow': flow * w / total * pow(0.985, length / 100.0),
+                 'path': path || lpad(nth::VARCHAR, 2, '0'), 'u': node, 'key': ekey, 'edge_flow': flow * w / total}}] ELSE [] END)) AS r
         FROM (
-          SELECT *, kind = 1 AND (earlier IS NULL OR dist < earlier) AS goes, turn = 1 AS first FROM (
-            SELECT *, min(dist) OVER (q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier,
-                   row_number() OVER q AS turn, min(dist) OVER (PARTITION BY seed, node) AS best,
-                   count(*) FILTER (kind = 1) OVER () AS moving
-            FROM car_rows WHERE kind = 0 OR (dist <= 5000 AND flow >= 5)
-            WINDOW q AS (PARTITION BY seed, node ORDER BY kind, path)
-          ) WHERE moving > 0
-        ) j LEFT JOIN LATERAL (
-          SELECT list({{'kind': 1, 'node': v, 'dist': j.dist + length, 'flow': j.flow * w / total * pow(0.985, length / 100.0),
-                       'path': j.path || lpad(ord::VARCHAR, 2, '0'), 'u': j.node, 'key': key,
-                       'edge_flow': j.flow * w / total}}) AS outs
+          SELECT *, sum(w) OVER (PARTITION BY seed, node, turn) AS total,
+                 row_number() OVER (PARTITION BY seed, node, turn ORDER BY v, ekey) AS nth
           FROM (
-            SELECT *, sum(w) OVER () AS total FROM (
-              SELECT e.v, e.key, e.length, row_number() OVER (ORDER BY e.v, e.key) AS ord,
-                     greatest(0.0, 1.0 - {arc('j.bearing', 'e.bearing')} / 135.0) AS w
-              FROM net_edges e WHERE e.u = j.node AND e.bearing IS NOT NULL
-            ) WHERE w >= 0.01)
-        ) o ON TRUE
-      )""",
+            SELECT j.*, e.v, e.key AS ekey, e.length,
+                   CASE WHEN greatest(0.0, 1.0 - {arc('j.bearing', 'e.bearing')} / 135.0) >= 0.01 AND e.bearing IS NOT NULL
+                        THEN greatest(0.0, 1.0 - {arc('j.bearing', 'e.bearing')} / 135.0) ELSE 0.0 END AS w
+            FROM (
+              SELECT *, kind = 1 AND (earlier IS NULL OR dist < earlier) AS goes FROM (
+                SELECT *, min(dist) OVER (q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier,
+                       row_number() OVER q AS turn, min(dist) OVER (PARTITION BY seed, node) AS best,
+                       count(*) FILTER (kind = 1) OVER (PARTITION BY seed) AS moving
+                FROM car_rows WHERE kind = 0 OR (dist <= 5000 AND flow >= 5)
+                WINDOW q AS (PARTITION BY seed, node ORDER BY kind, path)
+              ) WHERE moving > 0
+            ) j LEFT JOIN net_edges e ON e.u = CASE WHEN j.goes THEN j.node END
+          )))""",
     "car_flow": """
       SELECT u, node AS v, key, hour, sum(edge_flow) AS total_flow FROM car_rows
       WHERE kind = 1 AND u IS NOT NULL GROUP BY u, node, key, hour""",
