@@ -1,6 +1,6 @@
-"""Nearest-edge and nearest-node joins on a doubling grid.
+"""Nearest-edge and nearest-node joins on a growing grid.
 
-Round k uses cells of ``cell * 2^k`` metres. A point looks at its own cell and the
+Round k uses cells of ``cell * 4^k`` metres. A point looks at its own cell and the
 eight around it; it is settled once its best distance is no more than its distance
 to the border of that block, because nothing outside can be nearer. Only unsettled
 points go to the next, coarser round, so dense areas are served by small cells.
@@ -17,7 +17,7 @@ from kerbsight.functions import geo
 from kerbsight.operators.spatial_join import box_cells, piece_rows
 from kerbsight.session import cut_observed, row_count
 
-MAX_ROUNDS = 22
+MAX_ROUNDS = 12
 
 
 def _distance(places: int = 6) -> Column:
@@ -30,10 +30,12 @@ def _distance(places: int = 6) -> Column:
 def _nearest(points: DataFrame, point_keys: list[str], lines: DataFrame, line_keys: list[str],
              ties: bool, cell: float) -> DataFrame:
     """``points`` has unique ``point_keys`` and ``px, py``; ``lines`` has ``geom``."""
-    todo = points.select(*point_keys, "px", "py").filter(F.col("px").isNotNull() & F.col("py").isNotNull())
+    todo = points.select(*point_keys, "px", "py")
+    if lines.isEmpty():
+        raise ValueError("the network is empty")
     settled: list[DataFrame] = []
     for step in range(MAX_ROUNDS):
-        size = cell * 2**step
+        size = cell * 4**step
         pieces = box_cells(piece_rows(lines, line_keys, piece=size), ("sl", "sb", "sr", "st"), size)
         gx, gy = F.floor(F.col("px") / size), F.floor(F.col("py") / size)
         margin = F.least(
@@ -76,9 +78,6 @@ def _nearest(points: DataFrame, point_keys: list[str], lines: DataFrame, line_ke
         todo = tried.filter(~F.col("done")).select(*point_keys, "px", "py")
     else:
         raise ValueError("no network within reach of some points")
-    if not settled:
-        empty = todo.join(lines.select(*line_keys).limit(0), F.lit(False), "left")
-        return empty.select(*point_keys, *line_keys, F.lit(0.0).alias("dist")).limit(0)
     return reduce(DataFrame.unionByName, settled)
 
 
@@ -102,12 +101,13 @@ def nearest_nodes(points: DataFrame, point_keys: list[str], nodes: DataFrame, ce
 
 def _per_place(points: DataFrame, point_keys: list[str], lines: DataFrame, line_keys: list[str],
                ties: bool, cell: float) -> DataFrame:
-    places, seen = cut_observed(points.select("px", "py").distinct(), "places", n=row_count())
-    found = _nearest(
-        places.withColumn("ix", F.col("px")).withColumn("iy", F.col("py")), ["ix", "iy"], lines, line_keys, ties, cell
-    ) if seen["n"] else None
-    if found is None:
+    known = points.filter(F.col("px").isNotNull() & F.col("py").isNotNull())
+    places, seen = cut_observed(known.select(F.col("px").alias("ix"), F.col("py").alias("iy")).distinct(), "places", n=row_count())
+    if not seen["n"]:
         raise ValueError("no points to place")
+    found = _nearest(
+        places.withColumn("px", F.col("ix")).withColumn("py", F.col("iy")), ["ix", "iy"], lines, line_keys, ties, cell
+    )
     return (
         points.join(found, (points["px"] == found["ix"]) & (points["py"] == found["iy"]))
         .select(*[points[k] for k in point_keys], *[found[k] for k in line_keys], found["dist"])

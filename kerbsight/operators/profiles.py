@@ -111,46 +111,68 @@ def exact_median(df: DataFrame, keys: list[str], columns: list[str]) -> DataFram
 def exact_quantiles(df: DataFrame, keys: list[str], columns: list[str], quantiles: dict[str, float]) -> DataFrame:
     """Interpolated quantiles per group without bringing a group into one task.
 
-    Values are counted first, then counted again in coarse logarithmic bins. The bins
-    that hold the wanted positions are found from the bins alone (their number is
-    bounded), and only those bins' distinct values are ordered.
-    Result: ``keys, name, quantile, value``.
+    Values are counted first, then twice more in bins: logarithmic ones, and equal
+    ones within the bin that holds a wanted position. The bins are found from their
+    sizes alone, whose number is bounded, and only the last small bin's distinct
+    values are ordered. Result: ``keys, name, quantile, value``.
     """
     c = F.col
     by = [*keys, "name"]
     long = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(n).alias("name"), c(n).alias("_value")) for n in columns
     ])).alias("_c")).select(*keys, "_c.name", "_c._value").dropna(subset=["_value"])
-    value_bin = F.floor(F.signum("_value") * F.log2(F.abs("_value") + 1) * 64)
-    counted = long.groupBy(*by, "_value").agg(F.count(F.lit(1)).alias("_n")).withColumn("_bin", value_bin)
-    bins = counted.groupBy(*by, "_bin").agg(F.sum("_n").alias("_n"))
-    group = Window.partitionBy(*by)
-    running = group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    counted = long.groupBy(*by, "_value").agg(F.count(F.lit(1)).alias("_n"))
+
     wanted = F.explode(F.array(*[
-        F.struct(F.lit(n).alias("quantile"), F.lit(float(q)).alias("q")) for n, q in quantiles.items()
+        F.struct(F.lit(n).alias("quantile"), F.lit(float(q)).alias("_q")) for n, q in quantiles.items()
     ]))
-    spot = c("q") * (c("_size") - 1)
-    held = (
-        bins.withColumn("_before", F.coalesce(F.sum("_n").over(running), F.lit(0)))
-        .withColumn("_size", F.sum("_n").over(group))
-        .select("*", wanted.alias("_w")).select("*", "_w.quantile", "_w.q")
-        .withColumn("_low", F.floor(spot) + 1).withColumn("_high", F.ceil(spot) + 1)
-        .filter((c("_before") < c("_high")) & (c("_before") + c("_n") >= c("_low")))
-        .select(*by, "_bin", "quantile", "_before", "_low", "_high", (spot - F.floor(spot)).alias("_part"))
-    )
-    in_bin = Window.partitionBy(*by, "_bin", "quantile").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
-    placed = counted.join(held, [*by, "_bin"]).withColumn(
-        "_start", c("_before") + F.coalesce(F.sum("_n").over(in_bin), F.lit(0))
+    spot = c("_q") * (c("_size") - 1)
+    targets = (
+        counted.groupBy(*by).agg(F.sum("_n").alias("_size")).select("*", wanted.alias("_w")).select(*by, "_size", "_w.*")
+        .select(*by, "quantile", F.lit(0).cast("bigint").alias("_before"), (F.floor(spot) + 1).alias("_low"),
+                (F.ceil(spot) + 1).alias("_high"), (spot - F.floor(spot)).alias("_part"))
     )
+    group = [*by, "quantile"]
+    values = counted.join(targets, by)
+    log_bin = F.floor(F.signum("_value") * F.log2(F.abs("_value") + 1) * 64)
+    values = _holding_bins(values.withColumn("_bin", log_bin), group)
+    even_bin = F.floor((c("_value") - c("_least")) / (c("_most") - c("_least")) * 4096)
+    values = _holding_bins(values.withColumn("_bin", F.coalesce(F.when(c("_most") > c("_least"), even_bin), F.lit(0))), [*group, "_least"])
+    # the low and the high position may lie in two neighbouring bins: keep the running count per bin
+    in_bin = Window.partitionBy(*group, "_least").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
+    placed = values.withColumn("_start", c("_before") + F.coalesce(F.sum("_n").over(in_bin), F.lit(0)))
 
     def at(position: str) -> Column:
         hit = (c("_start") < c(position)) & (c("_start") + c("_n") >= c(position))
         return F.max(F.when(hit, c("_value")))
 
-    found = placed.groupBy(*by, "quantile").agg(
-        at("_low").alias("_lo"), at("_high").alias("_hi"), F.max("_part").alias("_part")
+    found = placed.groupBy(*group).agg(at("_low").alias("_lo"), at("_high").alias("_hi"), F.max("_part").alias("_part"))
+    return found.select(*group, (c("_lo") + (c("_hi") - c("_lo")) * c("_part")).alias("value"))
+
+
+def _holding_bins(values: DataFrame, group: list[str]) -> DataFrame:
+    """Keep the rows of the bins that hold a wanted position.
+
+    ``_before`` counts the rows below the current range; ``_least`` and ``_most`` become
+    the limits of each kept bin.
+    """
+    c = F.col
+    fixed = ["_before", "_low", "_high", "_part"]
+    sizes = values.groupBy(*group, *[f for f in fixed], "_bin").agg(
+        F.sum("_n").alias("_size"), F.min("_value").alias("_from"), F.max("_value").alias("_to")
+    )
+    running = Window.partitionBy(*group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    held = (
+        sizes.withColumn("_under", c("_before") + F.coalesce(F.sum("_size").over(running), F.lit(0)))
+        .filter((c("_under") < c("_high")) & (c("_under") + c("_size") >= c("_low")))
+        .select(*group, "_bin", "_under", "_from", "_to")
+    )
+    kept = values.join(held, [*group, "_bin"])
+    outer = [g for g in group if g != "_least"]
+    return kept.select(
+        *outer, "_value", "_n", c("_under").alias("_before"), "_low", "_high", "_part",
+        c("_from").alias("_least"), c("_to").alias("_most"),
     )
-    return found.select(*by, "quantile", (c("_lo") + (c("_hi") - c("_lo")) * c("_part")).alias("value"))
 
 
 # -------------------------------------------------------------------------- transit

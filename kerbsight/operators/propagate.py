@@ -89,7 +89,8 @@ def propagate_paths(seeds: DataFrame, edges: DataFrame, model: PathModel, max_le
     may_flow = (F.col("dist") < model.max_distance) & (F.col("flow") >= model.min_flow)
     rows = seeds.select(*step.columns, may_flow.alias("live"))
     credits: list[DataFrame] = []
-    done, levels = 0, 3
+    # the hub branch reads a level's rows twice, so it may not be chained within a job
+    done, levels = 0, 1 if net.many_chunks else 3
     while done < max_levels:
         for _ in range(levels):
             rows = step.apply(rows)
@@ -100,7 +101,8 @@ def propagate_paths(seeds: DataFrame, edges: DataFrame, model: PathModel, max_le
             break
         rows = rows.filter("live")
         # few rows left: more levels per job; many: write often, which also rebalances
-        levels = 6 if seen["live"] <= FEW_ROWS else 3
+        if not net.many_chunks:
+            levels = 6 if seen["live"] <= FEW_ROWS else 3
     else:
         raise RuntimeError(f"flows still moving after {max_levels} levels")
     every = reduce(DataFrame.unionByName, credits)
@@ -207,7 +209,7 @@ def propagate_cars(seeds: DataFrame, edges: DataFrame, model: CarModel = CARS, m
             # seeds at rest need their node distances no more
             active = rows.filter(c("kind") == ARRIVAL).select("seed").distinct()
             rows = rows.join(F.broadcast(active), "seed", "left_semi")
-            levels = 4
+            levels = 1 if net.many_chunks else 4
     else:
         raise RuntimeError(f"flows still moving after {max_levels} levels")
     every = reduce(DataFrame.unionByName, credits)

@@ -82,21 +82,22 @@ def merge_months(existing: DataFrame, arrived: DataFrame, key: list[str] | None
 
 def upsert_months(arrived: DataFrame, folder: str, key: list[str] | None = ("id",),
                   time: str = "messung_dat_zeit") -> None:
-    """Rewrite only the month partitions that got new rows. The merged rows are staged
-    first, because a folder cannot be read and overwritten by one job."""
+    """Rewrite only the month partitions that got new rows; rows without a month go.
+
+    The merged rows are staged first, because one job cannot read and overwrite a folder.
+    """
     spark = arrived.sparkSession
-    fresh = _with_month(snake_columns(arrived), time)
+    fresh = snake_columns(arrived)
+    fresh = cut(_with_month(fresh.filter(F.col(time).rlike(r"^\d{4}-(0[1-9]|1[0-2])-")), time), "arrived-months")
+    old = fresh.drop("year", "month").limit(0)
     if _exists(spark, folder):
-        months = fresh.select("year", "month").distinct()
-        # types come from folder names; compare and keep them as text
-        stored = spark.read.parquet(folder).withColumns({
-            "year": F.col("year").cast("string"), "month": F.lpad(F.col("month").cast("string"), 2, "0"),
-        })
-        kept = stored.join(months, ["year", "month"], "left_semi")  # at most 12 rows a year
-        fresh = _with_month(merge_months(kept.drop("year", "month"), fresh.drop("year", "month"), key, time), time)
-    else:
-        fresh = _with_month(merge_months(fresh.drop("year", "month").limit(0), fresh.drop("year", "month"), key, time), time)
-    staged = cut(fresh, "months")
+        # the touched months, at most twelve a year, prune the stored partitions
+        months = [r["m"] for r in fresh.select(F.concat_ws("-", "year", "month").alias("m")).distinct().collect()]
+        stored = spark.read.parquet(folder)
+        month = F.concat(F.col("year").cast("string"), F.lit("-"), F.lpad(F.col("month").cast("string"), 2, "0"))
+        old = stored.filter(month.isin(months)).drop("year", "month")
+    merged = _with_month(merge_months(old, fresh.drop("year", "month"), key, time), time)
+    staged = cut(merged, "months")
     staged.hint("rebalance", F.col("year"), F.col("month")).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy("year", "month").parquet(folder)
