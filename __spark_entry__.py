@@ -116,7 +116,7 @@ def visibility_quads(spark, sf):
 
 
 def visibility_centroid(spark, sf):
-    return _round(with_centroid(_areas(spark, sf)), x_lon_center=7, y_lat_centre=7).select(
+    return _round(visibility.sight_table(standin.frontages(spark, sf)), x_lon_center=7, y_lat_centre=7).select(
         "objectid", "x_lon_center", "y_lat_centre"
     )
 
@@ -130,11 +130,12 @@ def edge_ids(spark, sf):
 
 
 def flow_edge_ids(spark, sf):
-    return network.attach_edge_ids(standin.flows_bike(spark, sf), _numbered(spark, sf)).select("edge_id", "hour", "flow")
+    flows = standin.flows_bike(standin.net_edges(spark, sf).select("u", "v", "key"))
+    return network.attach_edge_ids(flows, _numbered(spark, sf)).select("edge_id", "hour", "flow")
 
 
 def _cars_with_ids(spark, sf):
-    return network.attach_edge_ids(standin.flows_cars(spark, sf), _numbered(spark, sf), strict=False)
+    return standin.flows_cars(_numbered(spark, sf).select("u", "v", "key", "edge_id"))
 
 
 def time_of_day_buckets(spark, sf):
@@ -265,7 +266,7 @@ def path_gold(mode: str):
 
 def propagate_cars(spark, sf):
     edges = standin.net_edges(spark, sf)
-    seeds = cut(car_flows.propagation_seeds(car_flows.placed_seeds(standin.counts_cars(spark, sf), edges)))
+    seeds = car_flows.propagation_seeds(car_flows.placed_seeds(standin.counts_cars(spark, sf), edges))
     return _round(propagate.propagate_cars(seeds, edges), total_flow=4)
 
 
@@ -324,14 +325,12 @@ def extent_clip(spark, sf):
 
 
 def _items(spark, sf):
-    edges = cut(_numbered(spark, sf).select("u", "v", "key", "edge_id", "geom"))
-
-    def with_ids(flows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        return edges, network.attach_edge_ids(flows, edges, strict=False)
-
+    """Gold edge and flow tables of the four modes, reduced to items."""
+    edges = _numbered(spark, sf).select("u", "v", "key", "edge_id", "geom")
+    ids = edges.select("u", "v", "key", "edge_id")
     return frontage_impressions.mode_items(
-        with_ids(standin.flows_bike(spark, sf)), with_ids(standin.flows_ped(spark, sf)),
-        with_ids(standin.flows_cars(spark, sf)), standin.flows_transit(spark, sf),
+        (edges, standin.flows_bike(ids)), (edges, standin.flows_ped(ids)), (edges, standin.flows_cars(ids)),
+        standin.flows_transit(spark, sf),
     )
 
 
@@ -356,9 +355,8 @@ def impressions_of(mode: str | None):
 
 
 def impressions_summary(spark, sf):
-    table = frontage_impressions.impressions_summary(
-        visibility.sight_table(standin.frontages(spark, sf)), _items(spark, sf)
-    )
+    areas = cut(_areas(spark, sf), "areas")
+    table = frontage_impressions.impressions_summary(with_centroid(areas), _items(spark, sf), areas)
     return _plain(imp.top_frontages(table))
 
 
@@ -367,12 +365,11 @@ def summary_check(spark, sf):
 
 
 def gold_checks(spark, sf):
-    edges = cut(_numbered(spark, sf))
+    edges = cut(_numbered(spark, sf).select("edge_id", "u", "v", "key", "geom"))
     published = wkb.to_wkb(edges.select("edge_id", "u", "v", "key", "geom"))
     return gold.gold_checks({
         "bike_edges": published, "motorized_traffic_edges": published,
-        "bike_flows": network.attach_edge_ids(standin.flows_bike(spark, sf), edges, strict=False),
-        "motorized_traffic_flows": network.attach_edge_ids(standin.flows_cars(spark, sf), edges, strict=False),
+        "bike_flows": standin.flows_bike(edges), "motorized_traffic_flows": standin.flows_cars(edges),
         "transit_flows_hourly": wkb.to_wkb(standin.flows_transit(spark, sf)),
     })
 

@@ -95,6 +95,12 @@ def part_length(part: Column) -> Column:
     )
 
 
+def has_length(part: Column) -> Column:
+    """True unless all vertices coincide."""
+    first = F.element_at(part, 1)
+    return F.exists(part, lambda v: (v["x"] != first["x"]) | (v["y"] != first["y"]))
+
+
 def extent(geom: Column) -> tuple[Column, Column, Column, Column]:
     """Smallest and largest x and y over all vertices."""
     vertices = F.flatten(geom)
@@ -146,7 +152,7 @@ def sight_quad(part: Column, distance: float = 30.0, half_angle: float = 45.0,
     outward = ray_sign if turn > 0 else -ray_sign
     crosses = base + 2.0 * outward * distance * math.sin(math.radians(half_angle)) < 0
     ring = F.when(crosses, F.array(a, b, start_ray, end_ray)).otherwise(F.array(a, b, end_ray, start_ray))
-    return F.when((F.size(part) > 1) & (part_length(part) > 0), ring)
+    return F.when(has_length(part), ring)
 
 
 def sight_rings(geom: Column, **options) -> Column:

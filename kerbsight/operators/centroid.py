@@ -100,17 +100,16 @@ def with_centroid(areas: DataFrame, rings: str = "rings") -> DataFrame:
     An area of one quad is a formula on its eight coordinates. Only areas of several
     quads, which may overlap, go to Arrow batches for the centroid of their union.
     """
-    ring = F.element_at(rings, 1)
-    corners = [(F.element_at(ring, i)["x"], F.element_at(ring, i)["y"]) for i in range(1, 5)]
-    flat = areas.filter(F.size(rings) == 1).withColumns({
-        f"_{axis}{i}": formula(x, y)
-        for i, (x, y) in enumerate(corners) for axis, formula in (("x", geo.lv95_to_lon), ("y", geo.lv95_to_lat))
+    degrees = areas.withColumn("_w", geo.geom_to_wgs84(F.col(rings)))
+    ring = F.element_at("_w", 1)
+    flat = degrees.filter(F.size(rings) == 1).withColumns({
+        f"_{axis}{i}": F.element_at(ring, i + 1)[axis] for i in range(4) for axis in ("x", "y")
     })
     x, y = geo.polygon_centroid([(F.col(f"_x{i}"), F.col(f"_y{i}")) for i in range(4)])
     single = flat.withColumn("x_lon_center", x).withColumn("y_lat_centre", y).select(
         *areas.columns, "x_lon_center", "y_lat_centre"
     )
-    several = areas.filter(F.size(rings) > 1).withColumn("_w", geo.geom_to_wgs84(F.col(rings)))
+    several = degrees.filter(F.size(rings) > 1)
     out = T.StructType([
         *areas.schema.fields, T.StructField("x_lon_center", T.DoubleType()), T.StructField("y_lat_centre", T.DoubleType())
     ])

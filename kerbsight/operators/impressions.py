@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from kerbsight.functions import geo
 from kerbsight.functions.cleaning import rounded
 from kerbsight.operators.spatial_join import meets
+from kerbsight.session import cut
 
 MODES = ["transit", "bike", "pedestrian", "motorized"]
 #: flows are summed as exact decimals, so the totals do not depend on the row order
@@ -23,8 +24,8 @@ EXACT = "decimal(28,8)"
 
 def sight_areas(frontages: DataFrame, **options) -> DataFrame:
     """Frontages with their sight ``rings``; those without any ring go."""
-    rings = frontages.withColumn("rings", geo.sight_rings(F.col("geom"), **options))
-    return rings.filter(F.size("rings") > 0)
+    walls = frontages.filter(F.exists("geom", geo.has_length))
+    return walls.withColumn("rings", geo.sight_rings(F.col("geom"), **options))
 
 
 def edge_items(edges: DataFrame, flows: DataFrame, mode: str, flow: str = "flow") -> DataFrame:
@@ -58,7 +59,8 @@ def transit_items(flows: DataFrame, exact_pairs: bool = False) -> DataFrame:
 
 def impressions(areas: DataFrame, items: list[DataFrame], hot_rows: int = 4096) -> DataFrame:
     """Per frontage and mode: corridors, total (0 places) and mean flow (2 places)."""
-    lines = reduce(DataFrame.unionByName, items)
+    # one row per edge; measured and joined, so it is written once
+    lines = cut(reduce(DataFrame.unionByName, items), "items")
     pairs = meets(areas, ["objectid"], lines, ["mode", "item"], ["corridor", "flow_sum", "flow_n"], hot_rows=hot_rows)
     total = F.sum("flow_sum")
     return pairs.groupBy("objectid", "mode").agg(

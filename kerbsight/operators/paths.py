@@ -13,7 +13,9 @@ from kerbsight.session import cut, cut_observed
 
 
 #: with at most this many improved nodes, settled sources leave the loop
-FEW_ROWS = 50_000
+FEW_ROWS = 20_000
+#: levels of one job: where offers are folded to the smallest per node
+EACH, PAIRS = [True] * 4, [False, True] * 4
 
 
 def shortest_paths(pairs: DataFrame, edges: DataFrame, max_levels: int = 100_000,
@@ -52,24 +54,28 @@ def _distances(wanted: DataFrame, net: Adjacency, max_levels: int) -> tuple[Data
     state = cut(state, "reach")
     settled: list[DataFrame] = []
     relax = _Relax(net)
-    done, levels, hops = 0, 4, 0
+    done, steps, hops = 0, EACH, 0
     while done < max_levels:
         bound = state.filter("target").groupBy("src").agg(F.max("dist").alias("bound"))
-        state = state.join(bound, "src")
-        for _ in range(levels):
-            state = relax.apply(state)
-        done += levels
+        # only improved nodes spread; they meet the full table once per job
+        moving = state.filter("fresh").join(bound, "src")
+        for fold in steps:
+            moving = relax.spread(moving)
+            moving = relax.fold(moving) if fold else moving
+        done += len(steps)
+        merged = state.withColumn("fresh", F.lit(False)).unionByName(moving.drop("bound")).groupBy("src", "node").agg(*relax.kept)
         state, seen = cut_observed(
-            state.drop("bound"), "reach", fresh=F.count_if("fresh"), hops=F.max(F.when(c("dist") < never, c("hops")))
+            merged.select(*relax.result), "reach", fresh=F.count_if("fresh"), hops=F.max(F.when(c("dist") < never, c("hops")))
         )
         hops = max(hops, seen["hops"] or 0)
         if not seen["fresh"]:
             return reduce(DataFrame.unionByName, settled, state), hops
+        steps = EACH
         if seen["fresh"] <= FEW_ROWS:
             active = F.broadcast(state.filter("fresh").select("src").distinct())
             settled.append(state.join(active, "src", "left_anti"))
             state = state.join(active, "src", "left_semi")
-            levels = 6
+            steps = PAIRS
     raise RuntimeError(f"distances still improving after {max_levels} levels")
 
 
@@ -100,15 +106,16 @@ class _Relax:
             F.min(F.struct("dist", "hops", "fresh")).alias("news"),
             F.bool_or("target").alias("target"),
         ]
+        self.result = ["src", "node", "best.dist", "best.hops", "best.pred", "news.fresh", "target"]
 
-    def apply(self, state: DataFrame) -> DataFrame:
+    def spread(self, state: DataFrame) -> DataFrame:
         met = state.withColumn("at", self.at).join(
             self.net.joinable().withColumnRenamed("node", "at"), "at", "left"
         )
-        return (
-            met.select(self.emitted).select("r.*").groupBy("src", "node", "bound").agg(*self.kept)
-            .select("src", "node", "bound", "best.dist", "best.hops", "best.pred", "news.fresh", "target")
-        )
+        return met.select(self.emitted).select("r.*")
+
+    def fold(self, state: DataFrame) -> DataFrame:
+        return state.groupBy("src", "node", "bound").agg(*self.kept).select("bound", *self.result)
 
 
 def _walk_back(wanted: DataFrame, state: DataFrame, hops: int) -> DataFrame:

@@ -137,8 +137,6 @@ def meets(polygons: DataFrame, polygon_keys: list[str], lines: DataFrame, line_k
         boxes_meet & in_cell
         & geo.quad_meets_segment(corners, F.col("sx1"), F.col("sy1"), F.col("sx2"), F.col("sy2"))
     )
-    # a line has several pieces and a polygon several rings: keep each pair once
-    pairs = touching.select(*polygon_keys, *line_keys, *carry)
-    if not carry:
-        return pairs.distinct()
-    return pairs.groupBy(*polygon_keys, *line_keys).agg(*[F.max(c).alias(c) for c in carry])
+    # a line has several pieces and a polygon several rings: keep each pair once; the
+    # carried columns belong to the line, so they do not make more groups
+    return touching.select(*polygon_keys, *line_keys, *carry).distinct()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kerbsight.functions import direction
 from kerbsight.operators import propagate
 from kerbsight.operators.nearest import nearest_edges
-from kerbsight.operators.network import attach_edge_ids, with_edge_ids
+from kerbsight.operators.network import attach_edge_ids, dense_ids, with_edge_ids
 from kerbsight.operators.profiles import car_seeds, clean_car_counts, typical_day_cars
 from kerbsight.session import cut
 
@@ -34,17 +34,18 @@ def start_nodes(seeds: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def propagation_seeds(placed: DataFrame) -> DataFrame:
-    """The columns the propagation needs; seeds without a mean flow cannot start one."""
-    return placed.filter(F.col("flow_value").isNotNull()).select(
-        F.concat_ws("\u001f", *SEED).alias("seed"), "hour", F.col("bearing_seed").alias("bearing"),
-        F.col("start_node").alias("node"), F.col("flow_value").alias("flow"),
+    """The columns the propagation needs, with a seed number; seeds without a mean flow
+    cannot start one."""
+    known = placed.filter(F.col("flow_value").isNotNull()).select(
+        *SEED, F.col("bearing_seed").alias("bearing"), F.col("start_node").alias("node"), F.col("flow_value").alias("flow")
     )
+    return dense_ids(known, SEED, "seed").select("seed", "hour", "bearing", "node", "flow")
 
 
 def car_flows(raw_counts: DataFrame, edges: DataFrame, model: propagate.CarModel = propagate.CARS) -> tuple[DataFrame, DataFrame]:
     """Edge table with ``edge_id``, and flows balanced and normalized per hour."""
     numbered = with_edge_ids(edges)
-    seeds = cut(propagation_seeds(placed_seeds(raw_counts, edges)), "car-starts")
+    seeds = propagation_seeds(placed_seeds(raw_counts, edges))
     flows = cut(propagate.propagate_cars(seeds, numbered, model), "car-flows")
     balanced = attach_edge_ids(propagate.mass_balance(flows, seeds), numbered, strict=False)
     return numbered, propagate.normalize_per_hour(balanced)

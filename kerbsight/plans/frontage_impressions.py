@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from kerbsight.operators import impressions as imp
-from kerbsight.session import cut
 
 
 def mode_items(bike: tuple[DataFrame, DataFrame], pedestrian: tuple[DataFrame, DataFrame],
@@ -19,13 +18,13 @@ def mode_items(bike: tuple[DataFrame, DataFrame], pedestrian: tuple[DataFrame, D
     ]
 
 
-def impressions_summary(visibility: DataFrame, items: list[DataFrame]) -> DataFrame:
+def impressions_summary(visibility: DataFrame, items: list[DataFrame], areas: DataFrame | None = None) -> DataFrame:
     """Summary per frontage with the position of its building.
 
-    ``visibility`` is the sight table (rings and centroid). Frontages without any
-    positive hit have no row.
+    ``visibility`` is the published sight table (rings and centroid). ``areas`` may give
+    the same frontages without centroids, where those are still to be computed.
+    Frontages without any positive hit have no row.
     """
-    visibility = cut(visibility, "visibility")
-    per_mode = imp.impressions(visibility, items)
-    table = imp.with_frontage(imp.summary(per_mode), visibility)
+    areas = visibility if areas is None else areas
+    table = imp.with_frontage(imp.summary(imp.impressions(areas, items)), areas)
     return table.join(imp.building_places(visibility), "gwr_egid")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kerbsight.functions import geo
 from kerbsight.operators.centroid import with_centroid
 from kerbsight.operators.impressions import sight_areas
+from kerbsight.session import cut
 from kerbsight.sources.wkb import drop_empty, to_wkb
 
 
@@ -21,7 +22,7 @@ def sight_table(frontages: DataFrame, wgs84: bool = False, max_rows: int | None
     if wgs84:
         lines = lines.withColumn("geom", geo.geom_to_lv95(F.col("geom")))
     areas = sight_areas(lines, **options).select("objectid", "gwr_egid", "bezeichnung", "rings")
-    return with_centroid(areas)
+    return with_centroid(cut(areas, "areas"))
 
 
 def visibility_gold(frontages: DataFrame, **options) -> DataFrame:

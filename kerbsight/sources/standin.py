@@ -182,29 +182,30 @@ def frontages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# flows of an edge table with ``u, v, key`` and, where it has one, ``edge_id``
 def _hourly(edges: DataFrame, hours: list[int]) -> DataFrame:
     return edges.withColumn("hour", F.explode(F.array(*[F.lit(h) for h in hours])))
 
 
-def flows_bike(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flows_bike(edges: DataFrame) -> DataFrame:
     u, v, h = F.col("u"), F.col("v"), F.col("hour")
     flow = (
         F.when((u + h) % 19 == 0, F.lit(None))
         .when((u + v) % 3 == 0, (u * 7 + v * 3 + h) % 200).otherwise(0).cast("double")
     )
-    return _hourly(net_edges(spark, sf_dir).select("u", "v", "key"), [7, 8, 17]).withColumn("flow", flow)
+    return _hourly(edges, [7, 8, 17]).withColumn("flow", flow)
 
 
-def flows_ped(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flows_ped(edges: DataFrame) -> DataFrame:
     u, v, h = F.col("u"), F.col("v"), F.col("hour")
     flow = F.when((u + v) % 7 == 0, (u * 5 + v + h) % 90).otherwise(0).cast("double")
-    return _hourly(net_edges(spark, sf_dir).select("u", "v", "key"), [12, 17]).withColumn("flow", flow)
+    return _hourly(edges, [12, 17]).withColumn("flow", flow)
 
 
-def flows_cars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flows_cars(edges: DataFrame) -> DataFrame:
     u, v, h = F.col("u"), F.col("v"), F.col("hour")
     flow = F.when((F.col("key") == 0) & ((u + v) % 2 == 1), (u * 11 + v * 2 + h * 13) % 900).otherwise(0).cast("double") / 4
-    return _hourly(net_edges(spark, sf_dir).select("u", "v", "key"), [6, 8, 13, 18]).withColumn("total_flow", flow)
+    return _hourly(edges, [6, 8, 13, 18]).withColumn("total_flow", flow)
 
 
 def flows_transit(spark: SparkSession, sf_dir: str) -> DataFrame:
