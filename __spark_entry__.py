@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracles
-from kerbsight import schemas
 from kerbsight.functions import cleaning, direction, geo
 from kerbsight.operators import checks, network, profiles
 from kerbsight.operators import impressions as imp
@@ -17,7 +17,7 @@ from kerbsight.operators.centroid import with_centroid
 from kerbsight.operators.nearest import nearest_edges, nearest_nodes
 from kerbsight.operators.paths import shortest_paths
 from kerbsight.operators.spatial_join import meets
-from kerbsight.plans import car_flows, frontage_impressions, gold, pedbike_flows, transit_flows, visibility
+from kerbsight.plans import car_flows, frontage_impressions, gold, ingest, pedbike_flows, transit_flows, visibility
 from kerbsight.session import cut, scratch_root
 from kerbsight.sources import landing, standin, wkb
 from kerbsight.streaming import counts as streaming
@@ -193,14 +193,12 @@ def _stream(spark, sf):
     )
 
 
-def _stream_folder(spark) -> str:
-    import uuid
-
-    return f"{scratch_root(spark)}/kerbsight/stream-{uuid.uuid4().hex}"
+def _run_folder(spark, label: str) -> str:
+    return f"{scratch_root(spark)}/kerbsight/{label}-{uuid.uuid4().hex}"
 
 
 def stream_hourly_counts(spark, sf):
-    folder = _stream_folder(spark)
+    folder = _run_folder(spark, "stream")
     streaming.collect_updates(streaming.hourly_means(_stream(spark, sf)), f"{folder}/out", f"{folder}/state")
     rows = streaming.latest(spark, f"{folder}/out", ["hour_start", "msid"])
     return _round(rows, mean_flow=6).withColumn("hour_start", c("hour_start").cast("timestamp_ntz"))
@@ -208,7 +206,7 @@ def stream_hourly_counts(spark, sf):
 
 def stream_deduped(spark, sf):
     """Every event arrives twice; one copy of each stays."""
-    folder = _stream_folder(spark)
+    folder = _run_folder(spark, "stream")
     twice = _stream(spark, sf).union(_stream(spark, sf))
     query = (
         streaming.without_repeats(twice).writeStream.format("parquet").option("path", f"{folder}/out")
@@ -384,6 +382,43 @@ def direction_counts(spark, sf):
     return checks.value_counts(_seeds(spark, sf), "richtung_typ")
 
 
+def network_extent(spark, sf):
+    west, south, east, north = geo.extent(c("geom"))
+    return standin.net_edges(spark, sf).agg(
+        F.min(west).alias("min_x"), F.min(south).alias("min_y"), F.max(east).alias("max_x"), F.max(north).alias("max_y")
+    )
+
+
+def visibility_gold(spark, sf):
+    table = visibility.visibility_gold(standin.frontages(spark, sf))
+    return _round(table, x_lon_center=7, y_lat_centre=7).select(
+        "objectid", "gwr_egid", "bezeichnung", "x_lon_center", "y_lat_centre", F.octet_length("geometry").alias("n_bytes")
+    )
+
+
+def ingest_run(spark, sf):
+    """Two ingest runs of the same source; the second finds nothing new."""
+    base = _run_folder(spark, "ingest")
+    folders = ingest.Folders(*[f"{base}/{n}" for n in ("raw", "months", "state", "audit")])
+    source = standin.counts_cars(spark, sf).withColumnsRenamed({"id": "_id", "messung_dat_zeit": "MessungDatZeit"})
+    for run_id in ("first", "second"):
+        ingest.ingest_year(source, 2024, "cars", run_id, folders)
+    runs = landing.run_summary(spark.read.parquet(folders.audit)).agg(F.sum("units_no_new_data")).scalar()
+    return spark.read.parquet(folders.months).select(
+        "id", "messung_dat_zeit", "msid", "anz_fahrzeuge", runs.alias("idle_runs")
+    )
+
+
+def stream_upsert(spark, sf):
+    """Month partitions filled from a stream of landed records."""
+    folder = _run_folder(spark, "stream")
+    counts = _stream(spark, sf).select(
+        "id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("messung_dat_zeit"), "msid", "flow"
+    )
+    streaming.ingest_months(counts, f"{folder}/months", f"{folder}/state")
+    return spark.read.parquet(f"{folder}/months").select("id", "messung_dat_zeit", "msid", "flow")
+
+
 def geometry_roundtrip(spark, sf):
     edges = standin.net_edges(spark, sf).select("u", "v", "key", "geom")
     line = F.element_at("geom", 1)
@@ -446,6 +481,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "snap_stats": snap_stats,
         "direction_counts": direction_counts,
         "geometry_roundtrip": geometry_roundtrip,
+        "network_extent": network_extent,
+        "visibility_gold": visibility_gold,
+        "ingest_run": ingest_run,
+        "stream_upsert": stream_upsert,
     }
 
 

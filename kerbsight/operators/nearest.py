@@ -4,6 +4,9 @@ Round k uses cells of ``cell * 4^k`` metres. A point looks at its own cell and t
 eight around it; it is settled once its best distance is no more than its distance
 to the border of that block, because nothing outside can be nearer. Only unsettled
 points go to the next, coarser round, so dense areas are served by small cells.
+
+Copies do no work: points that share coordinates and segments that share both ends
+are searched once. The first cell size is made smaller until no cell is crowded.
 """
 
 from __future__ import annotations
@@ -14,12 +17,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbsight.functions import geo
-from kerbsight.operators.spatial_join import box_cells, piece_rows
+from kerbsight.operators.spatial_join import box_cells, piece_rows, segment_rows
 from kerbsight.session import cut_observed, row_count
 
 MAX_ROUNDS = 12
 
 
+ENDS = ["sx1", "sy1", "sx2", "sy2"]
+BOX = ("sl", "sb", "sr", "st")
+SMALLEST_CELL = 0.5
+
+
 def _distance(places: int = 6) -> Column:
     """Squared distance, rounded so that equal distances compare equal."""
     return F.round(
@@ -27,16 +35,43 @@ def _distance(places: int = 6) -> Column:
     )
 
 
+def _same_way(segments: DataFrame) -> DataFrame:
+    """Segments from their smaller end, so that both directions of a street are equal."""
+    x1, y1, x2, y2 = (F.col(n) for n in ENDS)
+    swap = (x2 < x1) | ((x2 == x1) & (y2 < y1))
+    return segments.withColumns({
+        "sx1": F.when(swap, x2).otherwise(x1), "sy1": F.when(swap, y2).otherwise(y1),
+        "sx2": F.when(swap, x1).otherwise(x2), "sy2": F.when(swap, y1).otherwise(y2),
+    })
+
+
+def _uncrowded(unique: DataFrame, cell: float, hot_rows: int) -> float:
+    """Start with cells small enough to hold at most ``hot_rows`` segment pieces each."""
+    while cell > SMALLEST_CELL:
+        cells = box_cells(piece_rows(unique, [], cell), BOX, cell)
+        peak = cells.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if peak <= hot_rows:
+            return cell
+        cell /= 4
+    return cell
+
+
 def _nearest(points: DataFrame, point_keys: list[str], lines: DataFrame, line_keys: list[str],
-             ties: bool, cell: float) -> DataFrame:
+             ties: bool, cell: float, hot_rows: int) -> DataFrame:
     """``points`` has unique ``point_keys`` and ``px, py``; ``lines`` has ``geom``."""
-    todo = points.select(*point_keys, "px", "py")
-    if lines.isEmpty():
+    segments = _same_way(segment_rows(lines, line_keys))
+    # the smallest line stands for all lines that share a segment
+    unique, size = cut_observed(
+        segments.groupBy(*ENDS).agg(F.min(F.struct(*line_keys)).alias("line")), "segments", n=row_count()
+    )
+    if not size["n"]:
         raise ValueError("the network is empty")
+    cell = _uncrowded(unique, cell, hot_rows)
+    todo = points.select(*point_keys, "px", "py")
     settled: list[DataFrame] = []
     for step in range(MAX_ROUNDS):
         size = cell * 4**step
-        pieces = box_cells(piece_rows(lines, line_keys, piece=size), ("sl", "sb", "sr", "st"), size)
+        pieces = box_cells(piece_rows(unique, ["line"], size), BOX, size)
         gx, gy = F.floor(F.col("px") / size), F.floor(F.col("py") / size)
         margin = F.least(
             F.col("px") - (gx - 1) * size, (gx + 2) * size - F.col("px"),
@@ -46,7 +81,7 @@ def _nearest(points: DataFrame, point_keys: list[str], lines: DataFrame, line_ke
             todo.withColumn("cx", F.explode(F.sequence(gx - 1, gx + 1)))
             .withColumn("cy", F.explode(F.sequence(gy - 1, gy + 1)))
         )
-        winner = F.min(F.struct(_distance().alias("d2"), *line_keys)).alias("w")
+        winner = F.min(F.struct(_distance().alias("d2"), "line")).alias("w")
         best = block.join(pieces, ["cx", "cy"]).groupBy(*point_keys).agg(winner)
         tried = todo.join(best, point_keys, "left").withColumn(
             "done", F.coalesce(F.sqrt(F.col("w.d2")) <= margin, F.lit(False))
@@ -57,7 +92,7 @@ def _nearest(points: DataFrame, point_keys: list[str], lines: DataFrame, line_ke
         if seen["done"]:
             found = tried.filter("done")
             if ties:
-                # second look with the known radius: only the tied lines leave the join
+                # second look with the known radius: only the tied segments leave the join
                 reach = F.sqrt(F.col("w.d2")) + 1e-3
                 ring = found.select(
                     *point_keys, "px", "py", F.col("w.d2").alias("d2"),
@@ -68,10 +103,11 @@ def _nearest(points: DataFrame, point_keys: list[str], lines: DataFrame, line_ke
                     box_cells(ring, ("bl", "bb", "br", "bt"), size)
                     .join(pieces, ["cx", "cy"]).filter(_distance() <= F.col("d2"))
                 )
-                settled.append(hits.select(*point_keys, *line_keys, F.sqrt("d2").alias("dist")).distinct())
+                tied = hits.select(*point_keys, *ENDS, F.sqrt("d2").alias("dist")).distinct()
+                settled.append(tied.join(segments, ENDS).select(*point_keys, *line_keys, "dist").distinct())
             else:
                 settled.append(found.select(
-                    *point_keys, *[F.col("w")[k].alias(k) for k in line_keys], F.sqrt("w.d2").alias("dist")
+                    *point_keys, *[F.col("w.line")[k].alias(k) for k in line_keys], F.sqrt("w.d2").alias("dist")
                 ))
         if not seen["left"]:
             break
@@ -82,31 +118,31 @@ def _nearest(points: DataFrame, point_keys: list[str], lines: DataFrame, line_ke
 
 
 def nearest_edges(points: DataFrame, point_keys: list[str], edges: DataFrame, ties: bool = True,
-                  cell: float = 32.0) -> DataFrame:
+                  cell: float = 32.0, hot_rows: int = 4096) -> DataFrame:
     """Edge(s) ``u, v, key`` nearest to each point and the distance in metres.
 
     With ``ties`` all equally near edges are kept (both directions of a street share
-    their geometry); otherwise the smallest ``u, v, key`` wins. Points that share
-    coordinates are searched once.
+    their geometry); otherwise the smallest ``u, v, key`` wins.
     """
-    return _per_place(points, point_keys, edges, ["u", "v", "key"], ties, cell)
+    return _per_place(points, point_keys, edges, ["u", "v", "key"], ties, cell, hot_rows)
 
 
-def nearest_nodes(points: DataFrame, point_keys: list[str], nodes: DataFrame, cell: float = 32.0) -> DataFrame:
+def nearest_nodes(points: DataFrame, point_keys: list[str], nodes: DataFrame, cell: float = 32.0,
+                  hot_rows: int = 4096) -> DataFrame:
     """The node nearest to each point, the smallest ``node_id`` on a tie."""
     here = geo.point(F.col("x"), F.col("y"))
     dots = nodes.select("node_id", F.array(F.array(here, here)).alias("geom"))
-    return _per_place(points, point_keys, dots, ["node_id"], False, cell)
+    return _per_place(points, point_keys, dots, ["node_id"], False, cell, hot_rows)
 
 
 def _per_place(points: DataFrame, point_keys: list[str], lines: DataFrame, line_keys: list[str],
-               ties: bool, cell: float) -> DataFrame:
+               ties: bool, cell: float, hot_rows: int) -> DataFrame:
     known = points.filter(F.col("px").isNotNull() & F.col("py").isNotNull())
     places, seen = cut_observed(known.select(F.col("px").alias("ix"), F.col("py").alias("iy")).distinct(), "places", n=row_count())
     if not seen["n"]:
         raise ValueError("no points to place")
     found = _nearest(
-        places.withColumn("px", F.col("ix")).withColumn("py", F.col("iy")), ["ix", "iy"], lines, line_keys, ties, cell
+        places.withColumn("px", F.col("ix")).withColumn("py", F.col("iy")), ["ix", "iy"], lines, line_keys, ties, cell, hot_rows
     )
     return (
         points.join(found, (points["px"] == found["ix"]) & (points["py"] == found["iy"]))

@@ -36,18 +36,22 @@ def quad_rows(polygons: DataFrame, keys: list[str], rings: str = "rings") -> Dat
     )
 
 
-def piece_rows(lines: DataFrame, carry: list[str], geom: str = "geom", piece: float = 64.0) -> DataFrame:
-    """One row per line piece: carried columns, the whole segment and the piece's box.
+def segment_rows(lines: DataFrame, carry: list[str], geom: str = "geom") -> DataFrame:
+    """One row per line segment: carried columns and ``sx1, sy1, sx2, sy2``."""
+    return lines.select(*carry, F.explode(geo.geom_segments(F.col(geom))).alias("_s")).select(
+        *carry, *[F.col("_s")[n].alias(f"s{n}") for n in ("x1", "y1", "x2", "y2")]
+    )
+
+
+def piece_rows(segments: DataFrame, carry: list[str], piece: float = 64.0) -> DataFrame:
+    """One row per segment piece: carried columns, the whole segment and the piece's box.
 
     Long segments are divided so that a diagonal does not fill a square of cells;
-    the exact test later uses the undivided segment.
+    exact tests later use the undivided segment.
     """
-    seg = lines.select(*carry, F.explode(geo.geom_segments(F.col(geom))).alias("_s")).select(
-        *carry, *[F.col("_s")[n].alias(f"s{n}") for n in ("x1", "y1", "x2", "y2")]
-    )
     dx, dy = F.col("sx2") - F.col("sx1"), F.col("sy2") - F.col("sy1")
     n = F.greatest(F.lit(1), F.ceil(F.greatest(F.abs(dx), F.abs(dy)) / piece).cast("int"))
-    step = seg.withColumn("_n", n).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    step = segments.withColumn("_n", n).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
 
     def at(start: str, delta: Column, k: Column) -> Column:
         return F.col(start) + delta * k / F.col("_n")
@@ -102,7 +106,8 @@ def meets(polygons: DataFrame, polygon_keys: list[str], lines: DataFrame, line_k
     """
     carry = carry or []
     quads = box_cells(quad_rows(polygons, polygon_keys), ("pl", "pb", "pr", "pt"), cell)
-    pieces = box_cells(piece_rows(lines, line_keys + carry, piece=cell), ("sl", "sb", "sr", "st"), cell)
+    columns = line_keys + carry
+    pieces = box_cells(piece_rows(segment_rows(lines, columns), columns, cell), ("sl", "sb", "sr", "st"), cell)
     corner_x, corner_y = F.greatest("pl", "sl"), F.greatest("pb", "sb")
     in_cell = (F.floor(corner_x / cell) == F.col("cx")) & (F.floor(corner_y / cell) == F.col("cy"))
     keys = ["cx", "cy"]

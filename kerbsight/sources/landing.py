@@ -108,12 +108,9 @@ def _with_month(records: DataFrame, time: str) -> DataFrame:
 
 
 def _exists(spark: SparkSession, folder: str) -> bool:
-    try:
-        return bool(spark.read.parquet(folder).columns)
-    except Exception as error:
-        if "UNABLE_TO_INFER_SCHEMA" in str(error) or "PATH_NOT_FOUND" in str(error):
-            return False
-        raise
+    """Asks the folder's file system; trying to read it would log a failed query."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
 def append_raw(arrived: DataFrame, folder: str, time: str) -> None:

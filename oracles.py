@@ -572,6 +572,17 @@ def oracle_sql() -> dict[str, str]:
                  round(quantile_cont(dist, 0.25), 4) AS q25, round(quantile_cont(dist, 0.5), 4) AS q50,
                  round(quantile_cont(dist, 0.75), 4) AS q75, round(max(dist), 4) AS max FROM car_starts"""),
         "direction_counts": s("SELECT richtung_typ, count(*) AS n FROM car_seeds GROUP BY 1"),
+        "network_extent": s(
+            "SELECT min(least(x1, x2)) AS min_x, min(least(y1, y2)) AS min_y, max(greatest(x1, x2)) AS max_x,"
+            " max(greatest(y1, y2)) AS max_y FROM net_segments"),
+        # a ring of five vertices takes 93 bytes, a multi-polygon nine more
+        "visibility_gold": s(
+            "SELECT objectid, f.gwr_egid, f.bezeichnung, round(x_lon_center, 7) AS x_lon_center, round(y_lat_centre, 7) AS y_lat_centre,"
+            " (CASE WHEN f.n > 1 THEN 9 ELSE 0 END + 93 * f.n)::INT AS n_bytes FROM centroids JOIN"
+            " (SELECT objectid, gwr_egid, bezeichnung, count(*) AS n FROM quads GROUP BY ALL) f USING (objectid)"),
+        "ingest_run": s(
+            "SELECT id, messung_dat_zeit, msid, anz_fahrzeuge, 1::BIGINT AS idle_runs FROM counts_cars WHERE messung_dat_zeit LIKE '2024-%'"),
+        "stream_upsert": "SELECT event_id AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS messung_dat_zeit, user_id AS msid, value AS flow FROM events",
         "geometry_roundtrip": s(
             "SELECT u, v, key, x1, y1, x2, y2, CASE WHEN bent THEN 3 ELSE 2 END::INT AS n_vertices FROM net_edges"),
     }

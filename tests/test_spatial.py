@@ -100,6 +100,19 @@ def test_nearest_edges_equal_brute_force(spark, span):
         assert one[i][:3] == min(near) and one[i][3] == pytest.approx(best, abs=1e-4)
 
 
+def test_nearest_edges_with_crowded_cells_and_copies(spark):
+    rng = random.Random(4)
+    rows = network(rng, 60, 12.0) + [(1000 + i, 2000 + i, 0, (3.0, 3.0), (9.0, 3.0)) for i in range(50)]
+    edges = spark.createDataFrame(
+        [(u, v, k, [part(a, b)]) for u, v, k, a, b in rows], "u long, v long, key int, geom array<array<struct<x:double,y:double>>>"
+    )
+    df = spark.createDataFrame([(i, rng.uniform(0, 12), rng.uniform(0, 12)) for i in range(20)] + [(99, 5.0, 3.0)], "id long, px double, py double")
+    crowded = nearest_edges(df, ["id"], edges, hot_rows=5)
+    plain = nearest_edges(df, ["id"], edges)
+    assert sorted(map(tuple, crowded.collect())) == sorted(map(tuple, plain.collect()))
+    assert plain.filter("id = 99").count() == 50
+
+
 def test_nearest_node_takes_the_smallest_on_a_tie(spark):
     nodes = spark.createDataFrame([(5, 0.0, 0.0), (3, 10.0, 0.0), (9, 5000.0, 5000.0)], "node_id long, x double, y double")
     points = spark.createDataFrame([(1, 5.0, 0.0), (2, 4000.0, 4000.0)], "id long, px double, py double")
