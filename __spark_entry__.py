@@ -19,7 +19,7 @@ from kerbsight.operators.paths import shortest_paths
 from kerbsight.operators.spatial_join import meets
 from kerbsight.plans import car_flows, frontage_impressions, gold, ingest, pedbike_flows, transit_flows, visibility
 from kerbsight.session import cut, scratch_root
-from kerbsight.sources import landing, standin, wkb
+from kerbsight.sources import landing, standin, tables, wkb
 from kerbsight.streaming import counts as streaming
 
 c = F.col
@@ -372,6 +372,35 @@ def gold_checks(spark, sf):
     })
 
 
+def publish_gold(spark, sf):
+    """Publish edge and flow tables, then check what was written."""
+    edges = cut(_numbered(spark, sf).select("edge_id", "u", "v", "key", "geom"))
+    flows = propagate.normalize_overall(standin.flows_bike(edges).drop("geom"))
+    _, report = gold.publish_checked(
+        {"bike_edges": wkb.to_wkb(edges), "bike_flows": flows}, _run_folder(spark, "gold")
+    )
+    return report
+
+
+def landed_days(spark, sf):
+    """Raw records of a month in one folder per day, counted from the folders."""
+    folder = _run_folder(spark, "landed")
+    landing.land_by_day(landing.month_slice(standin.counts_pedbike(spark, sf), "datum", 2024, 1), "datum", folder)
+    parts = spark.read.parquet(folder).select(*[c(n).cast("int").alias(n) for n in ("year", "month", "day")])
+    return parts.groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n"))
+
+
+def named_files(spark, sf):
+    return tables.read_counts(spark, sf, "suppl")
+
+
+def csv_tables(spark, sf):
+    """A reference table as semicolon-separated text and back."""
+    folder = _run_folder(spark, "csv")
+    standin.stops(spark, sf).write.option("header", "true").option("sep", ";").option("ignoreTrailingWhiteSpace", "false").csv(folder)
+    return tables.read_csv(spark, folder, ";", "haltestellen_id bigint, haltestellenlangname string")
+
+
 def snap_stats(spark, sf):
     placed = car_flows.placed_seeds(standin.counts_cars(spark, sf), standin.net_edges(spark, sf))
     stats = checks.describe(cut(placed), "dist")
@@ -482,6 +511,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "direction_counts": direction_counts,
         "geometry_roundtrip": geometry_roundtrip,
         "network_extent": network_extent,
+        "publish_gold": publish_gold,
+        "landed_days": landed_days,
+        "named_files": named_files,
+        "csv_tables": csv_tables,
         "visibility_gold": visibility_gold,
         "ingest_run": ingest_run,
         "stream_upsert": stream_upsert,

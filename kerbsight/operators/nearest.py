@@ -5,6 +5,11 @@ eight around it; it is settled once its best distance is no more than its distan
 to the border of that block, because nothing outside can be nearer. Only unsettled
 points go to the next, coarser round, so dense areas are served by small cells.
 
+A coarse block may reach into a dense area. It is therefore not joined with segments
+but narrowed down: level by level its occupied cells are divided, and cells that are
+farther than the nearest occupied one could possibly be are dropped. Segments are
+met in cells of the first size only.
+
 Copies do no work: points that share coordinates and segments that share both ends
 are searched once. The first cell size is made smaller until no cell is crowded.
 """
@@ -15,10 +20,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from kerbsight.functions import geo
 from kerbsight.operators.spatial_join import box_cells, piece_rows, segment_rows
-from kerbsight.session import cut_observed, row_count
+from kerbsight.session import cut, cut_observed, row_count
 
 MAX_ROUNDS = 12
 
@@ -67,22 +73,14 @@ def _nearest(points: DataFrame, point_keys: list[str], lines: DataFrame, line_ke
     if not size["n"]:
         raise ValueError("the network is empty")
     cell = _uncrowded(unique, cell, hot_rows)
+    pieces = box_cells(piece_rows(unique, ["line"], cell), BOX, cell)
+    occupied = cut(pieces.select("cx", "cy").distinct(), "occupied")
     todo = points.select(*point_keys, "px", "py")
     settled: list[DataFrame] = []
     for step in range(MAX_ROUNDS):
-        size = cell * 4**step
-        pieces = box_cells(piece_rows(unique, ["line"], size), BOX, size)
-        gx, gy = F.floor(F.col("px") / size), F.floor(F.col("py") / size)
-        margin = F.least(
-            F.col("px") - (gx - 1) * size, (gx + 2) * size - F.col("px"),
-            F.col("py") - (gy - 1) * size, (gy + 2) * size - F.col("py"),
-        )
-        block = (
-            todo.withColumn("cx", F.explode(F.sequence(gx - 1, gx + 1)))
-            .withColumn("cy", F.explode(F.sequence(gy - 1, gy + 1)))
-        )
+        near, margin = _near_cells(todo, point_keys, occupied, cell, step)
         winner = F.min(F.struct(_distance().alias("d2"), "line")).alias("w")
-        best = block.join(pieces, ["cx", "cy"]).groupBy(*point_keys).agg(winner)
+        best = near.join(pieces, ["cx", "cy"]).groupBy(*point_keys).agg(winner)
         tried = todo.join(best, point_keys, "left").withColumn(
             "done", F.coalesce(F.sqrt(F.col("w.d2")) <= margin, F.lit(False))
         )
@@ -92,17 +90,10 @@ def _nearest(points: DataFrame, point_keys: list[str], lines: DataFrame, line_ke
         if seen["done"]:
             found = tried.filter("done")
             if ties:
-                # second look with the known radius: only the tied segments leave the join
-                reach = F.sqrt(F.col("w.d2")) + 1e-3
-                ring = found.select(
-                    *point_keys, "px", "py", F.col("w.d2").alias("d2"),
-                    (F.col("px") - reach).alias("bl"), (F.col("py") - reach).alias("bb"),
-                    (F.col("px") + reach).alias("br"), (F.col("py") + reach).alias("bt"),
-                )
-                hits = (
-                    box_cells(ring, ("bl", "bb", "br", "bt"), size)
-                    .join(pieces, ["cx", "cy"]).filter(_distance() <= F.col("d2"))
-                )
+                # second look with the known distance: only the tied segments leave the join
+                cells, _ = _near_cells(found, point_keys, occupied, cell, step)
+                known = found.select(*point_keys, F.col("w.d2").alias("d2"))
+                hits = cells.join(known, point_keys).join(pieces, ["cx", "cy"]).filter(_distance() <= F.col("d2"))
                 tied = hits.select(*point_keys, *ENDS, F.sqrt("d2").alias("dist")).distinct()
                 settled.append(tied.join(segments, ENDS).select(*point_keys, *line_keys, "dist").distinct())
             else:
@@ -117,6 +108,43 @@ def _nearest(points: DataFrame, point_keys: list[str], lines: DataFrame, line_ke
     return reduce(DataFrame.unionByName, settled)
 
 
+def _near_cells(points: DataFrame, point_keys: list[str], occupied: DataFrame, cell: float,
+                step: int) -> tuple[DataFrame, Column]:
+    """First-size cells that can hold a point's nearest segment, if it lies in the 3 x 3
+    block of round ``step``; and the point's distance to the border of that block."""
+    size = cell * 4**step
+    gx, gy = F.floor(F.col("px") / size), F.floor(F.col("py") / size)
+    margin = F.least(
+        F.col("px") - (gx - 1) * size, (gx + 2) * size - F.col("px"),
+        F.col("py") - (gy - 1) * size, (gy + 2) * size - F.col("py"),
+    )
+    near = (
+        points.select(*point_keys, "px", "py")
+        .withColumn("cx", F.explode(F.sequence(gx - 1, gx + 1))).withColumn("cy", F.explode(F.sequence(gy - 1, gy + 1)))
+    )
+    per_point = Window.partitionBy(*point_keys)
+    for level in range(step - 1, -1, -1):
+        side, scale = cell * 4**level, 4**level
+        there = occupied.select(F.floor(F.col("cx") / scale).alias("cx"), F.floor(F.col("cy") / scale).alias("cy")).distinct()
+        quarter = F.sequence(F.lit(0), F.lit(3))
+        parts = (
+            near.withColumn("_i", F.explode(quarter)).withColumn("_j", F.explode(quarter))
+            .select(*point_keys, "px", "py", (F.col("cx") * 4 + F.col("_i")).alias("cx"), (F.col("cy") * 4 + F.col("_j")).alias("cy"))
+            .join(there, ["cx", "cy"])
+        )
+        left, bottom = F.col("cx") * side - F.col("px"), F.col("cy") * side - F.col("py")
+        dx = F.greatest(left, -(left + side), F.lit(0.0))
+        dy = F.greatest(bottom, -(bottom + side), F.lit(0.0))
+        far_x, far_y = F.greatest(F.abs(left), F.abs(left + side)), F.greatest(F.abs(bottom), F.abs(bottom + side))
+        # a piece in the cell may lie beside it, but by less than its own box
+        reach = F.min(F.sqrt(far_x * far_x + far_y * far_y)).over(per_point) + 1.5 * cell
+        near = (
+            parts.withColumn("_lo", F.sqrt(dx * dx + dy * dy)).withColumn("_reach", reach)
+            .filter(F.col("_lo") <= F.col("_reach")).drop("_lo", "_reach")
+        )
+    return near, margin
+
+
 def nearest_edges(points: DataFrame, point_keys: list[str], edges: DataFrame, ties: bool = True,
                   cell: float = 32.0, hot_rows: int = 4096) -> DataFrame:
     """Edge(s) ``u, v, key`` nearest to each point and the distance in metres.

@@ -572,6 +572,15 @@ def oracle_sql() -> dict[str, str]:
                  round(quantile_cont(dist, 0.25), 4) AS q25, round(quantile_cont(dist, 0.5), 4) AS q50,
                  round(quantile_cont(dist, 0.75), 4) AS q75, round(max(dist), 4) AS max FROM car_starts"""),
         "direction_counts": s("SELECT richtung_typ, count(*) AS n FROM car_seeds GROUP BY 1"),
+        "publish_gold": s("""
+          SELECT 'bike_edges' AS table_name, (SELECT count(*) FROM net_edges) AS n_rows, 0::BIGINT AS repeated, 0::BIGINT AS nulls, 0::BIGINT AS orphans
+          UNION ALL SELECT 'bike_flows', (SELECT count(*) FROM flows_bike), 0, 0, 0"""),
+        "landed_days": s(
+            "SELECT datum[1:4]::INT AS year, datum[6:7]::INT AS month, datum[9:10]::INT AS day, count(*) AS n FROM counts_pedbike"
+            " WHERE datum >= '2024-01-01' AND datum < '2024-02-01' GROUP BY 1, 2, 3"),
+        "named_files": "SELECT * FROM supplier",
+        "csv_tables": "SELECT s_suppkey AS haltestellen_id, s_name || CASE s_nationkey % 3 WHEN 0 THEN ' (Stadt Zürich)'"
+                      " WHEN 1 THEN ' (Zürich)' ELSE ' ' END AS haltestellenlangname FROM supplier",
         "network_extent": s(
             "SELECT min(least(x1, x2)) AS min_x, min(least(y1, y2)) AS min_y, max(greatest(x1, x2)) AS max_x,"
             " max(greatest(y1, y2)) AS max_y FROM net_segments"),
