@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 
 from kerbsight.functions import geo
 from kerbsight.operators.spatial_join import box_cells, piece_rows, segment_rows
-from kerbsight.session import cut, cut_observed, row_count
+from kerbsight.session import cut_observed, row_count
 
 MAX_ROUNDS = 12
 
@@ -51,15 +51,16 @@ def _same_way(segments: DataFrame) -> DataFrame:
     })
 
 
-def _uncrowded(unique: DataFrame, cell: float, hot_rows: int) -> float:
-    """Start with cells small enough to hold at most ``hot_rows`` segment pieces each."""
-    while cell > SMALLEST_CELL:
-        cells = box_cells(piece_rows(unique, [], cell), BOX, cell)
-        peak = cells.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-        if peak <= hot_rows:
-            return cell
+def _pieces_and_cells(unique: DataFrame, cell: float, hot_rows: int) -> tuple[DataFrame, DataFrame, float]:
+    """Segment pieces per cell, the occupied cells and the cell size, which is made
+    smaller until a cell holds at most ``hot_rows`` pieces."""
+    while True:
+        pieces = box_cells(piece_rows(unique, ["line"], cell), BOX, cell)
+        counted = pieces.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"))
+        occupied, seen = cut_observed(counted, "occupied", peak=F.max("n"))
+        if seen["peak"] <= hot_rows or cell <= SMALLEST_CELL:
+            return pieces, occupied, cell
         cell /= 4
-    return cell
 
 
 def _nearest(points: DataFrame, point_keys: list[str], lines: DataFrame, line_keys: list[str],
@@ -72,9 +73,7 @@ def _nearest(points: DataFrame, point_keys: list[str], lines: DataFrame, line_ke
     )
     if not size["n"]:
         raise ValueError("the network is empty")
-    cell = _uncrowded(unique, cell, hot_rows)
-    pieces = box_cells(piece_rows(unique, ["line"], cell), BOX, cell)
-    occupied = cut(pieces.select("cx", "cy").distinct(), "occupied")
+    pieces, occupied, cell = _pieces_and_cells(unique, cell, hot_rows)
     todo = points.select(*point_keys, "px", "py")
     settled: list[DataFrame] = []
     for step in range(MAX_ROUNDS):
