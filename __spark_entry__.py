@@ -457,9 +457,22 @@ def geometry_roundtrip(spark, sf):
     )
 
 
+def _text_queries():
+    """The module of the training-data queries, or None where that subpackage or its pipeline is not installed."""
+    try:
+        from kerbsight.llm import queries as module
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("kerbsight.llm", "corpus_pipeline"):
+            raise
+        return None
+    return module
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator, each over the whole driver tables."""
+    texts = _text_queries()
     return {
+        **(texts.QUERIES if texts else {}),
         "conform_counts": conform_counts,
         "typical_day_cars": typical_day_cars,
         **{f"station_hour_{how}": station_hour(how) for how in ("mean", "sum", "median")},
@@ -527,4 +540,5 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    texts = _text_queries()
+    return {**oracles.oracle_sql(), **(texts.ORACLES if texts else {})}
