@@ -164,7 +164,7 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     docs = docs.select(c("doc_id").cast("long").alias("doc_id"), c("text").cast("string").alias("text"))
     blocks = max(64, text_bytes(docs) // (18 * BLOCK))
     parts = scratch.keep(docs.mapInArrow(_first_pass(blocks), _ROWS), "jaccard-parts")
-    members = parts.where("kind = 0").select("doc_id", c("n").alias("n_shingles"), "sig")
+    members = scratch.keep(parts.where("kind = 0").select("doc_id", c("n").alias("n_shingles"), "sig"), "jaccard-members")
 
     in_blocks = parts.where("kind = 1").select("block", "keys", "owners", "sigs").groupBy("block").applyInPandas(_shared_in_block, "sig long, shared long")
     in_chunks = parts.where("kind = 2").select("owners", "sigs").mapInPandas(_local_counts, "sig long, shared long")
@@ -173,6 +173,7 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     live, seen = scratch.keep(
         classes.join(shared, "sig").where(c("shared") >= F.greatest(F.lit(1), F.ceil(c("n") * 3 / 40))).select("doc_id", "sig"),
         "jaccard-live", rows=F.count(F.lit(1)))
+    scratch.drop(parts)
 
     side = F.broadcast(live) if is_small(seen["rows"], 32) else live
     whole = docs.join(side.withColumnRenamed("doc_id", "rep"), docs.doc_id.eqNullSafe(c("rep"))).select("sig", "text")
