@@ -182,16 +182,21 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         whole = scratch.keep(whole.dropDuplicates(["sig"]), "jaccard-rows")
 
     prefix = scratch.keep(_prefixes(whole), "jaccard-prefixes")
-    links = None
-    roots = None
+    roots = docs.sparkSession.createDataFrame([], "node long, root long")
     for turn in range(PIVOT_ROUNDS + 1):
         pairs = _pivot_pairs(prefix, roots, turn) if turn < PIVOT_ROUNDS else _cross_pairs(prefix, roots)
-        found = scratch.keep(_multiplied(pairs, whole), "jaccard-links")
-        links = found if links is None else links.unionByName(found)
-        roots = scratch.keep(components(links, "a", "b"), "jaccard-roots")
+        joined = components(scratch.keep(_multiplied(pairs, whole), "jaccard-links"), "ar", "br")
+        roots = scratch.keep(_carried(roots, joined), "jaccard-roots")
     return members, roots.select(c("node").alias("sig"), "root")
 
 
+def _carried(roots: DataFrame, joined: DataFrame) -> DataFrame:
+    """The roots of all nodes after the components in ``joined``, whose nodes are roots so far, have grown together."""
+    nodes = roots.unionByName(joined.select("node", c("node").alias("root"))).distinct()
+    new = joined.select(c("node").alias("root"), c("root").alias("new"))
+    return nodes.join(new, "root", "left").select("node", F.coalesce("new", "root").alias("root"))
+
+
 def _prefixes(whole: DataFrame) -> DataFrame:
     """(sig, n, s, f): the columns, rarest first, in which any partner must meet row ``sig``; f is the place in its order.
 
@@ -210,21 +215,19 @@ def _prefixes(whole: DataFrame) -> DataFrame:
     )
 
 
-def _with_root(prefix: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return prefix.withColumn("root", c("sig"))
+def _with_root(prefix: DataFrame, roots: DataFrame) -> DataFrame:
     return prefix.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
 
 
-def _pivot_pairs(prefix: DataFrame, roots: DataFrame | None, turn: int) -> DataFrame:
+def _pivot_pairs(prefix: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
     """Each row with one row of each of its prefix columns, if that is in another component."""
     rows = _with_root(prefix, roots)
     pivots = rows.groupBy("s").agg(F.min(F.struct(F.xxhash64("sig", F.lit(turn)).alias("o"), c("sig").alias("p"), c("n").alias("pn"), c("root").alias("pr"))).alias("p"), F.count(F.lit(1)).alias("k")).where("k > 1").select("s", "p.p", "p.pn", "p.pr")
     near = (c("root") != c("pr")) & (4 * F.least("n", "pn") >= 3 * F.greatest("n", "pn"))
-    return rows.join(pivots, "s").where(near).select(c("sig").alias("a"), c("p").alias("b")).distinct()
+    return rows.join(pivots, "s").where(near).select(c("sig").alias("a"), c("p").alias("b"), c("root").alias("ar"), c("pr").alias("br")).distinct()
 
 
-def _cross_pairs(prefix: DataFrame, roots: DataFrame | None) -> DataFrame:
+def _cross_pairs(prefix: DataFrame, roots: DataFrame) -> DataFrame:
     """All pairs of rows in different components that meet within the size and position bounds.
 
     At the first column that two linked rows share, the smaller row is within ``n - ceil(6 n / 7)`` of its order, and what
@@ -237,7 +240,7 @@ def _cross_pairs(prefix: DataFrame, roots: DataFrame | None) -> DataFrame:
         & (4 * c("an") >= 3 * c("bn"))
         & (7 * F.least(c("an") - c("af"), c("bn") - c("bf")) >= 3 * (c("an") + c("bn")))
     )
-    return small.join(large, meet).select("a", "b").distinct()
+    return small.join(large, meet).select("a", "b", "ar", "br").distinct()
 
 
 def _multiplied(pairs: DataFrame, whole: DataFrame) -> DataFrame:
@@ -245,7 +248,7 @@ def _multiplied(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     left = whole.select(c("sig").alias("a"), c("n").alias("an"), c("shingles").alias("at"))
     right = whole.select(c("sig").alias("b"), c("n").alias("bn"), c("shingles").alias("bt"))
     both = pairs.join(left, "a").join(right, "b").withColumn("overlap", F.size(F.array_intersect("at", "bt")))
-    return both.where(100 * c("overlap") >= 75 * (c("an") + c("bn") - c("overlap"))).select("a", "b", "overlap")
+    return both.where(100 * c("overlap") >= 75 * (c("an") + c("bn") - c("overlap"))).select("a", "b", "ar", "br", "overlap")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
