@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import gc
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbsight.session import cut, cut_observed, row_count
+from kerbsight.session import cut_observed, scratch_root
 
-__all__ = ["Scratch", "cut", "cut_observed", "row_count", "is_small"]
+
+BATCH_BYTES = 16 << 20
 
 
 class Scratch:
@@ -22,9 +24,16 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-
-    def keep(self, df: DataFrame, label: str, **metrics: Column):
-        out, seen = cut_observed(df, label, **metrics)
+        key = "spark.sql.execution.arrow.maxBytesPerBatch"
+        spark.conf.set(key, str(BATCH_BYTES))  # a batch of very long texts stays small
+
+    def keep(self, df: DataFrame, label: str, codec: str | None = None, **metrics: Column):
+        if codec:
+            path = f"{scratch_root(self.spark)}/kerbsight/{label}-{uuid.uuid4().hex}"
+            df.write.option("compression", codec).parquet(path)
+            out, seen = self.spark.read.schema(df.schema).parquet(path), {}
+        else:
+            out, seen = cut_observed(df, label, **metrics)
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
         return (out, seen) if metrics else out
