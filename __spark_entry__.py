@@ -23,6 +23,7 @@ from kerbsight.sources import landing, standin, tables, wkb
 from kerbsight.streaming import counts as streaming
 
 c = F.col
+LANDED_FILES = 20
 
 
 def _round(df: DataFrame, **places: int) -> DataFrame:
@@ -186,9 +187,8 @@ def table_fingerprint(spark, sf):
     ))
 
 
-def _stream(spark, sf):
-    schema = standin.table(spark, sf, "events").schema
-    return streaming.read_landed(spark, sf, schema, "events.parquet").select(
+def _events(spark, sf):
+    return standin.table(spark, sf, "events").select(
         c("event_id").alias("id"), c("ts").cast("timestamp").alias("ts"), c("user_id").alias("msid"), c("value").alias("flow")
     )
 
@@ -197,23 +197,28 @@ def _run_folder(spark, label: str) -> str:
     return f"{scratch_root(spark)}/kerbsight/{label}-{uuid.uuid4().hex}"
 
 
+def _stream(spark, sf, folder: str, copies: int = 1):
+    """The events landed as files whose times overlap, one file for each micro-batch."""
+    rows = _events(spark, sf).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("copy")
+    rows.repartition(LANDED_FILES, F.xxhash64("id", F.rand(7))).write.parquet(f"{folder}/landed")
+    return streaming.read_landed(spark, f"{folder}/landed", rows.schema, files_per_batch=1)
+
+
 def stream_hourly_counts(spark, sf):
     folder = _run_folder(spark, "stream")
-    streaming.collect_updates(streaming.hourly_means(_stream(spark, sf)), f"{folder}/out", f"{folder}/state")
-    rows = streaming.latest(spark, f"{folder}/out", ["hour_start", "msid"])
+    streaming.collect_parts(
+        _stream(spark, sf, folder), f"{folder}/out", f"{folder}/state", streaming.hour_parts, streaming.added)
+    rows = streaming.hourly_means(streaming.read_parts(spark, f"{folder}/out"))
     return _round(rows, mean_flow=6).withColumn("hour_start", c("hour_start").cast("timestamp_ntz"))
 
 
 def stream_deduped(spark, sf):
-    """Every event arrives twice; one copy of each stays."""
+    """Every event arrives twice, in any two files; one copy of each stays."""
     folder = _run_folder(spark, "stream")
-    twice = _stream(spark, sf).union(_stream(spark, sf))
-    query = (
-        streaming.without_repeats(twice).writeStream.format("parquet").option("path", f"{folder}/out")
-        .option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return spark.read.parquet(f"{folder}/out").withColumn("ts", c("ts").cast("timestamp_ntz"))
+    streaming.collect_parts(
+        _stream(spark, sf, folder, copies=2), f"{folder}/out", f"{folder}/state", streaming.first_copies, streaming.first_copies)
+    rows = streaming.first_copies(streaming.read_parts(spark, f"{folder}/out"))
+    return rows.withColumn("ts", c("ts").cast("timestamp_ntz"))
 
 
 def nearest_edge_ties(spark, sf):
@@ -426,22 +431,44 @@ def visibility_gold(spark, sf):
 
 
 def ingest_run(spark, sf):
-    """Two ingest runs of the same source; the second finds nothing new."""
+    """A first half, a run that fails before its watermark is stored, its repetition, and a run without anything new.
+
+    Months, raw rows and rejects are compared row by row; the audit gives the sums."""
     base = _run_folder(spark, "ingest")
     folders = ingest.Folders(*[f"{base}/{n}" for n in ("raw", "months", "state", "audit")])
-    source = standin.counts_cars(spark, sf).withColumnsRenamed({"id": "_id", "messung_dat_zeit": "MessungDatZeit"})
-    for run_id in ("first", "second"):
+    no_month = F.when(c("id") % 389 == 0, F.regexp_replace("messung_dat_zeit", r"^2024-\d\d", "2024-00")).otherwise(c("messung_dat_zeit"))
+    source = standin.counts_cars(spark, sf).withColumn("messung_dat_zeit", no_month)
+    source = source.withColumnsRenamed({"id": "_id", "messung_dat_zeit": "MessungDatZeit"})
+    early = F.coalesce(c("MessungDatZeit") < "2024-01-16", F.lit(False))
+    ingest.ingest_year(source.filter(early), 2024, "cars", "half", folders)
+    try:
+        ingest.ingest_year(source, 2024, "cars", "failed", folders, before_state=_broken)
+    except ConnectionError:
+        pass
+    for run_id in ("repeated", "idle"):
         ingest.ingest_year(source, 2024, "cars", run_id, folders)
-    runs = landing.run_summary(spark.read.parquet(folders.audit)).agg(F.sum("units_no_new_data")).scalar()
-    return spark.read.parquet(folders.months).select(
-        "id", "messung_dat_zeit", "msid", "anz_fahrzeuge", runs.alias("idle_runs")
-    )
+    audit = spark.read.parquet(folders.audit)
+    runs = landing.run_summary(audit).agg(F.sum("units_no_new_data")).scalar()
+    note = F.from_json("message", "records_arrived long, records_written long, records_rejected long")
+    sums = audit.filter("status = 'success'").select(note.alias("m")).agg(
+        F.sum("m.records_arrived").alias("arrived"), F.sum(c("m.records_written") + c("m.records_rejected")).alias("accounted"))
+    months = spark.read.parquet(folders.months).select(c("id").cast("string").alias("id"), "messung_dat_zeit", "msid", "anz_fahrzeuge", F.lit("months").alias("place"))
+    raw = spark.read.parquet(folders.raw).select(c("_id").cast("string").alias("id"), c("MessungDatZeit").alias("messung_dat_zeit"), "msid", "anz_fahrzeuge", F.lit("raw").alias("place"))
+    rows = months.unionByName(raw)
+    if landing.exists(spark, landing.rejects_folder(folders.months)):
+        bad = spark.read.parquet(landing.rejects_folder(folders.months))
+        rows = rows.unionByName(bad.select(c("id").cast("string").alias("id"), "messung_dat_zeit", "msid", "anz_fahrzeuge", F.lit("rejects").alias("place")))
+    return rows.withColumns({"idle_runs": runs, "arrived": sums.select("arrived").scalar(), "accounted": sums.select("accounted").scalar()})
+
+
+def _broken() -> None:
+    raise ConnectionError("the state store cannot be reached")
 
 
 def stream_upsert(spark, sf):
     """Month partitions filled from a stream of landed records."""
     folder = _run_folder(spark, "stream")
-    counts = _stream(spark, sf).select(
+    counts = _stream(spark, sf, folder).select(
         "id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("messung_dat_zeit"), "msid", "flow"
     )
     streaming.ingest_months(counts, f"{folder}/months", f"{folder}/state")

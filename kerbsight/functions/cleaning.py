@@ -22,14 +22,17 @@ def number(c: Column | str, fill: float | None = None) -> Column:
 
 
 def whole_id(c: Column | str) -> Column:
-    """Identifier as bigint, also when it arrived as ``123.0``; junk becomes NULL."""
+    """Identifier as bigint, also when it arrived as ``123.0``; junk and broken numbers become NULL.
+
+    A zero fraction is cut off as text, so no digit is lost to a double."""
     text = F.trim(_col(c).cast("string"))
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    return F.when(text.rlike(r"^[+-]?\d+(\.0*)?$"), F.regexp_replace(text, r"\..*$", "").try_cast("bigint"))
 
 
 def moment(c: Column | str) -> Column:
-    """Text to timestamp; junk becomes NULL."""
-    return _col(c).cast("string").try_cast("timestamp")
+    """Text that begins with a date to timestamp; junk, and a bare clock time, become NULL."""
+    text = _col(c).cast("string")
+    return F.when(text.rlike(r"^\s*\d{4}-\d"), text.try_cast("timestamp"))
 
 
 def hour_of(c: Column | str) -> Column:

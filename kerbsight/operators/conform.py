@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import chain, count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,17 +11,15 @@ from pyspark.sql import types as T
 
 from kerbsight.functions import cleaning
 
+_RUN = re.compile(r"[^\W_]+")
+_CAPITAL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+
 # Bookkeeping columns that a target table fills by itself.
 TARGET_OWN_COLUMNS = ("flow_id", "facade_pk", "created_at", "updated_at")
 # Columns loaded as whole numbers.
 WHOLE_COLUMNS = ("u", "v", "key", "hour", "n_runs")
 
 
-def present(df: DataFrame, wanted: list[str]) -> DataFrame:
-    """The wanted columns that exist, in the wanted order."""
-    return df.select([c for c in wanted if c in df.columns])
-
-
 def conform(df: DataFrame, schema: T.StructType, defaults: dict[str, float] | None = None,
             required: tuple[str, ...] = ()) -> DataFrame:
     """Select, convert and complete columns of ``schema``; bad values become NULL.
@@ -67,18 +66,19 @@ def texts_for_write(df: DataFrame) -> DataFrame:
 
 
 def snake_names(names: list[str]) -> list[str]:
-    """Snake-case names; repeats get ``_2, _3``; digits first get ``col_``; blanks ``col``."""
-    taken: dict[str, None] = {}
-    for raw in names:
-        words = re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", re.sub(r"\W+", "_", raw.strip()))
-        base = re.sub("_{2,}", "_", words.lower()).strip("_") or "col"
-        base = f"col_{base}" if base[0].isdigit() else base
-        name, n = base, 1
-        while name in taken:
-            n += 1
-            name = f"{base}_{n}"
-        taken[name] = None
-    return list(taken)
+    """Distinct snake-case names, in order.
+
+    A name is the list of its words: runs of letters and digits, cut again before a capital that follows a small letter or a
+    digit. No words make ``col``; a digit in front gets ``col_``; a name that is already there counts up from ``_2``."""
+    out: list[str] = []
+    for name in names:
+        words = [w for run in _RUN.findall(name) for w in _CAPITAL.split(run)]
+        wanted = "_".join(words).lower() or "col"
+        if wanted[0].isdigit():
+            wanted = f"col_{wanted}"
+        numbered = (f"{wanted}_{n}" for n in count(2))
+        out.append(next(x for x in chain([wanted], numbered) if x not in out))
+    return out
 
 
 def snake_columns(df: DataFrame) -> DataFrame:

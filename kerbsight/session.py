@@ -7,6 +7,7 @@ shared storage on a cluster, so a lost executor costs a task retry, not the run.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,11 +34,12 @@ def build_session(app: str = "kerbsight", master: str | None = None, **conf: str
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only for local sessions."""
+    """The folder in ``spark.checkpoint.dir``. Only a session whose tasks all run in this process may go without: it gets a
+    temporary one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="kerbsight-"))
     return spark.conf.get("spark.checkpoint.dir")

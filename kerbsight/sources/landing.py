@@ -81,47 +81,67 @@ def merge_months(existing: DataFrame, arrived: DataFrame, key: list[str] | None
 
 
 def upsert_months(arrived: DataFrame, folder: str, key: list[str] | None = ("id",),
-                  time: str = "messung_dat_zeit") -> None:
-    """Rewrite only the month partitions that got new rows; rows without a month go.
+                  time: str = "messung_dat_zeit", run: str = "run") -> dict[str, int]:
+    """Rewrite only the month partitions that got new rows; returns how many rows were written and rejected.
 
-    The merged rows are staged first, because one job cannot read and overwrite a folder.
+    Rows whose time has no month land in ``rejects_folder``, below the name of the run; a repeated run replaces them. The
+    merged rows are staged first, because one job cannot read and overwrite a folder.
     """
     spark = arrived.sparkSession
     fresh = snake_columns(arrived)
-    fresh = cut(_with_month(fresh.filter(F.col(time).rlike(r"^\d{4}-(0[1-9]|1[0-2])-")), time), "arrived-months")
-    old = fresh.drop("year", "month").limit(0)
-    if _exists(spark, folder):
-        # the touched months, at most twelve a year, prune the stored partitions
-        months = [r["m"] for r in fresh.select(F.concat_ws("-", "year", "month").alias("m")).distinct().collect()]
-        stored = spark.read.parquet(folder)
-        month = F.concat(F.col("year").cast("string"), F.lit("-"), F.lpad(F.col("month").cast("string"), 2, "0"))
-        old = stored.filter(month.isin(months)).drop("year", "month")
-    merged = _with_month(merge_months(old, fresh.drop("year", "month"), key, time), time)
-    staged = cut(merged, "months")
-    staged.hint("rebalance", F.col("year"), F.col("month")).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("year", "month").parquet(folder)
+    has_month = F.coalesce(F.col(time).rlike(r"^\d{4}-(0[1-9]|1[0-2])-"), F.lit(False))
+    fresh, seen = cut_observed(
+        _with_month(fresh, time).withColumn("_ok", has_month), "arrived-months", arrived=row_count(), written=F.count_if("_ok")
+    )
+    rejected = seen["arrived"] - seen["written"]
+    if rejected:
+        bad = fresh.filter(~F.col("_ok")).drop("_ok", "year", "month").withColumn("run", F.lit(run))
+        bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(rejects_folder(folder))
+    fresh = fresh.filter("_ok").drop("_ok")
+    if seen["written"]:
+        old = fresh.drop("year", "month").limit(0)
+        if exists(spark, folder):
+            # the touched months, at most twelve a year, prune the stored partitions
+            months = [r["m"] for r in fresh.select(F.concat_ws("-", "year", "month").alias("m")).distinct().collect()]
+            stored = spark.read.parquet(folder)
+            month = F.concat(F.col("year").cast("string"), F.lit("-"), F.lpad(F.col("month").cast("string"), 2, "0"))
+            old = stored.filter(month.isin(months)).drop("year", "month")
+        merged = _with_month(merge_months(old, fresh.drop("year", "month"), key, time), time)
+        staged = cut(merged, "months")
+        staged.hint("rebalance", F.col("year"), F.col("month")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("year", "month").parquet(folder)
+    return {"written": seen["written"], "rejected": rejected}
+
+
+def rejects_folder(folder: str) -> str:
+    return f"{folder.rstrip('/')}-rejects"
 
 
 def _with_month(records: DataFrame, time: str) -> DataFrame:
     return records.withColumns({"year": F.substring(time, 1, 4), "month": F.substring(time, 6, 2)})
 
 
-def _exists(spark: SparkSession, folder: str) -> bool:
+def exists(spark: SparkSession, folder: str) -> bool:
     """Asks the folder's file system; trying to read it would log a failed query."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
-def append_raw(arrived: DataFrame, folder: str, time: str) -> None:
-    """Append new rows, as they came, to the yearly raw table."""
-    arrived.withColumn("year", F.substring(time, 1, 4)).write.mode("append").partitionBy("year").parquet(folder)
+def append_raw(arrived: DataFrame, folder: str, time: str, load: str) -> None:
+    """Add new rows, as they came, to the yearly raw table, in a partition of their load.
+
+    ``load`` names what was asked for (the watermark), so a load that is repeated after a failure replaces its own rows.
+    """
+    arrived.withColumns({"year": F.substring(time, 1, 4), "load": F.lit(load)}).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("year", "load").parquet(folder)
 
 
 # ------------------------------------------------------------------ state and audit
 def read_state(spark: SparkSession, folder: str, year: int) -> tuple[str | None, int]:
     """Newest stored watermark of a year, ``(None, -1)`` when there is none."""
-    if not _exists(spark, folder):
+    if not exists(spark, folder):
         return None, -1
     newest = (
         spark.read.parquet(folder).filter(F.col("year") == year)
@@ -180,7 +200,7 @@ def refresh_if_changed(df: DataFrame, folder: str, state_folder: str, unit: str)
     """Overwrite ``folder`` only when the table's fingerprint differs from the stored one."""
     spark = df.sparkSession
     new = fingerprint(df).first()["sha256"]
-    if _exists(spark, state_folder):
+    if exists(spark, state_folder):
         old = spark.read.parquet(state_folder).filter(F.col("unit") == unit).agg(
             F.max_by("sha256", "updated_at").alias("sha256")
         ).first()["sha256"]

@@ -590,7 +590,10 @@ def oracle_sql() -> dict[str, str]:
             " (CASE WHEN f.n > 1 THEN 9 ELSE 0 END + 93 * f.n)::INT AS n_bytes FROM centroids JOIN"
             " (SELECT objectid, gwr_egid, bezeichnung, count(*) AS n FROM quads GROUP BY ALL) f USING (objectid)"),
         "ingest_run": s(
-            "SELECT id, messung_dat_zeit, msid, anz_fahrzeuge, 1::BIGINT AS idle_runs FROM counts_cars WHERE messung_dat_zeit LIKE '2024-%'"),
+            "SELECT id::VARCHAR AS id, t AS messung_dat_zeit, msid, anz_fahrzeuge, place, 1::BIGINT AS idle_runs, n AS arrived, n AS accounted"
+            " FROM (SELECT *, CASE WHEN id % 389 = 0 THEN regexp_replace(messung_dat_zeit, '^2024-..', '2024-00') ELSE messung_dat_zeit END AS t,"
+            " count(*) OVER () AS n FROM counts_cars WHERE messung_dat_zeit LIKE '2024-%')"
+            " JOIN (VALUES ('raw'), ('months'), ('rejects')) AS p(place) ON place = 'raw' OR (place = 'rejects') = (t LIKE '2024-00-%')"),
         "stream_upsert": "SELECT event_id AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS messung_dat_zeit, user_id AS msid, value AS flow FROM events",
         "geometry_roundtrip": s(
             "SELECT u, v, key, x1, y1, x2, y2, CASE WHEN bent THEN 3 ELSE 2 END::INT AS n_vertices FROM net_edges"),

@@ -32,10 +32,10 @@ def test_numbers(spark):
 
 
 def test_ids_and_moments(spark):
-    df = texts(spark, ["123", "123.0", "x", None])
-    assert column(df, cleaning.whole_id("t")) == [123, 123, None, None]
-    df = texts(spark, ["2025-03-01T07:15", "2025-03-01 07:15:30", "2025-13-01", None])
-    assert column(df, cleaning.hour_of(cleaning.moment("t"))) == [7, 7, None, None]
+    df = texts(spark, ["123", "123.0", "x", None, "123.7", "9007199254740993.0", " -5. ", "99999999999999999999"])
+    assert column(df, cleaning.whole_id("t")) == [123, 123, None, None, None, 9007199254740993, -5, None]
+    df = texts(spark, ["2025-03-01T07:15", "2025-03-01 07:15:30", "2025-13-01", None, "12:34"])
+    assert column(df, cleaning.hour_of(cleaning.moment("t"))) == [7, 7, None, None, None]
 
 
 def test_clock_hours(spark):

@@ -14,10 +14,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    texts = entry._text_queries()  # those beyond SQL have tests of their own
+    assert set(entry.oracle_sql()) >= set(entry.queries()) - set(texts.QUERIES if texts else ())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.oracle_sql()))
 def test_query_matches_oracle(name, spark, con):
     found = spark_rows(entry.queries()[name](spark, SF_DIR))
     assert difference(found, oracle_rows(con, entry.oracle_sql()[name])) == ""

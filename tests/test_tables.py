@@ -233,6 +233,44 @@ def test_streamed_months(spark, tmp_path):
     assert sorted((r.id, r.v) for r in spark.read.parquet(str(tmp_path / "months")).collect()) == [(1, "A"), (2, "b")]
 
 
+@pytest.mark.parametrize("per_batch", [1, 1000])
+def test_streams_lose_nothing(spark, tmp_path, per_batch):
+    """Files whose times jump back by days, copies in different files, more batches than one merge takes."""
+    landed, schema = str(tmp_path / "landed"), "id long, ts timestamp_ntz, msid long, flow double"
+    times = ["2024-01-09 10:00:00", "2024-01-01 10:30:00", "2024-01-20 10:00:00", "2024-01-01 10:45:00"]
+    rows = [(i, times[i % 4], i % 2, float(i)) for i in range(24)]
+    for i, row in enumerate(rows):
+        both = [row, rows[(i + 7) % 24]]
+        spark.createDataFrame(both, "id long, ts string, msid long, flow double").withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.mode("append").parquet(landed)
+    read = lambda: streaming.read_landed(spark, landed, spark.read.parquet(landed).schema, files_per_batch=per_batch)
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    streaming.collect_parts(read(), out, state, streaming.first_copies, streaming.first_copies)
+    once = streaming.first_copies(streaming.read_parts(spark, out))
+    assert sorted(r.id for r in once.collect()) == list(range(24))
+    streaming.collect_parts(read(), out + "2", state + "2", streaming.hour_parts, streaming.added)
+    got = {(str(r.hour_start), r.msid): (r.mean_flow, r.n) for r in streaming.hourly_means(streaming.read_parts(spark, out + "2")).collect()}
+    want: dict = {}
+    for _, ts, station, flow in rows:
+        want.setdefault((ts[:14] + "00:00", station), []).append(flow)
+    assert got == {k: (sum(v) / len(v), 2 * len(v)) for k, v in want.items()}
+
+
+def test_rejects_are_counted(spark, tmp_path):
+    folders = ingest.Folders(*[str(tmp_path / n) for n in ("raw", "months", "state", "audit")])
+    rows = [(1, "2025-01-01T01:00:00", "a"), (2, "2025-13-01T01:00:00", "b"), (3, "2025-xx", "c")]
+
+    def fail():
+        raise ConnectionError
+
+    with pytest.raises(ConnectionError):
+        ingest.ingest_year(source(spark, rows), 2025, "cars", "r1", folders, before_state=fail)
+    assert ingest.ingest_year(source(spark, rows), 2025, "cars", "r2", folders) == "success"
+    assert spark.read.parquet(folders.raw).count() == 3 and spark.read.parquet(folders.months).count() == 1
+    assert sorted(r.id for r in spark.read.parquet(landing.rejects_folder(folders.months)).collect()) == [2, 3]
+    note = spark.read.parquet(folders.audit).filter("run_id = 'r2'").first()["message"]
+    assert note == '{"records_arrived": 3, "records_written": 1, "records_rejected": 2}'
+
+
 # ------------------------------------------------------------------------------ plans
 def test_plans_have_no_cross_joins_and_prune_columns(spark, capsys):
     import __spark_entry__ as entry
