@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage and their SQL."""
+"""The registered queries of this subpackage; ``ORACLES`` has the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from kerbsight.llm.oracles import ORACLES
 from kerbsight.session import scratch_root
 
 
@@ -92,4 +93,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
