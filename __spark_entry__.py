@@ -182,9 +182,11 @@ def audit_summary(spark, sf):
 
 
 def table_fingerprint(spark, sf):
-    return landing.fingerprint(standin.table(spark, sf, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", F.round(c("o_totalprice") * 100).cast("bigint").alias("cents")
-    ))
+    """Over all columns; the price in whole cents and the date as days, so that both sides write them alike."""
+    orders = standin.table(spark, sf, "orders")
+    return landing.fingerprint(orders.withColumns({
+        "o_totalprice": F.round(c("o_totalprice") * 100).cast("bigint"), "o_orderdate": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
+    }))
 
 
 def _events(spark, sf):
@@ -367,23 +369,37 @@ def summary_check(spark, sf):
     return imp.summary_check(imp.summary(imp.impressions(_areas(spark, sf), _items(spark, sf))))
 
 
-def gold_checks(spark, sf):
+def _gold_tables(spark, sf):
+    """All eight gold tables, with rows that break each rule: repeated keys, missing geometries, flows without an edge."""
     edges = cut(_numbered(spark, sf).select("edge_id", "u", "v", "key", "geom"))
-    published = wkb.to_wkb(edges.select("edge_id", "u", "v", "key", "geom"))
-    return gold.gold_checks({
-        "bike_edges": published, "motorized_traffic_edges": published,
-        "bike_flows": standin.flows_bike(edges), "motorized_traffic_flows": standin.flows_cars(edges),
+
+    def repeated(df):
+        return df.unionByName(df.filter(c("edge_id") % 10 == 0))
+
+    def lost(df):
+        return repeated(df).withColumn("edge_id", F.when(c("edge_id") % 17 == 0, c("edge_id") + 10**9).otherwise(c("edge_id")))
+
+    def blank(df):
+        return repeated(df).withColumn("geometry", F.when(c("edge_id") % 13 != 0, c("geometry")))
+
+    written = blank(wkb.to_wkb(edges))
+    plain = lambda flows: propagate.normalize_overall(flows.drop("geom"))
+    return {
+        "frontage_visibility": visibility.visibility_gold(standin.frontages(spark, sf)),
+        "bike_edges": written, "ped_edges": written, "motorized_traffic_edges": written,
+        "bike_flows": lost(plain(standin.flows_bike(edges))), "ped_flows": lost(plain(standin.flows_ped(edges))),
+        "motorized_traffic_flows": lost(standin.flows_cars(edges).drop("geom")),
         "transit_flows_hourly": wkb.to_wkb(standin.flows_transit(spark, sf)),
-    })
+    }
+
+
+def gold_checks(spark, sf):
+    return gold.gold_checks(_gold_tables(spark, sf))
 
 
 def publish_gold(spark, sf):
-    """Publish edge and flow tables, then check what was written."""
-    edges = cut(_numbered(spark, sf).select("edge_id", "u", "v", "key", "geom"))
-    flows = propagate.normalize_overall(standin.flows_bike(edges).drop("geom"))
-    _, report = gold.publish_checked(
-        {"bike_edges": wkb.to_wkb(edges), "bike_flows": flows}, _run_folder(spark, "gold")
-    )
+    """Publish all gold tables, then check what was written."""
+    _, report = gold.publish_checked(_gold_tables(spark, sf), _run_folder(spark, "gold"))
     return report
 
 

@@ -8,12 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbsight.functions import geo
+from kerbsight.operators.components import components
 from kerbsight.operators.network import Adjacency, adjacency
 from kerbsight.session import cut, cut_observed
 
 
-#: with at most this many improved nodes, settled sources leave the loop
+#: up to this many improved nodes, the sources that still move are broadcast
 FEW_ROWS = 20_000
+#: rows of the search for each source, beyond which targets that no way can reach are looked for
+WIDE = 500
 #: levels of one job: where offers are folded to the smallest per node
 EACH, PAIRS = [True] * 4, [False, True] * 4
 
@@ -29,13 +32,16 @@ def shortest_paths(pairs: DataFrame, edges: DataFrame, max_levels: int = 100_000
     net = net or adjacency(edges)
     wanted = pairs.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct()
     wanted = cut(wanted, "pairs")
-    state, hops = _distances(wanted, net, max_levels)
+    state, hops = _distances(wanted, net, max_levels, edges)
     return _walk_back(wanted, state, hops)
 
 
-def _distances(wanted: DataFrame, net: Adjacency, max_levels: int) -> tuple[DataFrame, int]:
+def _distances(wanted: DataFrame, net: Adjacency, max_levels: int, edges: DataFrame) -> tuple[DataFrame, int]:
     """Relax all sources together until no distance improves.
 
+    A source leaves the table when nothing of it moves any more, at the latest when half of the sources are done. When the
+    search grows wide, targets in another component than their source are dropped, as they would keep it unbounded.
+
     Target nodes are in the table from the start with an infinite distance. The
     largest target distance of a source bounds its search as soon as all of its
     targets are reached; nodes beyond the bound are not expanded.
@@ -54,7 +60,7 @@ def _distances(wanted: DataFrame, net: Adjacency, max_levels: int) -> tuple[Data
     state = cut(state, "reach")
     settled: list[DataFrame] = []
     relax = _Relax(net)
-    done, steps, hops = 0, EACH, 0
+    done, steps, hops, checked = 0, EACH, 0, False
     while done < max_levels:
         bound = state.filter("target").groupBy("src").agg(F.max("dist").alias("bound"))
         # only improved nodes spread; they meet the full table once per job
@@ -65,20 +71,34 @@ def _distances(wanted: DataFrame, net: Adjacency, max_levels: int) -> tuple[Data
         done += len(steps)
         merged = state.withColumn("fresh", F.lit(False)).unionByName(moving.drop("bound")).groupBy("src", "node").agg(*relax.kept)
         state, seen = cut_observed(
-            merged.select(*relax.result), "reach", fresh=F.count_if("fresh"), hops=F.max(F.when(c("dist") < never, c("hops")))
+            merged.select(*relax.result), "reach", fresh=F.count_if("fresh"), hops=F.max(F.when(c("dist") < never, c("hops"))),
+            rows=F.count(F.lit(1)), sources=F.approx_count_distinct("src"), moving=F.approx_count_distinct(F.when(c("fresh"), c("src"))),
         )
         hops = max(hops, seen["hops"] or 0)
         if not seen["fresh"]:
             return reduce(DataFrame.unionByName, settled, state), hops
-        steps = EACH
-        if seen["fresh"] <= FEW_ROWS:
-            active = F.broadcast(state.filter("fresh").select("src").distinct())
+        few = seen["fresh"] <= FEW_ROWS
+        if few or 2 * seen["moving"] <= seen["sources"]:
+            active = state.filter("fresh").select("src").distinct()
+            active = F.broadcast(active) if few else active
             settled.append(state.join(active, "src", "left_anti"))
             state = state.join(active, "src", "left_semi")
-            steps = PAIRS
+        steps = PAIRS if few else EACH
+        if not checked and seen["rows"] > WIDE * max(1, seen["sources"]):
+            state, checked = cut(_reachable(state, edges), "reach"), True
     raise RuntimeError(f"distances still improving after {max_levels} levels")
 
 
+def _reachable(state: DataFrame, edges: DataFrame) -> DataFrame:
+    """The state without targets that no edges connect with their source, whatever their direction."""
+    roots = components(edges.select("u", "v"), "u", "v")
+    lost = F.col("target") & (F.col("dist") == float("inf"))
+    here, there = (roots.select(F.col("node").alias(n), F.col("root").alias(f"{n}_root")) for n in ("src", "node"))
+    asked = state.filter(lost).join(here, "src", "left").join(there, "node", "left")
+    apart = asked.filter(~F.coalesce(F.col("src_root") == F.col("node_root"), F.lit(False))).select("src", "node")
+    return state.join(apart, ["src", "node"], "left_anti")
+
+
 class _Relax:
     """Improved nodes offer a distance to their neighbours; the smallest offer stays."""
 

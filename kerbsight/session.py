@@ -67,3 +67,12 @@ def cut_observed(df: DataFrame, label: str = "stage", **metrics: Column) -> tupl
 def row_count() -> Column:
     """Row-count metric for :func:`cut_observed`."""
     return F.count(F.lit(1))
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables that :func:`cut` has written, once nothing reads them any more."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

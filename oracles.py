@@ -6,11 +6,13 @@
 
 from __future__ import annotations
 
+import csv
 import re
+from pathlib import Path
 
-from kerbsight.functions.direction import LABEL_BEARINGS
-
-LABELS = ", ".join(f"({i}, '{k}', {float(b)}::DOUBLE)" for i, (k, b) in enumerate(LABEL_BEARINGS.items()))
+#: the expected bearings, in the order in which they are tried; not read from the code under test
+with Path(__file__).with_name("oracle_labels.csv").open(encoding="utf-8") as _file:
+    LABELS = ", ".join(f"({i}, '{r['word']}', {r['bearing']}::DOUBLE)" for i, r in enumerate(csv.DictReader(_file)))
 
 
 def lon(e: str, n: str) -> str:
@@ -505,8 +507,8 @@ def oracle_sql() -> dict[str, str]:
           FROM events GROUP BY 1""",
         "table_fingerprint": """
           WITH d AS (SELECT sha256(concat_ws(chr(31), coalesce('=' || o_orderkey::VARCHAR, '-'), coalesce('=' || o_custkey::VARCHAR, '-'),
-                       coalesce('=' || o_orderstatus, '-'), coalesce('=' || o_orderpriority, '-'),
-                       coalesce('=' || round(o_totalprice * 100)::BIGINT::VARCHAR, '-'))) AS h FROM orders)
+                       coalesce('=' || o_orderstatus, '-'), coalesce('=' || round(o_totalprice * 100)::BIGINT::VARCHAR, '-'),
+                       coalesce('=' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), '-'), coalesce('=' || o_orderpriority, '-'))) AS h FROM orders)
           SELECT count(*) AS n_rows, sha256(concat_ws('-', count(*)::VARCHAR, """ + ", ".join(
             f"sum(('0x' || h[{8 * i + 1}:{8 * i + 8}])::BIGINT)::VARCHAR" for i in range(8)) + ")) AS sha256 FROM d",
         "stream_hourly_counts": """
@@ -562,10 +564,14 @@ def oracle_sql() -> dict[str, str]:
             "SELECT count(*) AS row_count, count(*) FILTER (total > 0) AS with_data FROM"
             " (SELECT objectid, sum(total_impressions) AS total FROM impressions GROUP BY objectid)"),
         "gold_checks": s("""
-          SELECT 'bike_edges' AS table_name, (SELECT count(*) FROM net_edges) AS n_rows, 0::BIGINT AS repeated, 0::BIGINT AS nulls, 0::BIGINT AS orphans
-          UNION ALL SELECT 'bike_flows', (SELECT count(*) FROM flows_bike), 0, 0, 0
-          UNION ALL SELECT 'motorized_traffic_edges', (SELECT count(*) FROM net_edges), 0, 0, 0
-          UNION ALL SELECT 'motorized_traffic_flows', (SELECT count(*) FROM flows_cars), 0, 0, 0
+          SELECT 'frontage_visibility' AS table_name, (SELECT count(*) FROM centroids) AS n_rows, 0::BIGINT AS repeated, 0::BIGINT AS nulls, 0::BIGINT AS orphans
+          UNION ALL SELECT t, n, r, g, 0 FROM (VALUES ('bike_edges'), ('ped_edges'), ('motorized_traffic_edges')) v(t),
+            (SELECT count(*) + count(*) FILTER (edge_id % 10 = 0) AS n, count(*) FILTER (edge_id % 10 = 0) AS r,
+                    count(*) FILTER (edge_id % 13 = 0) + count(*) FILTER (edge_id % 130 = 0) AS g FROM net_edges)
+          UNION ALL SELECT t, count(*) + count(*) FILTER (edge_id % 10 = 0), count(*) FILTER (edge_id % 10 = 0), 0,
+            count(*) FILTER (edge_id % 17 = 0) + count(*) FILTER (edge_id % 170 = 0)
+            FROM (SELECT 'bike_flows' AS t, edge_id FROM flows_bike UNION ALL SELECT 'ped_flows', edge_id FROM flows_ped
+                  UNION ALL SELECT 'motorized_traffic_flows', edge_id FROM flows_cars) GROUP BY t
           UNION ALL SELECT 'transit_flows_hourly', (SELECT count(*) FROM flows_transit), 0, 0, 0"""),
         "snap_stats": s("""
           SELECT count(dist) AS n, round(avg(dist), 4) AS mean, round(stddev(dist), 4) AS std, round(min(dist), 4) AS min,
@@ -573,8 +579,15 @@ def oracle_sql() -> dict[str, str]:
                  round(quantile_cont(dist, 0.75), 4) AS q75, round(max(dist), 4) AS max FROM car_starts"""),
         "direction_counts": s("SELECT richtung_typ, count(*) AS n FROM car_seeds GROUP BY 1"),
         "publish_gold": s("""
-          SELECT 'bike_edges' AS table_name, (SELECT count(*) FROM net_edges) AS n_rows, 0::BIGINT AS repeated, 0::BIGINT AS nulls, 0::BIGINT AS orphans
-          UNION ALL SELECT 'bike_flows', (SELECT count(*) FROM flows_bike), 0, 0, 0"""),
+          SELECT 'frontage_visibility' AS table_name, (SELECT count(*) FROM centroids) AS n_rows, 0::BIGINT AS repeated, 0::BIGINT AS nulls, 0::BIGINT AS orphans
+          UNION ALL SELECT t, n, r, g, 0 FROM (VALUES ('bike_edges'), ('ped_edges'), ('motorized_traffic_edges')) v(t),
+            (SELECT count(*) + count(*) FILTER (edge_id % 10 = 0) AS n, count(*) FILTER (edge_id % 10 = 0) AS r,
+                    count(*) FILTER (edge_id % 13 = 0) + count(*) FILTER (edge_id % 130 = 0) AS g FROM net_edges)
+          UNION ALL SELECT t, count(*) + count(*) FILTER (edge_id % 10 = 0), count(*) FILTER (edge_id % 10 = 0), 0,
+            count(*) FILTER (edge_id % 17 = 0) + count(*) FILTER (edge_id % 170 = 0)
+            FROM (SELECT 'bike_flows' AS t, edge_id FROM flows_bike UNION ALL SELECT 'ped_flows', edge_id FROM flows_ped
+                  UNION ALL SELECT 'motorized_traffic_flows', edge_id FROM flows_cars) GROUP BY t
+          UNION ALL SELECT 'transit_flows_hourly', (SELECT count(*) FROM flows_transit), 0, 0, 0"""),
         "landed_days": s(
             "SELECT datum[1:4]::INT AS year, datum[6:7]::INT AS month, datum[9:10]::INT AS day, count(*) AS n FROM counts_pedbike"
             " WHERE datum >= '2024-01-01' AND datum < '2024-02-01' GROUP BY 1, 2, 3"),

@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from kerbsight.operators import network, propagate
+from kerbsight.operators import paths as paths_module
+from kerbsight.operators.components import components
 from kerbsight.operators.network import adjacency, attach_edge_ids, dense_ids, edge_bearings, with_edge_ids
 from kerbsight.operators.paths import path_lines, shortest_paths
 
@@ -82,6 +84,12 @@ def test_cars_follow_the_queue(spark, seed):
     assert all(found[k] == pytest.approx(wanted[k], rel=1e-9) for k in wanted)
 
 
+def test_cars_with_shuffled_networks(spark, monkeypatch):
+    monkeypatch.setattr(network, "BROADCAST_EDGES", 0)
+    monkeypatch.setattr(propagate, "FEW_ROWS", 0)
+    test_cars_follow_the_queue(spark, 1)
+
+
 def test_cars_with_hubs_and_single_level_jobs(spark, monkeypatch):
     monkeypatch.setattr(network, "CHUNK", 2)
     monkeypatch.setattr(propagate, "FEW_ROWS", 0)
@@ -200,9 +208,14 @@ def dijkstra(rows, source):
     return best
 
 
-@pytest.mark.parametrize("seed,chunk", [(1, 64), (2, 64), (3, 2)])
-def test_shortest_paths(spark, monkeypatch, seed, chunk):
+@pytest.mark.parametrize("seed,chunk,large", [(1, 64, False), (2, 64, True), (3, 2, False)])
+def test_shortest_paths(spark, monkeypatch, seed, chunk, large):
+    """``large``: the plans of a network and a search that are too large to broadcast."""
     monkeypatch.setattr(network, "CHUNK", chunk)
+    if large:
+        monkeypatch.setattr(network, "BROADCAST_EDGES", 0)
+        monkeypatch.setattr(paths_module, "FEW_ROWS", 0)
+        monkeypatch.setattr(paths_module, "WIDE", 0)
     rows = graph(seed, nodes=25, edges=60, hub=chunk < 64)
     rng = random.Random(seed)
     pairs = {(rng.randrange(25), rng.randrange(25)) for _ in range(25)} | {(3, 3), (3, 999)}
@@ -224,6 +237,43 @@ def test_shortest_paths(spark, monkeypatch, seed, chunk):
         assert paths[(src, dst)][0][1] == pytest.approx(best[0])
 
 
+def test_unreachable_targets_do_not_flood(spark, monkeypatch):
+    """A 30 x 30 grid, eight near targets, and for every source one in another component."""
+    monkeypatch.setattr(paths_module, "WIDE", 20)
+    rows = []
+    for i in range(30):
+        for j in range(30):
+            for x, y in ((i + 1, j), (i, j + 1)):
+                if x < 30 and y < 30:
+                    a, b = 30 * i + j, 30 * x + y
+                    rows += [(a, b, 0, 100.0, 0.0, []), (b, a, 0, 100.0, 0.0, [])]
+    edges = spark.createDataFrame([*rows, (5000, 5001, 0, 1.0, 0.0, [])], EDGES)
+    near = [(30 * k, 30 * k + 2) for k in range(0, 24, 3)]
+    wanted = spark.createDataFrame(near + [(s, 5001) for s, _ in near], "src long, dst long")
+    state, _ = paths_module._distances(wanted, adjacency(edges), 1000, edges)
+    assert state.count() < 8 * 200  # 8 x 900 if every source spreads over the whole grid
+    found = shortest_paths(wanted, edges)
+    assert sorted((r.src, r.dst) for r in found.select("src", "dst").distinct().collect()) == near
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    links = [(rng.randrange(200), rng.randrange(200)) for _ in range(110)]
+    root = list(range(200))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
+    assert got == {x: find(x) for pair in links if pair[0] != pair[1] for x in pair}
+
+
 def test_path_lines(spark):
     paths = spark.createDataFrame([(1, 3, 0, 1, 20.0), (1, 3, 1, 2, 20.0), (1, 3, 2, 3, 20.0)], "src long, dst long, pos int, node long, length double")
     nodes = spark.createDataFrame([(1, 0.0, 0.0), (2, 10.0, 0.0), (3, 10.0, 10.0)], "node_id long, x double, y double")
