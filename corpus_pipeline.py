@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbsight.llm import huffman, mixing, ngram_jaccard, quality, simhash_scan
-from kerbsight.llm.store import Scratch
+from kerbsight.llm.store import Scratch, is_small
 from kerbsight.session import scratch_root
 
 c = F.col
@@ -30,12 +30,17 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Rows that repeat the doc_id of a group are one document; the row with the smallest text, then source, stays. A document
     without a doc_id stays: nothing names it, so nothing can stand for it."""
+    scratch = Scratch(spark)
     found = ngram_jaccard.jaccard_components(docs).where(c("doc_id") != c("component_id")).select("doc_id").distinct()
-    left = docs.join(found, "doc_id", "left_anti")
-    repeated = left.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1 and doc_id is not null").select("doc_id")
-    once = left.join(repeated, "doc_id", "left_anti")
-    first = left.join(repeated, "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "source", *[x for x in docs.columns if x not in ("doc_id", "text", "source")])).alias("r"))
-    return once.select(docs.columns).unionByName(first.select("doc_id", "r.*").select(docs.columns))
+    found, seen = scratch.keep(found, "near-copies", rows=F.count(F.lit(1)))
+    left = docs.join(F.broadcast(found) if is_small(seen["rows"], 16) else found, "doc_id", "left_anti").select(docs.columns)
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("doc_id")
+    repeated, seen = scratch.keep(repeated, "repeated-ids", rows=F.count(F.lit(1)))
+    if not seen["rows"]:
+        return left
+    rest = F.struct("text", "source", *[x for x in docs.columns if x not in ("doc_id", "text", "source")])
+    first = left.join(repeated, "doc_id").groupBy("doc_id").agg(F.min(rest).alias("r")).select("doc_id", "r.*")
+    return left.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(first.select(docs.columns))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
