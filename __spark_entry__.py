@@ -229,6 +229,13 @@ def nearest_edge_ties(spark, sf):
     return _round(nearest_edges(points, ["fk_standort"], standin.net_edges(spark, sf)), dist=4)
 
 
+def nearest_edge_crowded(spark, sf):
+    """The same, with a segment for every order inside one square metre."""
+    places = profiles.station_places(profiles.clean_pedbike_counts(standin.counts_pedbike(spark, sf)))
+    points = places.select("fk_standort", c("ost").alias("px"), c("nord").alias("py"))
+    return _round(nearest_edges(points, ["fk_standort"], standin.crowded_edges(spark, sf)), dist=4)
+
+
 def nearest_edge_one(spark, sf):
     placed = car_flows.placed_seeds(standin.counts_cars(spark, sf), standin.net_edges(spark, sf))
     return _round(placed, dist=4).select("msid", "richtung", "hour", "u", "v", "key", "dist", "start_node")
@@ -541,6 +548,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_hourly_counts": stream_hourly_counts,
         "stream_deduped": stream_deduped,
         "nearest_edge_ties": nearest_edge_ties,
+        "nearest_edge_crowded": nearest_edge_crowded,
         "nearest_edge_one": nearest_edge_one,
         "nearest_node": nearest_node,
         "spatial_intersects": spatial_intersects,

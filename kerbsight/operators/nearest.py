@@ -11,7 +11,9 @@ farther than the nearest occupied one could possibly be are dropped. Segments ar
 met in cells of the first size only.
 
 Copies do no work: points that share coordinates and segments that share both ends
-are searched once. The first cell size is made smaller until no cell is crowded.
+are searched once. The first cell size is made smaller while cells are crowded all
+over the network. A few crowded cells do not change it: their pieces are dealt into
+shares of bounded size, and a point that looks there asks every share.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql.window import Window
 
 from kerbsight.functions import geo
 from kerbsight.operators.spatial_join import box_cells, piece_rows, segment_rows
-from kerbsight.session import cut_observed, row_count
+from kerbsight.session import cut, cut_observed, dropped, row_count
 
 MAX_ROUNDS = 12
 
@@ -32,6 +34,7 @@ MAX_ROUNDS = 12
 ENDS = ["sx1", "sy1", "sx2", "sy2"]
 BOX = ("sl", "sb", "sr", "st")
 SMALLEST_CELL = 0.5
+FEW_CROWDED = 100
 
 
 def _distance(places: int = 6) -> Column:
@@ -52,15 +55,29 @@ def _same_way(segments: DataFrame) -> DataFrame:
 
 
 def _pieces_and_cells(unique: DataFrame, cell: float, hot_rows: int) -> tuple[DataFrame, DataFrame, float]:
-    """Segment pieces per cell, the occupied cells and the cell size, which is made
-    smaller until a cell holds at most ``hot_rows`` pieces."""
+    """Segment pieces per cell and share, written once; the occupied cells with their number of shares; the cell size.
+
+    The size is divided while more than one occupied cell in ``FEW_CROWDED`` holds over ``hot_rows`` pieces."""
     while True:
-        pieces = box_cells(piece_rows(unique, ["line"], cell), BOX, cell)
-        counted = pieces.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"))
-        occupied, seen = cut_observed(counted, "occupied", peak=F.max("n"))
-        if seen["peak"] <= hot_rows or cell <= SMALLEST_CELL:
-            return pieces, occupied, cell
+        pieces = cut(box_cells(piece_rows(unique, ["line"], cell), BOX, cell), "pieces")
+        counted = pieces.groupBy("cx", "cy").agg(F.ceil(F.count(F.lit(1)) / hot_rows).cast("int").alias("shares"))
+        occupied, seen = cut_observed(counted, "occupied", crowded=F.count_if(F.col("shares") > 1), cells=row_count())
+        if seen["crowded"] * FEW_CROWDED <= seen["cells"] or cell <= SMALLEST_CELL:
+            break
+        dropped(pieces, occupied)
         cell /= 4
+    if not seen["crowded"]:
+        return pieces.withColumn("share", F.lit(0)), occupied, cell
+    crowded = occupied.filter("shares > 1")
+    dealt = pieces.join(crowded, ["cx", "cy"], "left")
+    share = F.coalesce(F.pmod(F.xxhash64(*ENDS), F.col("shares")).cast("int"), F.lit(0))
+    return dealt.withColumn("share", share).drop("shares"), occupied, cell
+
+
+def _met(near: DataFrame, pieces: DataFrame, occupied: DataFrame) -> DataFrame:
+    """Rows of points in cells with every piece there, share by share."""
+    asked = near.join(occupied, ["cx", "cy"]).withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+    return asked.drop("shares").join(pieces, ["cx", "cy", "share"])
 
 
 def _nearest(points: DataFrame, point_keys: list[str], lines: DataFrame, line_keys: list[str],
@@ -79,7 +96,7 @@ def _nearest(points: DataFrame, point_keys: list[str], lines: DataFrame, line_ke
     for step in range(MAX_ROUNDS):
         near, margin = _near_cells(todo, point_keys, occupied, cell, step)
         winner = F.min(F.struct(_distance().alias("d2"), "line")).alias("w")
-        best = near.join(pieces, ["cx", "cy"]).groupBy(*point_keys).agg(winner)
+        best = _met(near, pieces, occupied).groupBy(*point_keys).agg(winner)
         tried = todo.join(best, point_keys, "left").withColumn(
             "done", F.coalesce(F.sqrt(F.col("w.d2")) <= margin, F.lit(False))
         )
@@ -92,7 +109,7 @@ def _nearest(points: DataFrame, point_keys: list[str], lines: DataFrame, line_ke
                 # second look with the known distance: only the tied segments leave the join
                 cells, _ = _near_cells(found, point_keys, occupied, cell, step)
                 known = found.select(*point_keys, F.col("w.d2").alias("d2"))
-                hits = cells.join(known, point_keys).join(pieces, ["cx", "cy"]).filter(_distance() <= F.col("d2"))
+                hits = _met(cells.join(known, point_keys), pieces, occupied).filter(_distance() <= F.col("d2"))
                 tied = hits.select(*point_keys, *ENDS, F.sqrt("d2").alias("dist")).distinct()
                 settled.append(tied.join(segments, ENDS).select(*point_keys, *line_keys, "dist").distinct())
             else:

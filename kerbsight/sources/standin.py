@@ -14,6 +14,9 @@ from kerbsight.functions import geo
 
 GRID = 40
 
+#: the corner of the crowded square metre
+CROWD = (2676100.0, 1241100.0)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -32,6 +35,19 @@ def net_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def crowded_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The network and one short segment for every order, all within one square metre."""
+    k = F.col("o_orderkey")
+
+    def at(corner: float, factor: int) -> Column:
+        return F.lit(corner) + (k * factor % 1000) / 1000.0
+
+    ends = [geo.point(at(CROWD[0], 7), at(CROWD[1], 13)), geo.point(at(CROWD[0], 17), at(CROWD[1], 29))]
+    crowd = table(spark, sf_dir, "orders").select(
+        (-k).alias("u"), F.lit(-1).cast("bigint").alias("v"), F.lit(0).alias("key"), F.array(F.array(*ends)).alias("geom"))
+    return net_edges(spark, sf_dir).select("u", "v", "key", "geom").unionByName(crowd)
+
+
 def net_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both directions of every grid step; some one-way, some doubled, some bent."""
     nodes = net_nodes(spark, sf_dir)

@@ -124,3 +124,20 @@ def test_a_point_without_any_network_is_an_error(spark):
     points = spark.createDataFrame([(1, 5.0, 0.0)], "id long, px double, py double")
     with pytest.raises(ValueError):
         nearest_edges(points, ["id"], edges)
+
+
+def test_a_crowded_square_metre_does_not_shrink_the_grid(spark):
+    """6,000 segments in one square metre next to a plain network of 4,000."""
+    plain = [(i, 0, 0, 100.0 * (i % 60), 100.0 * (i // 60), 100.0 * (i % 60) + 100, 100.0 * (i // 60)) for i in range(4000)]
+    crowd = [(10_000 + i, 0, 0, 50 + i * 7 % 1000 / 1000, 50 + i * 13 % 1000 / 1000, 50 + i * 17 % 1000 / 1000, 50 + i * 29 % 1000 / 1000) for i in range(6000)]
+
+    def pieces(rows):
+        df = spark.createDataFrame(rows, "u long, v long, key int, sx1 double, sy1 double, sx2 double, sy2 double")
+        unique = df.groupBy("sx1", "sy1", "sx2", "sy2").agg(F.min(F.struct("u", "v", "key")).alias("line"))
+        return nearest._pieces_and_cells(unique, 32.0, 1024)
+
+    alone, _, cell = pieces(plain)
+    both, occupied, same = pieces(plain + crowd)
+    assert cell == same == 32.0 and both.count() <= 2 * (alone.count() + 6000)
+    assert occupied.agg(F.max("shares")).first()[0] > 1
+    assert both.groupBy("cx", "cy", "share").count().agg(F.max("count")).first()[0] <= 2 * 1024
