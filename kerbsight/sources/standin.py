@@ -40,7 +40,7 @@ def crowded_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
 
     def at(corner: float, factor: int) -> Column:
-        return F.lit(corner) + (k * factor % 1000) / 1000.0
+        return F.lit(corner) + (k * factor % 10007) / 10007.0
 
     ends = [geo.point(at(CROWD[0], 7), at(CROWD[1], 13)), geo.point(at(CROWD[0], 17), at(CROWD[1], 29))]
     crowd = table(spark, sf_dir, "orders").select(

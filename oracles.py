@@ -519,8 +519,8 @@ def oracle_sql() -> dict[str, str]:
         "nearest_edge_crowded": s(
             "SELECT DISTINCT fk_standort, u, v, key, round(sqrt(d), 4) AS dist FROM crowd_snaps WHERE d = best",
             crowd_segments="SELECT u, v, key, x1, y1, x2, y2 FROM net_segments UNION ALL SELECT -o_orderkey, -1, 0,"
-            " 2676100.0::DOUBLE + (o_orderkey * 7 % 1000) / 1000.0::DOUBLE, 1241100.0::DOUBLE + (o_orderkey * 13 % 1000) / 1000.0::DOUBLE,"
-            " 2676100.0::DOUBLE + (o_orderkey * 17 % 1000) / 1000.0::DOUBLE, 1241100.0::DOUBLE + (o_orderkey * 29 % 1000) / 1000.0::DOUBLE FROM orders",
+            " 2676100.0::DOUBLE + (o_orderkey * 7 % 10007) / 10007.0::DOUBLE, 1241100.0::DOUBLE + (o_orderkey * 13 % 10007) / 10007.0::DOUBLE,"
+            " 2676100.0::DOUBLE + (o_orderkey * 17 % 10007) / 10007.0::DOUBLE, 1241100.0::DOUBLE + (o_orderkey * 29 % 10007) / 10007.0::DOUBLE FROM orders",
             crowd_snaps=f"SELECT *, min(d) OVER (PARTITION BY fk_standort) AS best FROM (SELECT p.fk_standort, s.u, s.v, s.key,"
             f" round({d2('p.ost', 'p.nord')}, 6) AS d FROM pedbike_places p CROSS JOIN crowd_segments s"
             " WHERE p.ost IS NOT NULL AND p.nord IS NOT NULL)"),

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kerbsight.functions import geo
+from kerbsight.operators import nearest
 from kerbsight.operators.impressions import sight_areas
 from kerbsight.operators.nearest import nearest_edges, nearest_nodes
 from kerbsight.operators.spatial_join import meets
@@ -129,7 +130,7 @@ def test_a_point_without_any_network_is_an_error(spark):
 def test_a_crowded_square_metre_does_not_shrink_the_grid(spark):
     """6,000 segments in one square metre next to a plain network of 4,000."""
     plain = [(i, 0, 0, 100.0 * (i % 60), 100.0 * (i // 60), 100.0 * (i % 60) + 100, 100.0 * (i // 60)) for i in range(4000)]
-    crowd = [(10_000 + i, 0, 0, 50 + i * 7 % 1000 / 1000, 50 + i * 13 % 1000 / 1000, 50 + i * 17 % 1000 / 1000, 50 + i * 29 % 1000 / 1000) for i in range(6000)]
+    crowd = [(10_000 + i, 0, 0, 50 + i * 7 % 6007 / 6007, 50 + i * 13 % 6007 / 6007, 50 + i * 17 % 6007 / 6007, 50 + i * 29 % 6007 / 6007) for i in range(6000)]
 
     def pieces(rows):
         df = spark.createDataFrame(rows, "u long, v long, key int, sx1 double, sy1 double, sx2 double, sy2 double")
