@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbsight.session import cut_observed, scratch_root
+from kerbsight.session import cut_observed, dropped, scratch_root
 
 
 BATCH_BYTES = 16 << 20
@@ -39,13 +39,7 @@ class Scratch:
         return (out, seen) if metrics else out
 
     def drop(self, *tables: DataFrame) -> None:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for table in tables:
-            folders = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
-            for folder in folders:
-                path = jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(conf).delete(path, True)
+        dropped(*tables)
 
 
 def is_small(rows: int, bytes_per_row: int, most: int = 16 << 20) -> bool:

@@ -6,7 +6,7 @@ from hashlib import sha256
 
 import numpy as np
 
-from kerbsight.llm import components, embedding_codes, license_scan, ngram_jaccard, phrase_dedup, simhash_scan
+from kerbsight.llm import embedding_codes, license_scan, ngram_jaccard, phrase_dedup, simhash_scan
 from .conftest import prose
 
 
@@ -42,15 +42,6 @@ def brute_components(rows):
     return Counter(out)
 
 
-def test_components(spark):
-    rng = random.Random(1)
-    pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(0, k) for k in range(100, 160)]
-    got = {r.node: r.root for r in components.components(spark.createDataFrame(pairs, "a long, b long"), "a", "b").collect()}
-    want = roots_of(300, pairs)
-    assert got == {i: want[i] for p in pairs if p[0] != p[1] for i in p}
-    assert components.components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
-
-
 def test_jaccard_components(docs, no_docs):
     got = Counter(tuple(r) for r in ngram_jaccard.jaccard_components(docs).collect())
     assert got == brute_components([(r.doc_id, r.text) for r in docs.collect()])
