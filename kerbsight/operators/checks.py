@@ -44,7 +44,8 @@ def describe(df: DataFrame, column: str) -> DataFrame:
     basic = df.withColumn("_all", F.lit(1)).groupBy("_all").agg(
         F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max")
     )
-    return basic.join(quartiles, "_all").select("n", "mean", "std", "min", "q25", "q50", "q75", "max")
+    # one row on either side
+    return basic.join(F.broadcast(quartiles), "_all").select("n", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

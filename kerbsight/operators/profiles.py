@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 from kerbsight import schemas
 from kerbsight.functions import cleaning, direction, geo
 from kerbsight.operators.conform import conform
+from kerbsight.session import cut
 
 
 def _with_id(schema: T.StructType, raw: DataFrame) -> T.StructType:
@@ -121,7 +122,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], columns: list[str], quantile
     long = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(n).alias("name"), c(n).alias("_value")) for n in columns
     ])).alias("_c")).select(*keys, "_c.name", "_c._value").dropna(subset=["_value"])
-    counted = long.groupBy(*by, "_value").agg(F.count(F.lit(1)).alias("_n"))
+    # written once: every later step starts from the distinct values, none from the rows
+    counted = cut(long.groupBy(*by, "_value").agg(F.count(F.lit(1)).alias("_n")), "value-counts")
 
     wanted = F.explode(F.array(*[
         F.struct(F.lit(n).alias("quantile"), F.lit(float(q)).alias("_q")) for n, q in quantiles.items()
