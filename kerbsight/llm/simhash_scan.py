@@ -6,7 +6,8 @@ weight, the number of times it occurs. Shingle bags of similarity 0.75 differ in
 more, the distance would be 24. Candidates are verified by the exact weighted Jaccard similarity of both bags.
 
 Fingerprints are only computed where they can matter: bags of equal size ``m`` reach 0.75 only if 6 of 7 shingles are
-shared, so a window with fewer shingles of any item cannot match. That test is exact and costs one lookup for each word.
+shared, so a window with fewer shingles of an item cannot match it. That test is exact; it costs one lookup for each word, and
+the items are only counted where a shingle of theirs is found.
 
 The items are a small table. Its size is checked; a larger one is scanned slice by slice, each small enough to broadcast.
 """
@@ -45,10 +46,10 @@ def similarity(a: Counter, b: Counter) -> float:
 
 
 class Items:
-    """The items of one slice: their bags, fingerprints by window size, and the set of all their shingles."""
+    """The items of one slice: their bags, fingerprints by window size, and which of them hold a shingle."""
 
     def __init__(self, items: list[tuple[str | None, bytes]]):
-        self.names, self.bags, self.sizes, prints, shingles = [], [], [], [], []
+        self.names, self.bags, self.sizes, prints = [], [], [], []
         for name, text in items:
             codes = W.word_codes(text.lower().split())
             if len(codes):
@@ -57,10 +58,13 @@ class Items:
                 self.bags.append(Counter(runs.tolist()))
                 self.sizes.append(len(codes))
                 prints.append(fingerprint(runs))
-                shingles.append(runs)
         self.prints = np.array(prints, np.uint64)
         self.by_size: dict[int, np.ndarray] = {s: np.flatnonzero(np.array(self.sizes) == s) for s in sorted(set(self.sizes))}
-        self.shingles = {k: np.unique(np.concatenate([r for r, n in zip(shingles, self.sizes, strict=True) if min(n, SHINGLE) == k])) for k in {min(n, SHINGLE) for n in self.sizes}}
+        self.held: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}  # by shingle length: codes, first place in items, items
+        for k in {min(n, SHINGLE) for n in self.sizes}:
+            pairs = np.array(sorted((s, i) for i, (bag, n) in enumerate(zip(self.bags, self.sizes, strict=True)) if min(n, SHINGLE) == k for s in bag), np.uint64)
+            codes, first = np.unique(pairs[:, 0], return_index=True)
+            self.held[k] = codes, np.r_[first, len(pairs)], pairs[:, 1].astype(np.int64)
         self._near: dict[tuple[int, int, int], np.ndarray] = {}
 
     def near(self, size: int, print_: np.uint64) -> np.ndarray:
@@ -87,30 +91,41 @@ class Items:
             return []
         codes = W.word_codes(text.lower().split())
         best: dict[int, tuple[float, int, int]] = {}
-        hits: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for k, known in self.shingles.items():
+        for k, (known, first, items) in self.held.items():
             runs = W.run_codes(codes, k)
-            at = np.searchsorted(known, runs)
-            hit = known[np.minimum(at, len(known) - 1)] == runs
-            if hit.any():
-                hits[k] = runs, np.r_[0, np.cumsum(hit)]
-        for size in self.by_size if hits else ():
-            k = min(size, SHINGLE)
-            if k not in hits:
+            at = np.minimum(np.searchsorted(known, runs), len(known) - 1)
+            hits = np.flatnonzero(known[at] == runs)
+            if not len(hits):
                 continue
-            runs, before = hits[k]
-            wide = min(size - k + 1, len(runs))  # a text shorter than the item is one window
-            count = before[wide:] - before[:-wide]
-            # equal bags of m share 6 m / 7; a shorter text, 0.75 of what it could at most have
-            needed = -(-6 * wide // 7) if wide == size - k + 1 else LEAST * (size - k + 1)
-            for start in np.flatnonzero(count >= needed):
-                window = runs[start : start + wide]
-                for item in self.near(size, fingerprint(window)):
-                    close = similarity(Counter(window.tolist()), self.bags[item])
-                    if close >= LEAST and close > best.get(item, (0.0,))[0]:
-                        best[item] = (close, int(start), wide + k - 1)
+            for size, starts in self._windows(k, runs, hits, [items[first[j] : first[j + 1]] for j in at[hits]]).items():
+                wide = min(size - k + 1, len(runs))  # a text shorter than the item is one window
+                for start in sorted(starts):
+                    window = runs[start : start + wide]
+                    for item in self.near(size, fingerprint(window)):
+                        close = similarity(Counter(window.tolist()), self.bags[item])
+                        if close >= LEAST and close > best.get(item, (0.0,))[0]:
+                            best[item] = (close, start, wide + k - 1)
         return [(self.names[i], start, n, close) for i, (close, start, n) in sorted(best.items())]
 
+    def _windows(self, k: int, runs: np.ndarray, hits: np.ndarray, holders: list[np.ndarray]) -> dict[int, set[int]]:
+        """By item size the windows that hold enough shingles of some item of that size."""
+        item = np.concatenate(holders)
+        place = np.repeat(hits, [len(h) for h in holders])
+        out: dict[int, set[int]] = defaultdict(set)
+        names, counts = np.unique(item, return_counts=True)
+        for i, count in zip(names.tolist(), counts.tolist(), strict=True):
+            size = self.sizes[i]
+            most = size - k + 1
+            wide = min(most, len(runs))
+            # equal bags of m share 6 m / 7; a shorter text, 0.75 of what it could at most have
+            needed = -(-6 * wide // 7) if wide == most else LEAST * most
+            if count >= needed:
+                own = np.zeros(len(runs) + 1, np.int64)
+                own[place[item == i] + 1] = 1
+                before = np.cumsum(own)
+                out[size].update(np.flatnonzero(before[wide:] - before[:-wide] >= needed).tolist())
+        return out
+
 
 def _slices(benchmark: DataFrame) -> Iterator[Items]:
     """The items as (id as text, text), in slices of bounded size; null texts are left out."""
