@@ -14,6 +14,7 @@ any other. It is decoded by one table lookup for each id, for all runs between c
 from __future__ import annotations
 
 from collections.abc import Iterator
+from struct import pack
 from zlib import crc32
 
 import numpy as np
@@ -31,56 +32,79 @@ c = F.col
 END_ID = 1
 LONGEST, STEP = 16, 64
 BLOCK, PART_BYTES = 1 << 16, 16 << 20
-CACHED_WORDS = 500_000
+#: Words that a worker keeps with their ids, in each of two generations; half as many pieces. About 180 bytes each.
+CACHED_WORDS = 800_000
 #: How the tokenizer's own settings cut a normalised text: fixed value.
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _BLOCK_ROWS = "part int, block int, no_id binary, doc_ids binary, doc_sizes binary, ids binary"
 
 
-class WordIds(dict):
+class Recent(dict):
+    """What ``make`` gives for a key, kept for the keys used of late: at most twice ``most`` of them.
+
+    A full generation becomes the old one; a key that is used again moves to the young one."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
+def _packed(ids: list[int]) -> bytes:
+    return pack(f"<{len(ids)}H", *ids)
+
+
+class WordIds:
     """word (bytes without ASCII white space) -> its ids as little-endian uint16.
 
     No piece of this tokenizer spans white space, so the ids of a text are those of its words in turn. Words below U+0250 are
     cut here and their pieces go to the tokenizer's model; all others, and those that may hold a special token, go through
-    the tokenizer as a whole. The store is emptied when it is full, which bounds a worker's memory."""
+    the tokenizer as a whole. Both words and pieces are kept for a while, in bounded memory."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         plain = [b for r in ((33, 127), (161, 173), (174, 256)) for b in range(*r)]
         rest = [b for b in range(256) if b not in set(plain)]
         self.letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+        self.words, self.pieces = Recent(self._word, cached), Recent(self._piece, cached // 2)
 
-    def __missing__(self, word: bytes) -> bytes:
+    def _piece(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.letters)
+        return _packed([t.id for t in self.model.tokenize(letters)])
+
+    def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
-        if "<|" in text or max(text) >= "ɐ" or "İ" in text:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        else:
-            ids = [t.id for p in _PIECE.findall(text.lower()) for t in self.model.tokenize(p.encode().decode("latin-1").translate(self.letters))]
-        out = np.array(ids, "<u2").tobytes()
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = out
-        return out
+        if b"<|" in word or not word.isascii() and (max(text) >= "ɐ" or "İ" in text):
+            return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text.lower())))
 
     def of(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        return b"".join(map(self.words.__getitem__, text.split()))
 
 
-_OPEN: dict[str, WordIds] = {}
+_OPEN: dict[tuple[str, int], WordIds] = {}
 
 
-def _tokenised(path: str):
+def _tokenised(path: str, cached: int):
     """Blocks of whole documents with their ids, in the order of the rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        lookup = _OPEN.get(path) or _OPEN.setdefault(path, WordIds(path))
+        lookup = _OPEN.get((path, cached)) or _OPEN.setdefault((path, cached), WordIds(path, cached))
         end = np.array([END_ID], "<u2").tobytes()
 
         def documents():
@@ -177,16 +201,17 @@ class Code:
         return out.T.reshape(-1)[:count]
 
 
-def write_ids(docs: DataFrame, tokenizer: str, folder: str) -> None:
+def write_ids(docs: DataFrame, tokenizer: str, folder: str, cached: int = CACHED_WORDS) -> None:
     """Tokenise every text of ``docs`` (doc_id, text) with the tokenizer file and write the two tables below ``folder``.
 
     Documents are in ascending order of doc_id (null first, repeated rows in any order); each ends with id 1. Null and empty
-    texts have that id only. Vocabularies of up to 65,536 ids are supported. An empty table writes empty tables."""
+    texts have that id only. ``cached`` bounds what a worker keeps of its words; it changes no result. Vocabularies of up to
+    65,536 ids are supported. An empty table writes empty tables."""
     scratch = Scratch(docs.sparkSession)
     docs = docs.select(c("doc_id").cast("long").alias("doc_id"), c("text").cast("string").alias("text"))
     parts = 1 + text_bytes(docs) // PART_BYTES
     ordered = docs.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
-    ids = scratch.keep(ordered.mapInArrow(_tokenised(tokenizer), _BLOCK_ROWS), "huffman-ids", codec="zstd")
+    ids = scratch.keep(ordered.mapInArrow(_tokenised(tokenizer, cached), _BLOCK_ROWS), "huffman-ids", codec="zstd")
     counts = ids.select("ids").mapInArrow(_counted, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").collect()
     symbols, n = np.array([r["id"] for r in counts], np.int64), np.array([r["n"] for r in counts], np.int64)
     lengths = code_lengths(n) if len(n) else np.empty(0, np.uint8)
