@@ -40,7 +40,7 @@ from kerbsight.llm.store import Scratch
 c = F.col
 FOLDS, HELD_OUT = 5, 1
 KAPPA, FREQUENT = 9.0, 1 << 16
-CHUNK, SHARD = 1_000_000, 2_000_000
+CHUNK, SHARD = 800_000, 1_500_000
 END, START = np.uint64(1), np.uint64(2)
 _STEP = 10 / 65535  # of the quantised gains, which reach from 0 to 10
 _RESULT = "chunk long, docs binary, base binary, score binary, known binary, meta binary"
@@ -270,6 +270,8 @@ def _scored(known: Known):
         train = np.concatenate([np.unpackbits(np.frombuffer(t, np.uint8))[d].astype(bool) for t, d in zip(rows["train"], docs, strict=True)])
         order = np.lexsort((v, w))
         w, v, train = w[order], v[order], train[order]
+        kept = rows[["chunk", "meta"]].copy()
+        rows.drop(columns=list(rows.columns), inplace=True)  # the arrays hold them now
         new_word = np.r_[True, w[1:] != w[:-1]]
         new_pair = new_word | np.r_[True, v[1:] != v[:-1]]
         words, pairs = np.flatnonzero(new_word), np.flatnonzero(new_pair)
@@ -294,7 +296,7 @@ def _scored(known: Known):
         score[order] = (np.log10(p) + follows)[word_of] + gain[np.cumsum(new_pair) - 1]
         is_known[order] = (count > 0)[word_of]
         out, a = [], 0
-        for chunk, doc, meta in zip(rows["chunk"], docs, rows["meta"], strict=True):
+        for chunk, doc, meta in zip(kept["chunk"], docs, kept["meta"], strict=True):
             own = slice(a, a := a + len(doc))
             there, place = np.unique(doc, return_inverse=True)
             sums = [np.bincount(place, x[own], len(there)) for x in (base, score, is_known)]
