@@ -14,6 +14,8 @@ from kerbsight.session import scratch_root
 
 c = F.col
 TOKENIZER = "word_bpe_49k.json"
+#: fewer than the operator's own, as the executors' heaps have grown in the stages before
+CACHED_WORDS = 250_000
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -58,7 +60,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix as token ids in the binary format, and what reading the files back gives for every document."""
     files = f"{scratch_root(spark)}/kerbsight/token-files-{uuid.uuid4().hex}"
-    huffman.write_ids(docs, public_tokenizers.path(TOKENIZER), files)
+    huffman.write_ids(docs, public_tokenizers.path(TOKENIZER), files, CACHED_WORDS)
     return huffman.id_digests(spark, files)
 
 
