@@ -3,14 +3,16 @@
 The model is an interpolated word-pair model. With ``c`` for counts in the training tokens, ``N`` tokens and ``V`` distinct ones,
 
     p(w)     = (c(w) + 0.5) / (N + 0.5 (V + 1))
-    p(w | v) = (c(v w) + m(v) p(w)) / (c(v) + m(v)),   m(v) = KAPPA * max(c(v), floor)
+    p(w | v) = (c(v w) + m(v) p(w)) / (c(v) + m(v)),   m(v) = KAPPA * max(c(v), 1)
 
-where ``floor`` is the smallest count among the ``FREQUENT`` most frequent tokens (1 if there are not so many). So a text's log
-probability is a sum of three kinds of terms: ``log p(w)`` and, for a token that is followed by another, ``log m / (c + m)``, which
-only need the token's own count, and ``log (1 + c(v w) / (m(v) p(w)))`` for pairs that training has seen, which needs the pair
-and, for a frequent ``v``, its count. All of them can be found where all occurrences of ``w`` are.
+So a text's log probability is a sum of three kinds of terms: ``log p(w)`` and, for a token that is followed by another,
+``log m / (c + m)``, which only need the token's own count, and ``log (1 + c(v w) / (m(v) p(w)))`` for pairs that training has
+seen, which needs the pair and the count of ``v``. All but the last can be found where all occurrences of ``w`` are.
 
-So one shuffle does it: every token of every document, training or not, goes with its predecessor to a shard of its word.
+The counts of the ``FREQUENT`` most frequent tokens are sent to all tasks. For every other ``v`` the training pairs ask for its
+count: (``v``, shard of the pair) is joined with the table of counts, and the answers go to the shards; no answer means 1.
+
+Then one shuffle does it: every token of every document, training or not, goes with its predecessor to a shard of its word.
 Words with more tokens than a quarter of a shard are spread over several by predecessor; they are frequent, so their exact
 counts are known beforehand. A shard builds its trie from the training tokens and answers the queries of all tokens.
 
@@ -185,7 +187,6 @@ class Known:
 
     def __init__(self, tokens: int, distinct: int, texts: int, codes: np.ndarray, counts: np.ndarray):
         self.tokens, self.distinct, self.texts = tokens, distinct, texts
-        self.floor = int(counts.min()) if len(counts) >= FREQUENT else 1
         self.shards = max(64, tokens // SHARD)
         wide = counts > SHARD // 4
         at = np.argsort(codes[wide])
@@ -200,10 +201,15 @@ class Known:
 
     def prior(self, count):
         """m(v) for a count of v."""
-        return KAPPA * np.maximum(count, self.floor)
+        return KAPPA * np.maximum(count, 1)
+
+    def before_count(self, before: np.ndarray) -> np.ndarray:
+        """The counts of predecessors, 0 for those that are not frequent."""
+        return _looked_up(self.before, self.before_counts, before)
 
-    def before_prior(self, before: np.ndarray) -> np.ndarray:
-        return self.prior(_looked_up(self.before, self.before_counts, before))
+    def shard(self, w: np.ndarray, before: np.ndarray) -> np.ndarray:
+        spread = np.maximum(1, _looked_up(self.wide, self.spread, w)).astype(np.uint64)
+        return (W.mixed(w + before % spread) % np.uint64(self.shards)).astype(np.int32)
 
 
 def _looked_up(names: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -222,6 +228,58 @@ def _name(codes: np.ndarray) -> np.ndarray:
     return W.mixed(codes ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(16)
 
 
+def _pairs(held: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The tokens of some documents, the codes of their predecessors, and the documents' sizes."""
+    sizes = np.array([len(d[2]) for d in held])
+    w = np.concatenate([d[2] for d in held])
+    v = np.r_[START, w[:-1]]
+    v[np.r_[0, np.cumsum(sizes)[:-1]]] = START
+    return w, _before(v), sizes
+
+
+def _packed(before: np.ndarray) -> tuple[bytes, bytes]:
+    return (before >> np.uint64(8)).astype("<u4").tobytes(), (before & np.uint64(255)).astype(np.uint8).tobytes()
+
+
+def _unpacked(high: bytes, low: bytes) -> np.ndarray:
+    return (np.frombuffer(high, "<u4").astype(np.uint64) << np.uint64(8)) | np.frombuffer(low, np.uint8)
+
+
+def _asked(known: Known):
+    """Per chunk: the predecessors of training tokens that are not among the frequent ones, with the shards that need their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in W.in_chunks((d for d in _documents(batches) if d[1]), lambda d: len(d[2]), CHUNK):
+            w, before, _ = _pairs(held)
+            rare = known.before_count(before) == 0
+            before, shard = before[rare], known.shard(w[rare], before[rare])
+            order = np.lexsort((shard, before))
+            before, shard = before[order], shard[order]
+            new = np.r_[True, (before[1:] != before[:-1]) | (shard[1:] != shard[:-1])][: len(before)]
+            yield pa.RecordBatch.from_arrays([pa.array(before[new].view(np.int64)), pa.array(shard[new])], names=["before", "shard"])
+
+    return run
+
+
+def _rare_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        before = _before(batch.column("w").to_numpy().view(np.uint64))
+        yield pa.RecordBatch.from_arrays([pa.array(before.view(np.int64)), batch.column("n")], names=["before", "n"])
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per chunk and shard: predecessors and their counts, packed."""
+    names = ["shard", "runs", "before_high", "before_low"]
+    for held in W.in_chunks(batches, len, CHUNK):
+        shard, before, n = (np.concatenate([b.column(x).to_numpy() for b in held]) for x in ("shard", "before", "n"))
+        order = np.argsort(shard, kind="stable")
+        shard, before, n = shard[order], before[order].view(np.uint64), n[order].astype("<u4")
+        cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]][: len(shard)])
+        rows = [(int(shard[a]), n[a:b].tobytes(), *_packed(before[a:b])) for a, b in zip(cuts, np.r_[cuts[1:], len(shard)], strict=True)] if len(shard) else []
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(x, pa.binary()) for x in columns[1:])], names=names)
+
+
 def _routed(known: Known):
     """Per chunk and shard: the tokens with their predecessors and documents. The first row of a chunk has its documents."""
     kinds = [("shard", pa.int32()), ("chunk", pa.int64()), ("train", pa.binary()), ("words", pa.binary()), ("runs", pa.binary()), ("before_high", pa.binary()), ("before_low", pa.binary()), ("docs", pa.binary()), ("meta", pa.binary())]
@@ -231,13 +289,9 @@ def _routed(known: Known):
 
         part = TaskContext.get().partitionId()
         for k, held in enumerate(W.in_chunks(_documents(batches), lambda d: max(17, len(d[2])), CHUNK)):
-            sizes = np.array([len(d[2]) for d in held])
-            w = np.concatenate([d[2] for d in held])
-            v = np.r_[START, w[:-1]]
-            v[np.r_[0, np.cumsum(sizes)[:-1]]] = START
-            before, doc = _before(v), np.repeat(np.arange(len(held), dtype=np.uint16), sizes)
-            spread = np.maximum(1, _looked_up(known.wide, known.spread, w)).astype(np.uint64)
-            shard = (W.mixed(w + before % spread) % np.uint64(known.shards)).astype(np.int32)
+            w, before, sizes = _pairs(held)
+            doc = np.repeat(np.arange(len(held), dtype=np.uint16), sizes)
+            shard = known.shard(w, before)
             order = np.lexsort((w, shard))
             w, before, doc, shard = w[order], before[order], doc[order], shard[order]
             ids = [d[0] for d in held]
@@ -250,22 +304,32 @@ def _routed(known: Known):
                 named = _name(w[a:b][new])
                 rows.append((
                     int(shard[a]), (part << 32) | k, train, named.tobytes(), np.diff(np.r_[new, b - a]).astype("<u4").tobytes(),
-                    (before[a:b] >> np.uint64(8)).astype("<u4").tobytes(), (before[a:b] & np.uint64(255)).astype(np.uint8).tobytes(), doc[a:b].tobytes(), meta if not rows else None))
+                    *_packed(before[a:b]), doc[a:b].tobytes(), meta if not rows else None))
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, (_, t) in zip(zip(*rows, strict=True), kinds, strict=True)], names=[n for n, _ in kinds])
 
     return run, "shard int, chunk long, train binary, words binary, runs binary, before_high binary, before_low binary, docs binary, meta binary"
 
 
 def _scored(known: Known):
-    """One shard: build its trie from the training tokens, answer all tokens, sum by chunk and document."""
+    """One shard: build its trie from the training tokens, answer all tokens, sum by chunk and document.
+
+    Rows without words are the counts of predecessors that are not frequent."""
     wide_names = _name(known.wide)
     at = np.argsort(wide_names)
     wide_names, wide_counts = wide_names[at], known.wide_counts[at]
     end_name = _name(np.array([END]))[0]
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        told = rows["words"].isna()
+        context = np.concatenate([np.empty(0, np.uint64), *map(_unpacked, rows["before_high"][told], rows["before_low"][told])])
+        context_count = np.concatenate([np.empty(0, np.int64), *(np.frombuffer(n, "<u4").astype(np.int64) for n in rows["runs"][told])])
+        order = np.lexsort((-context_count, context))
+        context, context_count = context[order], context_count[order]
+        new = np.r_[True, context[1:] != context[:-1]][: len(context)]
+        context, context_count = context[new], context_count[new]
+        rows.drop(index=rows.index[told], inplace=True)
         w = np.concatenate([np.repeat(np.frombuffer(x, "<u8"), np.frombuffer(r, "<u4")) for x, r in zip(rows["words"], rows["runs"], strict=True)])
-        v = np.concatenate([(np.frombuffer(h, "<u4").astype(np.uint64) << np.uint64(8)) | np.frombuffer(lo, np.uint8) for h, lo in zip(rows["before_high"], rows["before_low"], strict=True)])
+        v = np.concatenate([*map(_unpacked, rows["before_high"], rows["before_low"])])
         docs = [np.frombuffer(d, "<u2") for d in rows["docs"]]
         train = np.concatenate([np.unpackbits(np.frombuffer(t, np.uint8))[d].astype(bool) for t, d in zip(rows["train"], docs, strict=True)])
         order = np.lexsort((v, w))
@@ -282,7 +346,9 @@ def _scored(known: Known):
         p = known.p(count)
         word_of = np.cumsum(new_word) - 1
         pair_p = p[word_of[pairs]]
-        gains = np.log10(1 + seen / (known.before_prior(v[pairs]) * pair_p))
+        before_count = known.before_count(v[pairs])
+        before_count = np.where(before_count > 0, before_count, _looked_up(context, context_count, v[pairs]))
+        gains = np.log10(1 + seen / (known.prior(before_count) * pair_p))
         with tempfile.TemporaryDirectory() as folder:
             held = seen > 0
             trie = Trie(w[pairs][held], v[pairs][held], gains[held], Path(folder))
@@ -333,7 +399,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
 
     Training takes the rows whose crc32(doc_id as text) mod 5 is not 1, with a null doc_id too. Null and empty texts are the
     end token alone. base_score is exact; score has gains in steps of 0.00015. Repeated rows are documents of their own. Without
-    training tokens every count is 0. An empty table gives an empty result."""
+    training tokens every count is 0. Every predecessor has its exact count, however rare. An empty table gives an empty result."""
     scratch = Scratch(docs.sparkSession)
     docs = docs.select(c("doc_id").cast("long").alias("doc_id"), c("text").cast("string").alias("text"))
     counted = docs.mapInArrow(_counts, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
@@ -343,8 +409,14 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     counts = top["n"].to_numpy(np.int64)
     ends = counted.where(c("w") == int(END)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     known = Known(seen["tokens"], seen["distinct"], ends, codes, counts)
-    scratch.drop(counted)
     run, schema = _routed(known)
-    parts = docs.mapInArrow(run, schema).groupBy("shard").applyInPandas(_scored(known), _RESULT)
+    parts = docs.mapInArrow(run, schema)
+    if known.distinct > len(codes):
+        rare = counted.where("n > 1").mapInArrow(_rare_counts, "before long, n long")
+        asked = docs.mapInArrow(_asked(known), "before long, shard int").join(rare, "before")
+        answers = scratch.keep(asked.mapInArrow(_answered, "shard int, runs binary, before_high binary, before_low binary"), "lm-contexts")
+        parts = parts.unionByName(answers.withColumn("chunk", F.lit(0).cast("long")), allowMissingColumns=True)
+    scratch.drop(counted)
+    parts = parts.groupBy("shard").applyInPandas(_scored(known), _RESULT)
     result = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return parts.groupBy("chunk").applyInPandas(_summed(known), result)

@@ -143,6 +143,18 @@ def test_lm(docs, no_docs, monkeypatch, small):
         assert lm_trie.lm_scores(no_docs).count() == 0
 
 
+def test_lm_rare_contexts(docs, monkeypatch):
+    """Contexts beyond the frequent ones have their exact counts."""
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = brute_lm(rows)
+    monkeypatch.setattr(lm_trie, "FREQUENT", 20)
+    monkeypatch.setattr(lm_trie, "CHUNK", 700)
+    key = lambda r: (str(r[0]), r[2], r[3], round(r[5], 6))
+    got = sorted((tuple(r) for r in lm_trie.lm_scores(docs).collect()), key=key)
+    assert [g[:5] for g in got] == [w[:5] for w in sorted(want, key=key)]
+    assert all(abs(g[6] - w[6]) < 1e-3 * max(1, w[2]) for g, w in zip(got, sorted(want, key=key), strict=True))
+
+
 def test_elias_fano(tmp_path):
     rng = np.random.default_rng(2)
     for universe, n in ((1 << 40, 5000), (900, 800), (10, 1), (1 << 30, 0), (5000, 5000)):
