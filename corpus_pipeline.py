@@ -28,21 +28,31 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest doc_id.
+    """One row of each group of near copies: the one with the smallest doc_id (null last), then text, source and other columns.
 
-    Rows that repeat the doc_id of a group are one document; the row with the smallest text, then source, stays. A document
-    without a doc_id stays: nothing names it, so nothing can stand for it."""
+    Groups are groups of rows: rows with the same doc_id, or with none, are documents of their own, and a row without a near
+    copy stays whatever its doc_id. Rows without words stay. Where a doc_id names one row only, it decides about the row;
+    rows with repeated or null ids are told apart by the names of their shingle sets."""
     scratch = Scratch(spark)
-    found = ngram_jaccard.jaccard_components(docs).where(c("doc_id") != c("component_id")).select("doc_id").distinct()
-    found, seen = scratch.keep(found, "near-copies", rows=F.count(F.lit(1)))
-    left = docs.join(F.broadcast(found) if is_small(seen["rows"], 16) else found, "doc_id", "left_anti").select(docs.columns)
+    members, roots = ngram_jaccard.jaccard_links(docs)
+    named = members.where("sig is not null").join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    groups = named.groupBy("root").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("times")).where("times > 1")
+    copies = scratch.keep(named.join(groups, "root").select("doc_id", "sig", "root", "least"), "near-copies")
+    found, seen = scratch.keep(copies.where(c("doc_id") != c("least")).select("doc_id").distinct(), "copied-ids", rows=F.count(F.lit(1)))
+    found = F.broadcast(found) if is_small(seen["rows"], 16) else found
     repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("doc_id")
     repeated, seen = scratch.keep(repeated, "repeated-ids", rows=F.count(F.lit(1)))
-    if not seen["rows"]:
-        return left
-    rest = F.struct("text", "source", *[x for x in docs.columns if x not in ("doc_id", "text", "source")])
-    first = left.join(repeated, "doc_id").groupBy("doc_id").agg(F.min(rest).alias("r")).select("doc_id", "r.*")
-    return left.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(first.select(docs.columns))
+    if not seen["rows"] and not members.where("doc_id is null").head(1):
+        return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    repeated = F.broadcast(repeated) if is_small(seen["rows"], 16) else repeated
+    single = docs.where("doc_id is not null").join(repeated, "doc_id", "left_anti").join(found, "doc_id", "left_anti").select(docs.columns)
+    shared = docs.join(repeated, "doc_id", "left_semi").select(docs.columns).unionByName(docs.where("doc_id is null"))
+    sets = copies.select(c("sig").alias("_sig"), c("root").alias("_root"), c("least").alias("_least")).distinct()
+    shared = ngram_jaccard.with_set_names(shared, "_sig").join(sets, "_sig", "left")
+    alone = shared.where("_root is null").select(docs.columns)
+    row = F.struct("text", "source", *[x for x in docs.columns if x not in ("text", "source")])
+    first = shared.where(c("_root").isNotNull() & c("doc_id").eqNullSafe(c("_least"))).groupBy("_root").agg(F.min(row).alias("_row"))
+    return single.unionByName(alone).unionByName(first.select("_row.*").select(docs.columns))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

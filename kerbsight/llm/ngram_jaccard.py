@@ -27,6 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from kerbsight.llm import words as W
@@ -251,6 +252,18 @@ def _multiplied(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     return both.where(100 * c("overlap") >= 75 * (c("an") + c("bn") - c("overlap"))).select("a", "b", "ar", "br", "overlap")
 
 
+def with_set_names(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a column that has the sig of each row's shingle set, as in ``members``; null without words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = (W.shingle_set((text or b"").lower().split(), SHINGLE) for text in W.texts_of(batch))
+            sigs = pa.array([W.signature(s) if len(s) else None for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, sigs], names=[*batch.schema.names, name])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id): component_id is the smallest doc_id that links reach, itself included.
 

@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from kerbsight.llm import chat_roles, huffman, lm_trie, mixing, quality
 from .conftest import prose
+from .test_pairs import brute_components, roots_of, shingles
 
 
 # --------------------------------------------------------------------------------- mixing
@@ -252,3 +253,30 @@ def test_pipeline_stages(spark):
     assert names[0] == "quality" and ids
     out = corpus_pipeline.run(spark, folder)
     assert {r.doc_id for r in out.collect()} == ids
+
+
+def test_one_row_of_each_group(spark, docs, no_docs):
+    """Rows, not ids: repeated and null ids among near copies and beside them; equal to brute force."""
+    rng = random.Random(12)
+    rows = [tuple(r) for r in docs.select("doc_id", "text", "source").collect()]
+    one, two, three = (prose(rng, 120).split() for _ in range(3))
+    near = lambda words, k: " ".join([*words[: 20 + k], f"other{k}", *words[21 + k :]])
+    rows += [(500, " ".join(one), "a"), (501, near(one, 1), "a"), (501, prose(rng, 50), "a"), (501, prose(rng, 60), "b")]
+    rows += [(500, prose(rng, 40), "b"), (500, near(one, 2), "b"), (500, " ".join(one), "a"), (500, "", "c"), (500, "", "c")]
+    rows += [(None, " ".join(two), "a"), (None, near(two, 3), "a"), (None, near(two, 5), None), (None, prose(rng, 30), "a"), (None, None, "a")]
+    rows += [(None, near(three, 4), "a"), (700, " ".join(three), "a"), (699, near(three, 7), "a")]
+    table = spark.createDataFrame([(t, s, i) for i, t, s in rows], "text string, source string, doc_id long").repartition(3)
+    sets = [shingles(t) for _, t, _ in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if sets[i] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    groups = defaultdict(list)
+    for row, root in zip(rows, roots_of(len(rows), links), strict=True):
+        groups[root].append(row)
+    order = lambda r: (r[0] is None, r[0] or 0, r[1] or "", r[2] is not None, r[2] or "")
+    want = Counter(min(g, key=order) for g in groups.values())
+    got = corpus_pipeline.one_of_each_group(spark, table, "")
+    assert got.columns == table.columns
+    assert Counter((r.doc_id, r.text, r.source) for r in got.collect()) == want
+    unique = table.where("doc_id between 20 and 60").dropDuplicates(["doc_id"])
+    kept = {r.doc_id for r in corpus_pipeline.one_of_each_group(spark, unique, "").collect()}
+    assert kept == {r[2] for r in brute_components([(r.doc_id, r.text) for r in unique.collect()])}
+    assert corpus_pipeline.one_of_each_group(spark, no_docs, "").count() == 0
