@@ -180,3 +180,19 @@ def test_licenses(spark, docs, no_docs):
         assert 0.75 <= r.containment <= 1
     assert all(n in got[i] for i, n in enumerate(names)) and "MIT notice" in got[100]
     assert license_scan.license_matches(docs).count() == 0 and license_scan.license_matches(no_docs).count() == 0
+
+
+def test_licenses_all_occurrences(spark):
+    """Every occurrence is a row; variants of short lines and whole texts are found."""
+    rng = random.Random(9)
+    names = license_scan.TEMPLATES
+    rows = [(1, prose(rng, 30) + " Licensed under the MIT License. " + prose(rng, 50) + " distributed under the MIT license"), (2, (names["MIT notice"] + "\n") * 3)]
+    rows += [(3, prose(rng, 20) + names["GPL-3 text"] + prose(rng, 20)), (4, names["BSD-3-Clause text"] + prose(rng, 300) + names["BSD-3-Clause text"]), (5, "Shared under CC BY-SA 4.0.")]
+    got = defaultdict(list)
+    for r in license_scan.license_matches(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r.doc_id, r.license].append((r.start, r.n_words))
+    assert len(got[1, "MIT line: MIT License"]) == 2 and len(got[2, "MIT notice"]) == 3
+    assert len(got[3, "GPL-3 text"]) == 1 and len(got[4, "BSD-3-Clause text"]) == 2 and len(got[5, "CC-BY-SA-4.0 line"]) == 1
+    for found in got.values():
+        found.sort()
+        assert all(a + n <= b for (a, n), (b, _) in zip(found, found[1:], strict=False))
