@@ -80,6 +80,24 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_matches(_table(spark, folder, "documents"))
 
 
+def op11_block_search(spark: SparkSession, folder: str) -> DataFrame:
+    from kerbsight.llm.term_blocks import ranked
+
+    return ranked(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op12_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    from kerbsight.llm.target_ratio import rule_verdicts
+
+    return rule_verdicts(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op13_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    from kerbsight.llm.turn_repair import conversation_audits
+
+    return conversation_audits(_table(spark, folder, "conversations"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -89,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_ngram_jaccard, op2_source_mixing, op3_quality_classifier, op4_lm_trie, op5_substring_dedup,
         op6_embedding_near_dedup, op7_token_huffman, op8_benchmark_decontamination, op9_chat_formatting, op10_license_scan,
+        op11_block_search, op12_quality_rules, op13_turn_repair,
         pipeline,
     )
 }
