@@ -123,7 +123,7 @@ WITH RECURSIVE
                   CASE d WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE d WHEN 3 THEN 2 ELSE 1 END)) AS copy
              FROM keyed WHERE d <> 0),
   coded AS (SELECT *, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS inked,
-                   md5(octet_length(role::BLOB) || ':' || role || octet_length(text::BLOB) || ':' || text) AS code FROM hurt),
+                   md5(strlen(role) || ':' || role || strlen(text) || ':' || text) AS code FROM hurt),
   ordered AS (SELECT *, row_number() OVER o AS i, count(*) OVER (PARTITION BY conv_id) AS n,
                      row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS seen,
                      role[1] AS x, lag(role[1]) OVER o AS before

@@ -20,7 +20,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,8 +90,8 @@ class Shard:
 
     ``impacts`` has a row for each document and a column for each term of the slice."""
 
-    def __init__(self, impacts: np.ndarray, related: list[np.ndarray]):
-        self.impacts, self.related = impacts, related
+    def __init__(self, impacts: np.ndarray, related: list[np.ndarray], block: int = BLOCK):
+        self.impacts, self.related, self.block = impacts, related, block
         self.top = impacts.max(0)
         held = impacts > 0
         self.lists = [np.flatnonzero(held[:, t]) for t in range(impacts.shape[1])]
@@ -112,12 +111,12 @@ class Shard:
         """The documents of each block of a list, and the blocks' coordinatewise maxima."""
         if term not in self.blocks:
             docs = self.lists[term]
-            groups = max(1, len(docs) // BLOCK)
+            groups = max(1, len(docs) // self.block)
             near = self.sketch[docs] @ self.sketch[docs[:: max(1, len(docs) // groups)]].T
             home = near.argmax(1)
             order = np.argsort(home, kind="stable")
             starts = np.flatnonzero(np.r_[True, np.diff(home[order]) > 0])
-            starts = np.concatenate([np.arange(a, b, 2 * BLOCK) for a, b in zip(starts, np.r_[starts[1:], len(docs)], strict=True)])
+            starts = np.concatenate([np.arange(a, b, 2 * self.block) for a, b in zip(starts, np.r_[starts[1:], len(docs)], strict=True)])
             tops = np.maximum.reduceat(self.impacts[np.ix_(docs[order], self.related[term])], starts, axis=0)
             self.blocks[term] = np.split(docs[order], starts[1:]), tops
         return self.blocks[term]
@@ -170,7 +169,7 @@ class Best:
             self.floor = max(self.floor, -max(s for s, _ in self.found))
 
 
-def _searcher(queries: Queries, stats: Statistics, floors: np.ndarray):
+def _searcher(queries: Queries, stats: Statistics, floors: np.ndarray, cells: int, block: int):
     width = max(1, len(queries.terms))
     related: list[set[int]] = [set() for _ in queries.terms]
     plans = []
@@ -184,14 +183,14 @@ def _searcher(queries: Queries, stats: Statistics, floors: np.ndarray):
         for t in terms[order].tolist():
             related[t].update(terms[order].tolist())
     beside = [np.array(sorted(r), np.int64) for r in related]
-    most = max(16, CELLS // width)
+    most = max(16, cells // width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [Best(floor) for floor in floors.tolist()]
         for batch in batches:
             for a in range(0, batch.num_rows, most):
                 rows = batch.slice(a, most)
-                shard = Shard(_matrix(rows, width, stats), beside)
+                shard = Shard(_matrix(rows, width, stats), beside, block)
                 names = rows.column("doc_id").to_pylist()
                 for kept, (terms, gains) in zip(best, plans, strict=True):
                     kept.names = names
@@ -254,7 +253,7 @@ def _best(hits: DataFrame, by: Column) -> DataFrame:
     return some.withColumn("rank", F.row_number().over(order)).where(c("rank") <= TOP)
 
 
-def _search_slice(scratch: Scratch, docs: DataFrame, rows: list) -> DataFrame:
+def _search_slice(scratch: Scratch, docs: DataFrame, rows: list, cells: int, block: int) -> DataFrame:
     queries = Queries.of(rows)
     part = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(WAVE)).cast("int")
     texts = docs.select(c("doc_id").cast("long").alias("doc_id"), c("text").cast("string").alias("text")).withColumn("part", part)
@@ -266,17 +265,17 @@ def _search_slice(scratch: Scratch, docs: DataFrame, rows: list) -> DataFrame:
     stats = Statistics(seen["documents"], seen["length"], np.array([weight(seen["documents"], int(h)) for h in holding], np.int64))
     spread = F.pmod(F.xxhash64("doc_id", "score"), F.lit(64))
     floors = np.ones(len(rows), np.int64)
-    first = forward.where(c("part") == 0).drop("part").mapInArrow(_searcher(queries, stats, floors), _HITS)
+    first = forward.where(c("part") == 0).drop("part").mapInArrow(_searcher(queries, stats, floors, cells, block), _HITS)
     first = scratch.keep(_best(first, spread).drop("rank"), "search-first")
     for r in first.groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).where(c("n") >= TOP).collect():
         floors[r["item"]] = r["least"]
-    others = forward.where(c("part") > 0).drop("part").mapInArrow(_searcher(queries, stats, floors), _HITS)
+    others = forward.where(c("part") > 0).drop("part").mapInArrow(_searcher(queries, stats, floors, cells, block), _HITS)
     best = _best(others.unionByName(first), spread)
-    ids = docs.sparkSession.createDataFrame(pd.DataFrame({"item": np.arange(len(rows)), "item_id": pd.array(queries.ids, "Int64")}), "item int, item_id long")
+    ids = docs.sparkSession.createDataFrame(pa.table({"item": pa.array(range(len(rows)), pa.int32()), "item_id": pa.array(queries.ids, pa.int64())}))
     return best.join(F.broadcast(ids), "item").select("item_id", "rank", "doc_id", "score")  # ids of one slice
 
 
-def ranked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def ranked(docs: DataFrame, benchmark: DataFrame, cells: int = CELLS, block: int = BLOCK) -> DataFrame:
     """(item_id, rank, doc_id, score): the ``TOP`` best documents of every item.
 
     ``docs`` needs doc_id and text, ``benchmark`` item_id and text; other columns are ignored. Null texts have no terms; documents
@@ -284,6 +283,6 @@ def ranked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     among equal scores null ids come first. Empty tables give no rows."""
     scratch, out = Scratch(docs.sparkSession), None
     for rows in _slices(benchmark):
-        found = _search_slice(scratch, docs, rows)
+        found = _search_slice(scratch, docs, rows, cells, block)
         out = found if out is None else out.unionByName(found)
     return out

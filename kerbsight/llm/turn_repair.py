@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import partial
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -25,8 +27,20 @@ from pyspark.sql.types import StructType
 from kerbsight.llm.store import Scratch
 
 c = F.col
-SECTION = 512
-DELETE, INSERT, REROLE, FAULTY = 2, 5, 1, 5
+
+
+@dataclass(frozen=True)
+class Rules:
+    """Costs of the edits, and of leaving a truncated turn; rows of a section."""
+
+    delete: int = 2
+    insert: int = 5
+    rerole: int = 1
+    truncated: int = 5
+    section: int = 512
+
+
+RULES = Rules()
 _SPACES = " \t\n\x0b\f\r"
 _PRIME, _BASE = (1 << 61) - 1, 1_000_003
 #: states by what came last: nothing, a system turn, a user turn, an assistant turn
@@ -101,44 +115,46 @@ class Audits:
 Table = list[tuple[int, int] | None]
 
 
-def _offer(audits: Audits, table: Table, state: int, cost: int, parent: int, piece: str) -> None:
+def _offer(audits: Audits, table: Table, state: int, cost: int, parent: int, piece: str) -> bool:
+    """Whether the state's audit is now this one: it costs less, or as much and comes first."""
     held = table[state]
-    if held is None or cost < held[0]:
-        table[state] = cost, audits.add(parent, piece)
-    elif cost == held[0]:
-        node = audits.add(parent, piece)
-        if audits.less(node, held[1]):
-            table[state] = cost, node
+    if held and cost > held[0]:
+        return False
+    node = audits.add(parent, piece)
+    if held and cost == held[0] and not audits.less(node, held[1]):
+        return False
+    table[state] = cost, node
+    return True
 
 
-def inserted(audits: Audits, table: Table) -> Table:
+def inserted(audits: Audits, table: Table, rules: Rules) -> Table:
     """``table`` with the turns that may be inserted here; a second of the same kind never pays."""
     for state in (START, SYSTEM, ASSISTANT):
         if table[state]:
-            _offer(audits, table, USER, table[state][0] + INSERT, table[state][1], "I")
+            _offer(audits, table, USER, table[state][0] + rules.insert, table[state][1], "I")
     if table[USER]:
-        _offer(audits, table, ASSISTANT, table[USER][0] + INSERT, table[USER][1], "I")
+        _offer(audits, table, ASSISTANT, table[USER][0] + rules.insert, table[USER][1], "I")
     return table
 
 
-def stepped(audits: Audits, table: Table, initial: str, must: bool, truncated: bool) -> Table:
+def stepped(audits: Audits, table: Table, initial: str, must: bool, truncated: bool, rules: Rules) -> Table:
     """The table after one row, and after what may be inserted behind it."""
     out: Table = [None] * 4
-    ways, more = _AFTER.get(initial, {}), FAULTY if truncated else 0
+    ways, more = _AFTER.get(initial, {}), rules.truncated if truncated else 0
     for state, held in enumerate(table):
         if held is None:
             continue
         cost, node = held
-        _offer(audits, out, state, cost + DELETE, node, "D")
+        _offer(audits, out, state, cost + rules.delete, node, "D")
         if not must:
             if state in ways:
                 _offer(audits, out, ways[state], cost + more, node, "K")
-            _offer(audits, out, ASSISTANT if state == USER else USER, cost + REROLE + more, node, "R")
-    return inserted(audits, out)
+            _offer(audits, out, ASSISTANT if state == USER else USER, cost + rules.rerole + more, node, "R")
+    return inserted(audits, out, rules)
 
 
-def begun(audits: Audits) -> Table:
-    return inserted(audits, [(0, 0), None, None, None])
+def begun(audits: Audits, rules: Rules) -> Table:
+    return inserted(audits, [(0, 0), None, None, None], rules)
 
 
 # ---------------------------------------------------------------------------------------- damage
@@ -189,8 +205,8 @@ _STEPS = "conv_id long, part int, seq long, pos long, turn long, role string, co
 class _Section:
     """The rows of a section, as they come."""
 
-    def __init__(self, conv_id: int | None, begins: bool):
-        self.conv_id, self.begins, self.rows, self.turns = conv_id, begins, [], []
+    def __init__(self, conv_id: int | None, begins: bool, rules: Rules):
+        self.conv_id, self.begins, self.rules, self.rows, self.turns = conv_id, begins, rules, [], []
         self.counts = dict.fromkeys(_COUNTS, 0)
 
     def add(self, turn: int | None, role: str, code: bytes, blank: bool, truncated: bool, first: bool) -> None:
@@ -207,10 +223,10 @@ class _Section:
     def solved(self, part: int, seq: int) -> tuple:
         """The section's counts, the least costs and audits from each state it may be entered in, and its rows' names."""
         audits, costs, texts = Audits(), [], []
-        entered: list[Table] = [begun(audits)] if self.begins else [[(0, 0) if s == e else None for s in range(4)] for e in range(4)]
+        entered: list[Table] = [begun(audits, self.rules)] if self.begins else [[(0, 0) if s == e else None for s in range(4)] for e in range(4)]
         for table in entered:
             for _, role, _, must, truncated in self.rows:
-                table = stepped(audits, table, role[:1], must, truncated)
+                table = stepped(audits, table, role[:1], must, truncated, self.rules)
             costs += [held and held[0] for held in table]
             texts += [held and audits.text(held[1]) for held in table]
         turns, roles, codes = ([r[i] for r in self.rows] for i in range(3))
@@ -245,34 +261,34 @@ def _mapped(df: DataFrame, rows_made, ddl: str) -> DataFrame:
     return df.mapInArrow(lambda batches: _batched(rows_made(_rows_of(batches)), schema), ddl)
 
 
-def _cut(rows: Iterator[tuple]) -> Iterator[tuple]:
+def _cut(rows: Iterator[tuple], rules: Rules) -> Iterator[tuple]:
     """Sections of rows in order. Whether a partition's first one begins its conversation is not known here."""
     part, seq, section = TaskContext.get().partitionId(), 0, None
     for conv_id, turn, role, code, copies, blank, truncated, first in rows:
         for k in range(copies):
             another = section is None or section.conv_id != conv_id
-            if another or len(section.rows) >= SECTION:
+            if another or len(section.rows) >= rules.section:
                 if section:
                     yield section.solved(part, seq)
                     seq += 1
-                section = _Section(conv_id, begins=another and section is not None)
+                section = _Section(conv_id, another and section is not None, rules)
             section.add(turn, role, code, blank, truncated, first and k == 0)
     if section:
         yield section.solved(part, seq)
 
 
-def sections(rows: DataFrame) -> DataFrame:
+def sections(rows: DataFrame, rules: Rules = RULES) -> DataFrame:
     """The sections of all conversations, (part, seq) in order of their rows: turn (null first), role, code."""
     order = ("conv_id", "turn", "role", "code")
-    return _mapped(rows.repartitionByRange(*order).sortWithinPartitions(*order), _cut, _SECTIONS)
+    return _mapped(rows.repartitionByRange(*order).sortWithinPartitions(*order), partial(_cut, rules=rules), _SECTIONS)
 
 
 class _Fold:
     """The sections of one conversation, joined in order."""
 
-    def __init__(self, conv_id: int | None):
+    def __init__(self, conv_id: int | None, rules: Rules):
         self.conv_id, self.audits = conv_id, Audits()
-        self.table: Table = begun(self.audits)
+        self.table: Table = begun(self.audits, rules)
         self.entry: dict[int, int] = {}  # of the nodes of sections
         self.places: list[tuple[int, int]] = []
         self.counts = dict.fromkeys(_COUNTS, 0)
@@ -290,11 +306,10 @@ class _Fold:
         self.places.append((part, seq))
         table, self.table = ([(0, 0), None, None, None] if len(costs) == 4 else self.table), [None] * 4
         for entry, held in enumerate(table):
-            for state in range(4):
-                if held and costs[4 * entry + state] is not None:
-                    _offer(self.audits, self.table, state, held[0] + costs[4 * entry + state], held[1], texts[4 * entry + state])
-                    if self.table[state][1] == len(self.audits.pieces) - 1:
-                        self.entry[self.table[state][1]] = entry
+            for state in range(4 if held else 0):
+                cost, piece = costs[4 * entry + state], texts[4 * entry + state]
+                if cost is not None and _offer(self.audits, self.table, state, held[0] + cost, held[1], piece):
+                    self.entry[self.table[state][1]] = entry
 
     def done(self) -> Iterator[tuple]:
         """A row for the conversation, and one for each section with its state of entry and its edits."""
@@ -315,13 +330,13 @@ class _Fold:
             yield self.conv_id, part, seq, entry, piece, *[None] * 6
 
 
-def _fold(rows: Iterator[tuple]) -> Iterator[tuple]:
+def _fold(rows: Iterator[tuple], rules: Rules) -> Iterator[tuple]:
     now = None
     for conv_id, part, seq, *counts, opening, closing, least, most, costs, texts in rows:
         if now is None or now.conv_id != conv_id:
             if now:
                 yield from now.done()
-            now = _Fold(conv_id)
+            now = _Fold(conv_id, rules)
         now.add(part, seq, counts, opening, closing, least, most, costs, texts)
     if now:
         yield from now.done()
@@ -359,15 +374,15 @@ def _by_conversation(df: DataFrame, *order: str) -> DataFrame:
     return df.repartition("conv_id").sortWithinPartitions("conv_id", *order)
 
 
-def repaired_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+def repaired_turns(turns: DataFrame, rules: Rules = RULES) -> tuple[DataFrame, DataFrame]:
     """(conversations, turns): the counts, cost and audit of every conversation that has a row, and what is left of it.
 
     The second table has conv_id, part, seq, pos (the order of turns), said (the role as repaired) and text. ``turns`` is a table of
     conv_id, turn, role, text and copies, as :func:`damaged` gives it; role and text are not null."""
     scratch = Scratch(turns.sparkSession)
-    cut = scratch.keep(sections(scratch.keep(_faults(turns), "turn-faults")), "turn-sections")
+    cut = scratch.keep(sections(scratch.keep(_faults(turns), "turn-faults"), rules), "turn-sections")
     rows = _by_conversation(cut.drop("turns", "roles", "codes"), "part", "seq")
-    folded = scratch.keep(_mapped(rows, _fold, _FOLDED), "turn-audits")
+    folded = scratch.keep(_mapped(rows, partial(_fold, rules=rules), _FOLDED), "turn-audits")
     paths = folded.where(c("part").isNotNull()).select("part", "seq", "entry", "audit")
     named = cut.select("conv_id", "part", "seq", "turns", "roles", "codes").join(paths, ["part", "seq"])
     steps = _mapped(named.select("conv_id", "part", "seq", "entry", "audit", "turns", "roles", "codes"), _edits, _STEPS)
@@ -381,7 +396,7 @@ def repaired_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     return whole, left
 
 
-def conversation_audits(turns: DataFrame) -> DataFrame:
+def conversation_audits(turns: DataFrame, rules: Rules = RULES) -> DataFrame:
     """(conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256) of every conv_id of ``turns``.
 
     ``turns`` needs conv_id, turn, role and text; other columns are ignored. It is damaged first, see :func:`damaged`. Null roles and
@@ -389,7 +404,7 @@ def conversation_audits(turns: DataFrame) -> DataFrame:
     of role and text; equal rows follow each other, the first is no duplicate. A conversation without rows after damage has zeros, an
     empty audit and the hash of the empty text. An empty table gives no rows. An audit and a hash are single values, so the sections of
     a conversation are joined in one task, with some twenty bytes a row, and its text streams through one task."""
-    whole, left = repaired_turns(damaged(turns))
+    whole, left = repaired_turns(damaged(turns), rules)
     hashes = _mapped(_by_conversation(left, "part", "seq", "pos").select("conv_id", "said", "text"), _hashed, "of long, sha string")
     ids = turns.select(c("conv_id").cast("long").alias("conv_id")).distinct()
     counted = whole.withColumnRenamed("conv_id", "at")
