@@ -125,9 +125,9 @@ WITH RECURSIVE
   coded AS (SELECT *, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS inked,
                    md5(strlen(role) || ':' || role || strlen(text) || ':' || text) AS code FROM hurt),
   ordered AS (SELECT *, row_number() OVER o AS i, count(*) OVER (PARTITION BY conv_id) AS n,
-                     row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS seen,
+                     row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen,
                      role[1] AS x, lag(role[1]) OVER o AS before
-                FROM coded WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, code)),
+                FROM coded WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, code, copy)),
   faults AS (SELECT *, inked = '' AS blank, inked <> '' AND seen AS duplicate, inked <> '' AND NOT seen AND inked[-1] NOT IN ('.', '!', '?') AS truncated FROM ordered),
   -- the state: what came last (0 nothing, 1 s, 2 u, 3 a); c and a: least cost and its least audit, by state
   raw_steps(conv_id, i, s) AS (
