@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from kerbsight.functions import direction
 from kerbsight.operators.network import Adjacency, adjacency
-from kerbsight.session import cut, cut_observed
+from kerbsight.session import Buckets, cut_observed, row_count
 
 
 @dataclass(frozen=True)
@@ -50,7 +50,9 @@ CARS = CarModel()
 
 #: with at most this many moving rows a job does several levels
 FEW_ROWS = 20_000
-BEST, ARRIVAL, CREDIT = 0, 1, 2
+#: levels of a round of the directional model
+MANY_LEVELS, FEW_LEVELS = 3, 10
+KNOWN, BEST, ARRIVAL, CREDIT = 0, 1, 2, 3
 
 
 # --------------------------------------------------------------- bike and pedestrian
@@ -182,60 +184,74 @@ def propagate_cars(seeds: DataFrame, edges: DataFrame, model: CarModel = CARS, m
     as earlier is first-in-first-out order: level by level and, within a level, by the
     path of edge positions. The path is kept as fixed-width text, so text order is
     arrival order and one window per (seed, node) reproduces the queue exactly.
+
+    A seed's rows are of no concern to other seeds, so everything lies in buckets by seed and a level needs no shuffle while the
+    network is small enough to broadcast. The distances that a seed has found so far are a table beside the frontier: a round
+    appends the distances that it has improved, and the arrivals and credits that it has made, and writes nothing again.
     """
     net = net or adjacency(edges)
     step = _CarStep(net, model)
     c = F.col
     starts = seeds.filter(c("flow").isNotNull() & c("bearing").isNotNull()).select(
-        F.lit(ARRIVAL).alias("kind"), "seed", c("hour").cast("int").alias("hour"), "bearing", "node",
+        "seed", c("hour").cast("int").alias("hour"), "bearing", F.lit(ARRIVAL).alias("kind"), "node",
         F.lit(0.0).alias("dist"), c("flow").cast("double").alias("flow"), F.lit("").alias("path"),
         F.lit(None).cast("bigint").alias("u"), F.lit(None).cast("int").alias("key"), F.lit(0.0).alias("edge_flow"),
-    )
-    rows = cut(starts.filter((c("dist") <= model.max_distance) & (c("flow") >= model.min_flow)), "cars")
-    credits: list[DataFrame] = []
-    done, levels = 0, 1
-    while done < max_levels:
-        for _ in range(levels):
-            rows = step.apply(rows)
-        done += levels
-        rows, seen = cut_observed(rows, "cars", moving=F.count_if(c("kind") == ARRIVAL))
-        credits.append(rows.filter(c("u").isNotNull()))
-        if not seen["moving"]:
-            break
-        # arrivals of this table are credited now; forget it for their next step
-        rows = rows.filter(c("kind") != CREDIT).withColumn("u", F.lit(None).cast("bigint"))
-        levels = 1
-        if seen["moving"] <= FEW_ROWS:
-            # seeds at rest need their node distances no more
-            active = rows.filter(c("kind") == ARRIVAL).select("seed").distinct()
-            rows = rows.join(F.broadcast(active), "seed", "left_semi")
-            levels = 1 if net.many_chunks else 4
-    else:
+        F.lit(0).alias("round"),
+    ).filter((c("dist") <= model.max_distance) & (c("flow") >= model.min_flow))
+    rows = Buckets(seeds.sparkSession, "cars", ["seed"])
+    moving = rows.append(rows.placed(starts), moving=row_count())["moving"]
+    done, last = 0, 0
+    while moving and done < max_levels:
+        few = moving <= FEW_ROWS
+        levels = 1 if net.many_chunks or not net.small else (FEW_LEVELS if few else MANY_LEVELS)
+        done, last = done + levels, last + 1
+        moving = rows.append(_car_round(rows, step, levels, last, few), moving=F.count_if(c("kind") == ARRIVAL))["moving"]
+    every = rows.close()
+    if moving:
         raise RuntimeError(f"flows still moving after {max_levels} levels")
-    every = reduce(DataFrame.unionByName, credits)
-    return every.groupBy("u", c("node").alias("v"), "key", "hour").agg(F.sum("edge_flow").alias("total_flow"))
+    credited = every.filter(c("u").isNotNull())
+    return credited.groupBy("u", c("node").alias("v"), "key", "hour").agg(F.sum("edge_flow").alias("total_flow"))
+
+
+def _car_round(rows: Buckets, step: "_CarStep", levels: int, number: int, few: bool) -> DataFrame:
+    """What some levels add: arrivals to be judged next, improved distances, and credits."""
+    c = F.col
+    table = rows.table()
+    arrives = (c("kind") == ARRIVAL) & (c("round") == number - 1)
+    at = table.filter((c("kind") == BEST) | arrives)
+    if few:
+        # seeds at rest need their node distances no more
+        at = at.join(F.broadcast(table.filter(arrives).select("seed").distinct()), "seed", "left_semi")
+    # arrivals were credited by the round that made them
+    at = at.withColumns({"u": F.lit(None).cast("bigint"), "kind": F.when(c("kind") == BEST, KNOWN).otherwise(c("kind"))}).drop("round")
+    for _ in range(levels):
+        at = step.apply(at)
+    at = at.filter(c("kind") != KNOWN).withColumn("round", F.lit(number))
+    return at if step.net.small and not step.net.many_chunks else rows.placed(at)
 
 
 class _CarStep:
     """One level: keep the best distance per (seed, node) and emit the children.
 
-    Rows are of three kinds: ``BEST`` (smallest distance so far of a seed at a node),
-    ``ARRIVAL`` (to be judged in this level) and ``CREDIT`` (only a flow to be counted).
+    Rows are of four kinds: ``KNOWN`` (a distance that is in the table), ``BEST`` (one that is not yet), ``ARRIVAL`` (to be judged in
+    this level) and ``CREDIT`` (only a flow to be counted). ``seed``, ``hour`` and ``bearing`` pass through as they are, so that
+    Spark knows that the rows of a seed stay where they are.
     """
 
-    columns = ["kind", "seed", "hour", "bearing", "node", "dist", "flow", "path", "u", "key", "edge_flow"]
+    seed = ["seed", "hour", "bearing"]
+    columns = ["kind", "node", "dist", "flow", "path", "u", "key", "edge_flow"]
 
     def __init__(self, net: Adjacency, model: CarModel):
         c = F.col
         self.net = net
         group = Window.partitionBy("seed", "node")
-        queue = group.orderBy("kind", "path")
+        queue = group.orderBy("kind", "path", "dist")
         self.earlier = F.min("dist").over(queue.rowsBetween(Window.unboundedPreceding, -1))
         self.turn = F.row_number().over(queue)
         self.best = F.min("dist").over(group)
         self.goes = (c("kind") == ARRIVAL) & (c("earlier").isNull() | (c("dist") < c("earlier")))
         first = (c("turn") == 1) & c("best").isNotNull()
-        credited = (c("kind") != BEST) & c("u").isNotNull()
+        credited = (c("kind") >= ARRIVAL) & c("u").isNotNull()
         self.matters = c("goes") | first | credited
 
         def weight(o: Column) -> Column:
@@ -244,9 +260,8 @@ class _CarStep:
 
         def row(kind: Column, node: Column, dist: Column, flow: Column, path: Column, u: Column, key: Column, edge_flow: Column) -> Column:
             return F.struct(
-                kind.alias("kind"), c("seed").alias("seed"), c("hour").alias("hour"), c("bearing").alias("bearing"),
-                node.alias("node"), dist.alias("dist"), flow.alias("flow"), path.alias("path"), u.alias("u"),
-                key.alias("key"), edge_flow.alias("edge_flow"),
+                kind.alias("kind"), node.alias("node"), dist.alias("dist"), flow.alias("flow"), path.alias("path"),
+                u.alias("u"), key.alias("key"), edge_flow.alias("edge_flow"),
             )
 
         no_dist, no_node, no_key = F.lit(None).cast("double"), F.lit(None).cast("bigint"), F.lit(None).cast("int")
@@ -263,7 +278,8 @@ class _CarStep:
                 F.when(moves, F.concat(c("path"), position)).otherwise(""), c("node"), o["key"].cast("int"), share,
             )
 
-        state = row(F.lit(BEST), c("node"), c("best"), no_dist, F.lit(""), no_node, no_key, F.lit(0.0))
+        kept_kind = F.when((c("kind") == KNOWN) & (c("dist") == c("best")), KNOWN).otherwise(BEST)
+        state = row(kept_kind, c("node"), c("best"), no_dist, F.lit(""), no_node, no_key, F.lit(0.0))
         counted = row(F.lit(CREDIT), c("node"), no_dist, no_dist, F.lit(""), c("u"), c("key"), c("edge_flow"))
         once = F.coalesce(c("chunk"), F.lit(0)) == 0
         kept = F.concat(
@@ -276,7 +292,7 @@ class _CarStep:
         self.partial = _sum(self.weights)
         self.total = _sum(c("ws"))
         self.emitted = F.explode(F.concat(kept, F.when(c("goes"), onward).otherwise(F.array()))).alias("r")
-        self.results = [c(f"r.{n}") for n in self.columns]
+        self.results = [*self.seed, *[c(f"r.{n}") for n in self.columns]]
 
     def apply(self, rows: DataFrame) -> DataFrame:
         judged = (
@@ -294,7 +310,7 @@ class _CarStep:
         met = judged.join(outs, "at", "left").withColumn("ws", self.weights)
         if not self.net.many_chunks:
             met = met.withColumn("total", self.total)
-        return met.select(self.emitted).select(*self.results)
+        return met.select(*self.seed, self.emitted).select(*self.results)
 
 
 def mass_balance(flows: DataFrame, seeds: DataFrame, flow: str = "total_flow", seed_flow: str = "flow") -> DataFrame:

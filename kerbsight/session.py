@@ -64,6 +64,43 @@ def cut_observed(df: DataFrame, label: str = "stage", **metrics: Column) -> tupl
     return df.sparkSession.read.schema(df.schema).parquet(path), values
 
 
+class Buckets:
+    """A growing table whose rows lie in ``count`` buckets by the hash of ``keys``.
+
+    Rounds are appended, and nothing is written again. Joins, windows and groups by the keys read the table without a shuffle. It is
+    registered under a name of its own until ``close``; its files lie beside the tables of :func:`cut`.
+    """
+
+    def __init__(self, spark: SparkSession, label: str, keys: list[str], count: int | None = None):
+        self.spark, self.keys = spark, keys
+        self.count = count or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        key = uuid.uuid4().hex
+        self.path = f"{scratch_root(spark)}/kerbsight/{label}-{key}"
+        self.name = f"kerbsight_{re.sub(r'[^a-z]', '_', label)}_{key}"
+        self.schema = None
+
+    def append(self, df: DataFrame, **metrics: Column) -> dict:
+        """Write ``df`` and return aggregate ``metrics`` of the same job. Its rows should be partitioned like the buckets, so that a
+        task writes one file."""
+        self.schema = self.schema or df.schema
+        seen = Observation()
+        out = df.observe(seen, *[m.alias(name) for name, m in metrics.items()]) if metrics else df
+        out.write.format("parquet").mode("append").option("path", self.path).bucketBy(self.count, *self.keys).saveAsTable(self.name)
+        return seen.get if metrics else {}
+
+    def placed(self, df: DataFrame) -> DataFrame:
+        """``df`` partitioned like the buckets."""
+        return df.repartition(self.count, *self.keys)
+
+    def table(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def close(self) -> DataFrame:
+        """Forget the name; the rows stay readable."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+
 def row_count() -> Column:
     """Row-count metric for :func:`cut_observed`."""
     return F.count(F.lit(1))
