@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from kerbsight.functions import direction, geo
-from kerbsight.session import cut, cut_observed, row_count
+from kerbsight.session import Buckets, cut, cut_observed, row_count
 
 CHUNK = 64
 #: adjacency tables up to this many edges are broadcast (about 60 bytes an edge)
@@ -64,7 +64,7 @@ def attach_edge_ids(flows: DataFrame, edges: DataFrame, strict: bool = True) ->
 
 @dataclass(frozen=True)
 class Adjacency:
-    """Out-edges per node in rows of at most ``CHUNK`` edges (``node, chunk, outs``).
+    """Out-edges per node in rows of at most ``CHUNK`` edges (``node, chunk, outs``), broadcast or stored in buckets by node.
 
     Ordinary nodes fit one row. A hub takes several, and ``many_chunks`` then tells
     the graph operators to add up weights over a node's rows.
@@ -95,6 +95,12 @@ def adjacency(edges: DataFrame, comfort_rules: tuple = ()) -> Adjacency:
         chunks, "adjacency", chunks=F.max("chunk"), edges=F.sum(F.size("outs")), rows=row_count()
     )
     chunk_count = (seen["chunks"] or 0) + 1
-    return Adjacency(
-        rows, chunk_count > 1, (seen["edges"] or 0) <= BROADCAST_EDGES, len(f"{chunk_count * CHUNK:x}")
-    )
+    small = (seen["edges"] or 0) <= BROADCAST_EDGES
+    return Adjacency(rows if small else _stored(rows), chunk_count > 1, small, len(f"{chunk_count * CHUNK:x}"))
+
+
+def _stored(rows: DataFrame) -> DataFrame:
+    """The rows in buckets by node: joins read them where they lie, and only the other side moves."""
+    table = Buckets(rows.sparkSession, "adjacency", ["node"])
+    table.append(table.placed(rows))
+    return table.table()

@@ -50,8 +50,8 @@ CARS = CarModel()
 
 #: with at most this many moving rows a job does several levels
 FEW_ROWS = 20_000
-#: levels of a round of the directional model
-MANY_LEVELS, FEW_LEVELS = 3, 10
+#: levels of a round of the directional model, and the moving rows from which on a round has fewer of them
+MANY_LEVELS, FEW_LEVELS, TAIL_ROWS = 3, 10, 3_000
 KNOWN, BEST, ARRIVAL, CREDIT = 0, 1, 2, 3
 
 
@@ -198,12 +198,12 @@ def propagate_cars(seeds: DataFrame, edges: DataFrame, model: CarModel = CARS, m
         F.lit(None).cast("bigint").alias("u"), F.lit(None).cast("int").alias("key"), F.lit(0.0).alias("edge_flow"),
         F.lit(0).alias("round"),
     ).filter((c("dist") <= model.max_distance) & (c("flow") >= model.min_flow))
-    rows = Buckets(seeds.sparkSession, "cars", ["seed"])
+    rows = Buckets(seeds.sparkSession, "cars", ["seed"], folders=("kind", "round"))
     moving = rows.append(rows.placed(starts), moving=row_count())["moving"]
     done, last = 0, 0
     while moving and done < max_levels:
         few = moving <= FEW_ROWS
-        levels = 1 if net.many_chunks or not net.small else (FEW_LEVELS if few else MANY_LEVELS)
+        levels = 1 if net.many_chunks or not net.small else (FEW_LEVELS if moving <= TAIL_ROWS else MANY_LEVELS)
         done, last = done + levels, last + 1
         moving = rows.append(_car_round(rows, step, levels, last, few), moving=F.count_if(c("kind") == ARRIVAL))["moving"]
     every = rows.close()
@@ -231,7 +231,7 @@ def _car_round(rows: Buckets, step: "_CarStep", levels: int, number: int, few: b
 
 
 class _CarStep:
-    """One level: keep the best distance per (seed, node) and emit the children.
+    """One level: arrivals nearer than all before them go on, and emit their children.
 
     Rows are of four kinds: ``KNOWN`` (a distance that is in the table), ``BEST`` (one that is not yet), ``ARRIVAL`` (to be judged in
     this level) and ``CREDIT`` (only a flow to be counted). ``seed``, ``hour`` and ``bearing`` pass through as they are, so that
@@ -239,20 +239,17 @@ class _CarStep:
     """
 
     seed = ["seed", "hour", "bearing"]
-    columns = ["kind", "node", "dist", "flow", "path", "u", "key", "edge_flow"]
 
     def __init__(self, net: Adjacency, model: CarModel):
         c = F.col
         self.net = net
-        group = Window.partitionBy("seed", "node")
-        queue = group.orderBy("kind", "path", "dist")
-        self.earlier = F.min("dist").over(queue.rowsBetween(Window.unboundedPreceding, -1))
-        self.turn = F.row_number().over(queue)
-        self.best = F.min("dist").over(group)
+        before = Window.partitionBy("seed", "node").orderBy("kind", "path").rowsBetween(Window.unboundedPreceding, -1)
+        self.outs = net.joinable().withColumnRenamed("node", "at")
+        self.earlier = F.min("dist").over(before)
         self.goes = (c("kind") == ARRIVAL) & (c("earlier").isNull() | (c("dist") < c("earlier")))
-        first = (c("turn") == 1) & c("best").isNotNull()
-        credited = (c("kind") >= ARRIVAL) & c("u").isNotNull()
-        self.matters = c("goes") | first | credited
+        found = c("kind") < ARRIVAL
+        credited = ~found & c("u").isNotNull()
+        self.matters = self.goes | found | credited
 
         def weight(o: Column) -> Column:
             w = direction.linear_weight(c("bearing"), o["bearing"], model.max_arc)
@@ -278,39 +275,34 @@ class _CarStep:
                 F.when(moves, F.concat(c("path"), position)).otherwise(""), c("node"), o["key"].cast("int"), share,
             )
 
-        kept_kind = F.when((c("kind") == KNOWN) & (c("dist") == c("best")), KNOWN).otherwise(BEST)
-        state = row(kept_kind, c("node"), c("best"), no_dist, F.lit(""), no_node, no_key, F.lit(0.0))
+        # a distance that was found stays, and an arrival that goes on has found one
+        state = row(F.when(found, c("kind")).otherwise(BEST), c("node"), c("dist"), no_dist, F.lit(""), no_node, no_key, F.lit(0.0))
         counted = row(F.lit(CREDIT), c("node"), no_dist, no_dist, F.lit(""), c("u"), c("key"), c("edge_flow"))
         once = F.coalesce(c("chunk"), F.lit(0)) == 0
         kept = F.concat(
-            F.when(once & first, F.array(state)).otherwise(F.array()),
+            F.when(once & (found | c("goes")), F.array(state)).otherwise(F.array()),
             F.when(once & credited, F.array(counted)).otherwise(F.array()),
         )
         onward = F.coalesce(F.filter(F.transform("outs", child), lambda r: r["edge_flow"] > 0), F.array())
-        self.at = F.when(c("goes"), c("node"))
+        self.at = F.when(self.goes, c("node"))
         self.weights = F.transform("outs", weight)
         self.partial = _sum(self.weights)
         self.total = _sum(c("ws"))
-        self.emitted = F.explode(F.concat(kept, F.when(c("goes"), onward).otherwise(F.array()))).alias("r")
-        self.results = [*self.seed, *[c(f"r.{n}") for n in self.columns]]
+        self.emitted = F.inline(F.concat(kept, F.when(c("goes"), onward).otherwise(F.array())))
 
     def apply(self, rows: DataFrame) -> DataFrame:
-        judged = (
-            rows.withColumns({"earlier": self.earlier, "turn": self.turn, "best": self.best})
-            .withColumn("goes", self.goes).filter(self.matters).withColumn("at", self.at)
-        )
-        outs = self.net.joinable().withColumnRenamed("node", "at")
+        judged = rows.withColumn("earlier", self.earlier).filter(self.matters).withColumns({"goes": self.goes, "at": self.at})
         if self.net.many_chunks:
             totals = (
                 judged.filter("goes").select("at", "bearing").distinct()
-                .join(outs, "at").withColumn("part", self.partial)
+                .join(self.outs, "at").withColumn("part", self.partial)
                 .groupBy("at", "bearing").agg(F.sum("part").alias("total"))
             )
             judged = judged.join(totals, ["at", "bearing"], "left")
-        met = judged.join(outs, "at", "left").withColumn("ws", self.weights)
+        met = judged.join(self.outs, "at", "left").withColumn("ws", self.weights)
         if not self.net.many_chunks:
             met = met.withColumn("total", self.total)
-        return met.select(*self.seed, self.emitted).select(*self.results)
+        return met.select(*self.seed, self.emitted)
 
 
 def mass_balance(flows: DataFrame, seeds: DataFrame, flow: str = "total_flow", seed_flow: str = "flow") -> DataFrame:

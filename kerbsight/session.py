@@ -67,12 +67,13 @@ def cut_observed(df: DataFrame, label: str = "stage", **metrics: Column) -> tupl
 class Buckets:
     """A growing table whose rows lie in ``count`` buckets by the hash of ``keys``.
 
-    Rounds are appended, and nothing is written again. Joins, windows and groups by the keys read the table without a shuffle. It is
-    registered under a name of its own until ``close``; its files lie beside the tables of :func:`cut`.
+    Rounds are appended, and nothing is written again. Joins, windows and groups by the keys read the table without a shuffle, and
+    only the ``folders`` (columns) that a filter leaves. It is registered under a name of its own until ``close``; its files lie
+    beside the tables of :func:`cut`.
     """
 
-    def __init__(self, spark: SparkSession, label: str, keys: list[str], count: int | None = None):
-        self.spark, self.keys = spark, keys
+    def __init__(self, spark: SparkSession, label: str, keys: list[str], count: int | None = None, folders: tuple[str, ...] = ()):
+        self.spark, self.keys, self.folders = spark, keys, folders
         self.count = count or int(spark.conf.get("spark.sql.shuffle.partitions"))
         key = uuid.uuid4().hex
         self.path = f"{scratch_root(spark)}/kerbsight/{label}-{key}"
@@ -85,7 +86,8 @@ class Buckets:
         self.schema = self.schema or df.schema
         seen = Observation()
         out = df.observe(seen, *[m.alias(name) for name, m in metrics.items()]) if metrics else df
-        out.write.format("parquet").mode("append").option("path", self.path).bucketBy(self.count, *self.keys).saveAsTable(self.name)
+        writer = out.write.format("parquet").mode("append").option("path", self.path).bucketBy(self.count, *self.keys)
+        (writer.partitionBy(*self.folders) if self.folders else writer).saveAsTable(self.name)
         return seen.get if metrics else {}
 
     def placed(self, df: DataFrame) -> DataFrame:

@@ -279,3 +279,66 @@ def test_path_lines(spark):
     nodes = spark.createDataFrame([(1, 0.0, 0.0), (2, 10.0, 0.0), (3, 10.0, 10.0)], "node_id long, x double, y double")
     (row,) = path_lines(paths, nodes).collect()
     assert [(p.x, p.y) for p in row.geom[0]] == [(0, 0), (10, 0), (10, 10)]
+
+
+# ------------------------------------------------------------------------- growing tables
+def test_a_level_writes_what_it_adds(spark, monkeypatch):
+    """Distances are appended, never written again: at most one for each arrival that was judged, and no credit twice."""
+    written = []
+    append = propagate.Buckets.append
+
+    def counted(self, df, **metrics):
+        more = {f"kind{k}": F.count_if(F.col("kind") == k) for k in range(4)}
+        seen = append(self, df, **metrics, **more)
+        written.append([seen[f"kind{k}"] for k in range(4)])
+        return seen
+
+    monkeypatch.setattr(propagate.Buckets, "append", counted)
+    monkeypatch.setattr(propagate, "MANY_LEVELS", 1)
+    monkeypatch.setattr(propagate, "FEW_LEVELS", 1)
+    rows, rng = graph(2, nodes=30, edges=110), random.Random(5)
+    seeds = car_seeds(rng, 30, 40)
+    model = propagate.CarModel(max_distance=1200.0, min_flow=2.0)
+    found, wanted = run_cars(spark, rows, seeds, model), queue_walk(rows, seeds, model)
+    assert found == pytest.approx(dict(wanted), rel=1e-9) and len(written) > 5
+    for (_, _, judged, _), (known, best, arrivals, credits) in zip(written, written[1:]):
+        frontier = judged + arrivals + credits  # rows judged, and offers made (an arrival's own credit comes with it)
+        assert known == 0 and best <= judged and best + arrivals + credits <= 2 * frontier
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_a_round_of_cars_moves_the_frontier_only(spark, monkeypatch, large):
+    """No shuffle with a broadcast network; beyond it two of the frontier, and none of the adjacency."""
+    if large:
+        monkeypatch.setattr(network, "BROADCAST_EDGES", 0)
+    plans = []
+    plan = propagate._car_round
+
+    def kept(*args):
+        out = plan(*args)
+        plans.append(exchanges(out))
+        return out
+
+    monkeypatch.setattr(propagate, "_car_round", kept)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        run_cars(spark, graph(1), car_seeds(random.Random(101), 12, 12), propagate.CarModel(max_distance=900.0, min_flow=2.0))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plans and set(plans) == ({2} if large else {0})
+
+
+def test_paths_read_a_stored_adjacency(spark, monkeypatch):
+    """Beyond the broadcast limit a level of the comfort-weighted model shuffles its rows only."""
+    monkeypatch.setattr(network, "BROADCAST_EDGES", 0)
+    net = adjacency(spark.createDataFrame(graph(4), EDGES), propagate.BIKE.comfort)
+    rows = spark.createDataFrame([(7, 90.0, 1, 2, 0, 0.0, 50.0, True)], "hour int, bearing double, u long, v long, key int, dist double, flow double, live boolean")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert exchanges(propagate._PathStep(net, propagate.BIKE).apply(rows)) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
