@@ -8,15 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbsight.functions import geo
-from kerbsight.operators.components import components
 from kerbsight.operators.network import Adjacency, adjacency
+from kerbsight.operators.reach import can_reach, labels
 from kerbsight.session import cut, cut_observed
 
 
 #: up to this many improved nodes, the sources that still move are broadcast
 FEW_ROWS = 20_000
-#: rows of the search for each source, beyond which targets that no way can reach are looked for
-WIDE = 500
+#: rows of the search for each source, beyond which targets that no way can reach are looked for at the latest
+WIDE = 100
 #: levels of one job: where offers are folded to the smallest per node
 EACH, PAIRS = [True] * 4, [False, True] * 4
 
@@ -39,8 +39,9 @@ def shortest_paths(pairs: DataFrame, edges: DataFrame, max_levels: int = 100_000
 def _distances(wanted: DataFrame, net: Adjacency, max_levels: int, edges: DataFrame) -> tuple[DataFrame, int]:
     """Relax all sources together until no distance improves.
 
-    A source leaves the table when nothing of it moves any more, at the latest when half of the sources are done. When the
-    search grows wide, targets in another component than their source are dropped, as they would keep it unbounded.
+    A source leaves the table when nothing of it moves any more, at the latest when half of the sources are done. As soon as most
+    sources are done, or when the search grows wide, the network is labelled (:mod:`reach`): targets that a source cannot reach are
+    dropped, as they would keep it unbounded, and nodes that lead to none of a source's targets spread no more.
 
     Target nodes are in the table from the start with an infinite distance. The
     largest target distance of a source bounds its search as soon as all of its
@@ -60,11 +61,12 @@ def _distances(wanted: DataFrame, net: Adjacency, max_levels: int, edges: DataFr
     state = cut(state, "reach")
     settled: list[DataFrame] = []
     relax = _Relax(net)
-    done, steps, hops, checked = 0, EACH, 0, False
+    done, steps, hops, known = 0, EACH, 0, None
     while done < max_levels:
         bound = state.filter("target").groupBy("src").agg(F.max("dist").alias("bound"))
         # only improved nodes spread; they meet the full table once per job
         moving = state.filter("fresh").join(bound, "src")
+        moving = moving if known is None else _useful(moving, state, known)
         for fold in steps:
             moving = relax.spread(moving)
             moving = relax.fold(moving) if fold else moving
@@ -84,21 +86,29 @@ def _distances(wanted: DataFrame, net: Adjacency, max_levels: int, edges: DataFr
             settled.append(state.join(active, "src", "left_anti"))
             state = state.join(active, "src", "left_semi")
         steps = PAIRS if few else EACH
-        if not checked and seen["rows"] > WIDE * max(1, seen["sources"]):
-            state, checked = cut(_reachable(state, edges), "reach"), True
+        if known is None and (2 * seen["moving"] <= seen["sources"] or seen["rows"] > WIDE * max(1, seen["sources"])):
+            known = cut(labels(edges), "reach-labels")
+            state = cut(_reachable(state, known), "reach")
     raise RuntimeError(f"distances still improving after {max_levels} levels")
 
 
-def _reachable(state: DataFrame, edges: DataFrame) -> DataFrame:
-    """The state without targets that no edges connect with their source, whatever their direction."""
-    roots = components(edges.select("u", "v"), "u", "v")
+def _reachable(state: DataFrame, known: DataFrame) -> DataFrame:
+    """The state without targets that their source certainly cannot reach."""
     lost = F.col("target") & (F.col("dist") == float("inf"))
-    here, there = (roots.select(F.col("node").alias(n), F.col("root").alias(f"{n}_root")) for n in ("src", "node"))
+    here, there = (known.select(F.col("node").alias(n), F.struct("after", "before").alias(f"{n}_label")) for n in ("src", "node"))
     asked = state.filter(lost).join(here, "src", "left").join(there, "node", "left")
-    apart = asked.filter(~F.coalesce(F.col("src_root") == F.col("node_root"), F.lit(False))).select("src", "node")
+    apart = asked.filter(~F.coalesce(can_reach(F.col("src_label"), F.col("node_label")), F.lit(False))).select("src", "node")
     return state.join(apart, ["src", "node"], "left_anti")
 
 
+def _useful(moving: DataFrame, state: DataFrame, known: DataFrame) -> DataFrame:
+    """The moving rows from which some target of their source may still be reached."""
+    label = F.struct("after", "before")
+    goals = state.filter("target").join(known, "node").groupBy("src").agg(F.collect_set(label).alias("goals"))
+    met = moving.join(known, "node").join(goals, "src")
+    return met.filter(F.exists("goals", lambda g: can_reach(label, g))).select(moving.columns)
+
+
 class _Relax:
     """Improved nodes offer a distance to their neighbours; the smallest offer stays."""
 

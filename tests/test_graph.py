@@ -7,7 +7,7 @@ from collections import defaultdict, deque
 import pytest
 from pyspark.sql import functions as F
 
-from kerbsight.operators import network, propagate
+from kerbsight.operators import network, propagate, reach
 from kerbsight.operators import paths as paths_module
 from kerbsight.operators.components import components
 from kerbsight.operators.network import adjacency, attach_edge_ids, dense_ids, edge_bearings, with_edge_ids
@@ -342,3 +342,55 @@ def test_paths_read_a_stored_adjacency(spark, monkeypatch):
         assert exchanges(propagate._PathStep(net, propagate.BIKE).apply(rows)) == 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+# ------------------------------------------------------------------------------ reachability
+def reached_from(rows, start):
+    out, seen, todo = out_edges(rows), {start}, [start]
+    while todo:
+        for r in out[todo.pop()]:
+            if r[1] not in seen:
+                seen.add(r[1])
+                todo.append(r[1])
+    return seen
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_labels_refute_only_what_no_way_connects(spark, seed):
+    rng = random.Random(seed)
+    rows = [(rng.randrange(40), rng.randrange(40), 0, 1.0, None, []) for _ in range(45)]
+    rows += [(b, a, *rest) for a, b, *rest in rows[:12]]
+    known = {r.node: (r.after, r.before) for r in reach.labels(spark.createDataFrame(rows, EDGES)).collect()}
+    assert known.keys() == {x for r in rows if r[0] != r[1] for x in r[:2]}
+    allowed = ways = 0
+    for a in known:
+        there = reached_from(rows, a)
+        for b in known:
+            may = known[a][0] & ~known[b][0] == 0 and known[b][1] & ~known[a][1] == 0
+            assert may or b not in there
+            allowed, ways = allowed + may, ways + (b in there)
+    assert ways <= allowed < 0.8 * len(known) ** 2
+
+
+def test_targets_behind_one_way_streets_do_not_flood(spark):
+    """A 30 x 30 grid of two-way streets; each source has a near target, and one behind a street that only leads out of it."""
+    rows = []
+    for i in range(30):
+        for j in range(30):
+            for x, y in ((i + 1, j), (i, j + 1)):
+                if x < 30 and y < 30:
+                    a, b = 30 * i + j, 30 * x + y
+                    rows += [(a, b, 0, 100.0, 0.0, []), (b, a, 0, 100.0, 0.0, [])]
+    sources = [30 * k + 3 for k in range(0, 24, 3)]
+    rows += [(2000 + k, s, 0, 50.0, 0.0, []) for k, s in enumerate(sources)]  # from the dead end into the grid
+    rows += [(3000 + k, 2000 + k, 0, 50.0, 0.0, []) for k in range(len(sources))]
+    near = [(s, s + 2) for s in sources]
+    behind = [(s, 2000 + k) for k, s in enumerate(sources)]
+    inside = [(3000 + k, 2000 + k) for k in range(len(sources))]  # from one dead end into the next: a way that avoids the grid
+    across = [(2000, 2001)]
+    wanted = spark.createDataFrame(near + behind + inside + across, "src long, dst long")
+    edges = spark.createDataFrame(rows, EDGES)
+    state, _ = paths_module._distances(wanted, adjacency(edges), 1000, edges)
+    assert state.count() < 17 * 120  # 17 x 916 if every source spreads over the whole grid
+    found = shortest_paths(wanted, edges)
+    assert sorted((r.src, r.dst) for r in found.select("src", "dst").distinct().collect()) == sorted(near + inside)
