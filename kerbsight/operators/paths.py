@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from kerbsight.functions import geo
 from kerbsight.operators.network import Adjacency, adjacency
 from kerbsight.operators.reach import can_reach, labels
-from kerbsight.session import cut, cut_observed
+from kerbsight.session import Buckets, cut
 
 
 #: up to this many improved nodes, the sources that still move are broadcast
 FEW_ROWS = 20_000
-#: rows of the search for each source, beyond which targets that no way can reach are looked for at the latest
-WIDE = 100
-#: levels of one job: where offers are folded to the smallest per node
-EACH, PAIRS = [True] * 4, [False, True] * 4
+#: rows that rounds have written for a source that still moves, on average, beyond which targets that no way can reach are looked for at the latest
+WIDE = 2_000
+#: levels of one round
+LEVELS = 8
 
 
 def shortest_paths(pairs: DataFrame, edges: DataFrame, max_levels: int = 100_000,
@@ -37,76 +36,81 @@ def shortest_paths(pairs: DataFrame, edges: DataFrame, max_levels: int = 100_000
 
 
 def _distances(wanted: DataFrame, net: Adjacency, max_levels: int, edges: DataFrame) -> tuple[DataFrame, int]:
-    """Relax all sources together until no distance improves.
+    """Relax all sources together until no distance improves: the best row of every (src, node), and the most hops.
 
-    A source leaves the table when nothing of it moves any more, at the latest when half of the sources are done. As soon as most
-    sources are done, or when the search grows wide, the network is labelled (:mod:`reach`): targets that a source cannot reach are
-    dropped, as they would keep it unbounded, and nodes that lead to none of a source's targets spread no more.
+    Everything about a source lies in its bucket, so a round of several levels needs no shuffle while the network is small enough to
+    broadcast; it reads the sources that still move, and appends the rows that it has improved. When the search grows wide, the
+    network is labelled (:mod:`reach`): targets that a source cannot reach are put aside, as they would keep it unbounded, and nodes
+    that lead to none of a source's targets spread no more.
 
-    Target nodes are in the table from the start with an infinite distance. The
-    largest target distance of a source bounds its search as soon as all of its
-    targets are reached; nodes beyond the bound are not expanded.
+    Target nodes are in the table from the start with an infinite distance. The largest target distance of a source bounds its search
+    as soon as all of its targets are reached; nodes beyond the bound are not expanded.
     """
     c = F.col
     never = float("inf")
     targets = wanted.select("src", c("dst").alias("node"), F.lit(never).alias("dist"), F.lit(True).alias("target"))
     starts = wanted.select("src", c("src").alias("node"), F.lit(0.0).alias("dist"), F.lit(False).alias("target")).distinct()
-    state = (
-        targets.unionByName(starts).groupBy("src", "node").agg(F.min("dist").alias("dist"), F.bool_or("target").alias("target"))
-        .select(
-            "src", "node", "dist", F.lit(0).alias("hops"), F.lit(None).cast("bigint").alias("pred"),
-            (c("dist") == 0).alias("fresh"), "target",
-        )
-    )
-    state = cut(state, "reach")
-    settled: list[DataFrame] = []
     relax = _Relax(net)
-    done, steps, hops, known = 0, EACH, 0, None
-    while done < max_levels:
-        bound = state.filter("target").groupBy("src").agg(F.max("dist").alias("bound"))
-        # only improved nodes spread; they meet the full table once per job
-        moving = state.filter("fresh").join(bound, "src")
-        moving = moving if known is None else _useful(moving, state, known)
-        for fold in steps:
-            moving = relax.spread(moving)
-            moving = relax.fold(moving) if fold else moving
-        done += len(steps)
-        merged = state.withColumn("fresh", F.lit(False)).unionByName(moving.drop("bound")).groupBy("src", "node").agg(*relax.kept)
-        state, seen = cut_observed(
-            merged.select(*relax.result), "reach", fresh=F.count_if("fresh"), hops=F.max(F.when(c("dist") < never, c("hops"))),
-            rows=F.count(F.lit(1)), sources=F.approx_count_distinct("src"), moving=F.approx_count_distinct(F.when(c("fresh"), c("src"))),
-        )
-        hops = max(hops, seen["hops"] or 0)
-        if not seen["fresh"]:
-            return reduce(DataFrame.unionByName, settled, state), hops
-        few = seen["fresh"] <= FEW_ROWS
-        if few or 2 * seen["moving"] <= seen["sources"]:
-            active = state.filter("fresh").select("src").distinct()
-            active = F.broadcast(active) if few else active
-            settled.append(state.join(active, "src", "left_anti"))
-            state = state.join(active, "src", "left_semi")
-        steps = PAIRS if few else EACH
-        if known is None and (2 * seen["moving"] <= seen["sources"] or seen["rows"] > WIDE * max(1, seen["sources"])):
+    table = Buckets(wanted.sparkSession, "reach", ["src"], folders=("round",))
+    first = targets.unionByName(starts).select(
+        "src", "node", "dist", F.lit(0).alias("hops"), F.lit(None).cast("bigint").alias("pred"),
+        (c("dist") == 0).alias("fresh"), "target", F.lit(0).alias("round"))
+    seen = table.append(table.placed(first), fresh=F.count_if("fresh"))
+    done, number, hops, wide, known, apart = 0, 0, 0, 0.0, None, None
+    while seen["fresh"]:
+        if done >= max_levels:
+            raise RuntimeError(f"distances still improving after {max_levels} levels")
+        levels = (LEVELS if number else LEVELS // 2) if net.small else 1  # most targets are near
+        done, number, few = done + levels, number + 1, seen["fresh"] <= FEW_ROWS
+        out = _round(table, relax, levels, number, few, known, apart)
+        seen = table.append(
+            out, fresh=F.count_if("fresh"), hops=F.max("hops"), rows=F.count(F.lit(1)),
+            moving=F.approx_count_distinct(F.when(c("fresh"), c("src"))))
+        hops, wide = max(hops, seen["hops"] or 0), wide + seen["rows"] / max(1, seen["moving"])
+        if known is None and seen["fresh"] and wide > WIDE:
             known = cut(labels(edges), "reach-labels")
-            state = cut(_reachable(state, known), "reach")
-    raise RuntimeError(f"distances still improving after {max_levels} levels")
+            apart = cut(_unreachable(table.table(), known), "reach-apart")
+    every = table.close()
+    best = every.groupBy("src", "node").agg(F.min(F.struct("dist", "hops", "pred")).alias("best"))
+    return best.select("src", "node", "best.*"), hops
 
 
-def _reachable(state: DataFrame, known: DataFrame) -> DataFrame:
-    """The state without targets that their source certainly cannot reach."""
-    lost = F.col("target") & (F.col("dist") == float("inf"))
+def _round(table: Buckets, relax: "_Relax", levels: int, number: int, few: bool, known: DataFrame | None, apart: DataFrame | None) -> DataFrame:
+    """The rows that some levels improve."""
+    c = F.col
+    state = table.table()
+    newest = c("round") == number - 1
+    active = state.filter(newest & c("fresh")).select("src").distinct()
+    state = state.join(F.broadcast(active) if few else active, "src", "left_semi")
+    if apart is not None:
+        state = state.join(apart.withColumn("apart", F.lit(True)), ["src", "node"], "left")
+        state = state.filter(~(F.coalesce(c("apart"), F.lit(False)) & (c("dist") == float("inf")))).drop("apart")
+    state = state.withColumn("fresh", c("fresh") & newest).groupBy("src", "node").agg(*relax.kept, F.bool_or("fresh").alias("moves"))
+    state = state.select(*relax.result, F.lit(False).alias("changed"), c("moves")).withColumn("fresh", c("moves")).drop("moves")
+    if known is not None:
+        state = _useful(state, known)
+    state = state.withColumn("bound", F.max(F.when(c("target"), c("dist"))).over(Window.partitionBy("src")))
+    for _ in range(levels):
+        state = relax.level(state)
+    out = state.filter("changed").select("src", "node", "dist", "hops", "pred", "fresh", "target", F.lit(number).alias("round"))
+    return out if relax.net.small and known is None else table.placed(out)
+
+
+def _unreachable(state: DataFrame, known: DataFrame) -> DataFrame:
+    """(src, node) of the targets that their source certainly cannot reach."""
     here, there = (known.select(F.col("node").alias(n), F.struct("after", "before").alias(f"{n}_label")) for n in ("src", "node"))
-    asked = state.filter(lost).join(here, "src", "left").join(there, "node", "left")
-    apart = asked.filter(~F.coalesce(can_reach(F.col("src_label"), F.col("node_label")), F.lit(False))).select("src", "node")
-    return state.join(apart, ["src", "node"], "left_anti")
+    asked = state.filter("target").select("src", "node").distinct().join(here, "src", "left").join(there, "node", "left")
+    return asked.filter(~F.coalesce(can_reach(F.col("src_label"), F.col("node_label")), F.lit(False))).select("src", "node")
 
 
-def _useful(moving: DataFrame, state: DataFrame, known: DataFrame) -> DataFrame:
-    """The moving rows from which some target of their source may still be reached."""
-    label = F.struct("after", "before")
-    goals = state.filter("target").join(known, "node").groupBy("src").agg(F.collect_set(label).alias("goals"))
-    met = moving.join(known, "node").join(goals, "src")
-    return met.filter(F.exists("goals", lambda g: can_reach(label, g))).select(moving.columns)
+def _useful(state: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows from which no target of their source may be reached spread no more."""
+    label = F.when(F.col("after").isNotNull(), F.struct("after", "before"))
+    met = state.join(known, "node", "left")
+    goals = met.filter("target").groupBy(F.col("src").alias("of")).agg(F.collect_set(label).alias("goals"))
+    met = met.join(goals, F.col("src") == F.col("of"), "left")
+    leads = F.exists("goals", lambda g: can_reach(label, g))
+    return met.withColumn("fresh", F.col("fresh") & F.coalesce(leads, F.lit(False))).select(state.columns)
 
 
 class _Relax:
@@ -115,37 +119,41 @@ class _Relax:
     def __init__(self, net: Adjacency):
         c = F.col
         self.net = net
+        self.outs = net.joinable().withColumnRenamed("node", "at")
 
-        def row(node: Column, dist: Column, hops: Column, pred: Column, fresh: Column, target: Column) -> Column:
+        def row(node: Column, dist: Column, hops: Column, pred: Column, fresh: Column, target: Column, changed: Column) -> Column:
             return F.struct(
-                c("src").alias("src"), c("bound").alias("bound"), node.alias("node"), dist.alias("dist"),
-                hops.alias("hops"), pred.alias("pred"), fresh.alias("fresh"), target.alias("target"),
+                node.alias("node"), dist.alias("dist"), hops.alias("hops"), pred.alias("pred"), fresh.alias("fresh"),
+                target.alias("target"), changed.alias("changed"),
             )
 
-        old = row(c("node"), c("dist"), c("hops"), c("pred"), F.lit(False), c("target"))
+        old = row(c("node"), c("dist"), c("hops"), c("pred"), F.lit(False), c("target"), c("changed"))
         own = F.when(F.coalesce(c("chunk"), F.lit(0)) == 0, F.array(old)).otherwise(F.array())
-        offers = F.transform(
-            "outs",
-            lambda o: row(o["v"], c("dist") + o["length"], c("hops") + 1, c("node"), F.lit(True), F.lit(False)),
-        )
+        offers = F.coalesce(F.transform(
+            "outs", lambda o: row(o["v"], c("dist") + o["length"], c("hops") + 1, c("node"), F.lit(True), F.lit(False), F.lit(True)),
+        ), F.array())
         self.at = F.when(c("fresh") & (c("dist") < c("bound")), c("node"))
-        self.emitted = F.explode(F.concat(own, F.coalesce(offers, F.array()))).alias("r")
+        self.old, self.offers, self.both = F.inline(F.array(old)), F.inline(offers), F.inline(F.concat(own, offers))
         self.kept = [
             F.min(F.struct("dist", "hops", "pred")).alias("best"),
             # False sorts before True: an offer that only equals the old value is not news
             F.min(F.struct("dist", "hops", "fresh")).alias("news"),
             F.bool_or("target").alias("target"),
         ]
+        # a row that was there before this round and is as good stays unchanged
+        self.change = F.min(F.struct("dist", "hops", "changed")).alias("change")
         self.result = ["src", "node", "best.dist", "best.hops", "best.pred", "news.fresh", "target"]
 
-    def spread(self, state: DataFrame) -> DataFrame:
-        met = state.withColumn("at", self.at).join(
-            self.net.joinable().withColumnRenamed("node", "at"), "at", "left"
-        )
-        return met.select(self.emitted).select("r.*")
-
-    def fold(self, state: DataFrame) -> DataFrame:
-        return state.groupBy("src", "node", "bound").agg(*self.kept).select("bound", *self.result)
+    def level(self, state: DataFrame) -> DataFrame:
+        at = state.withColumn("at", self.at)
+        if self.net.small:
+            met = at.join(self.outs, "at", "left").select("src", "bound", self.both)
+        else:
+            # only rows that move meet the adjacency
+            moved = at.filter("at is not null").join(self.outs, "at").select("src", "bound", self.offers)
+            met = at.select("src", "bound", self.old).unionByName(moved)
+        best = met.groupBy("src", "node").agg(*self.kept, self.change, F.first("bound").alias("bound"))
+        return best.select(*self.result, F.col("change.changed").alias("changed"), "bound")
 
 
 def _walk_back(wanted: DataFrame, state: DataFrame, hops: int) -> DataFrame:

@@ -372,7 +372,7 @@ def test_labels_refute_only_what_no_way_connects(spark, seed):
     assert ways <= allowed < 0.8 * len(known) ** 2
 
 
-def test_targets_behind_one_way_streets_do_not_flood(spark):
+def test_targets_behind_one_way_streets_do_not_flood(spark, monkeypatch):
     """A 30 x 30 grid of two-way streets; each source has a near target, and one behind a street that only leads out of it."""
     rows = []
     for i in range(30):
@@ -384,6 +384,7 @@ def test_targets_behind_one_way_streets_do_not_flood(spark):
     sources = [30 * k + 3 for k in range(0, 24, 3)]
     rows += [(2000 + k, s, 0, 50.0, 0.0, []) for k, s in enumerate(sources)]  # from the dead end into the grid
     rows += [(3000 + k, 2000 + k, 0, 50.0, 0.0, []) for k in range(len(sources))]
+    monkeypatch.setattr(paths_module, "WIDE", 20)
     near = [(s, s + 2) for s in sources]
     behind = [(s, 2000 + k) for k, s in enumerate(sources)]
     inside = [(3000 + k, 2000 + k) for k in range(len(sources))]  # from one dead end into the next: a way that avoids the grid
