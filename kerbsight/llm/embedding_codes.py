@@ -135,14 +135,17 @@ def embedding_links(vectors: DataFrame) -> DataFrame:
 
     Only vectors of equal labels are compared. Null labels, null or zero vectors and such with null or non-finite components
     link with nothing and are their own component; so are vectors whose length no other of the label shares. Repeated rows
-    are vectors of their own: equal vectors link, under their ids. A null vec_id stays null. An empty table stays empty."""
+    are vectors of their own: equal vectors link, under their ids. Different vectors under one id are told apart, also by their links.
+    A null vec_id stays null and links like any other; component_id is the smallest id that is not null, and null where there is
+    none. An empty table stays empty."""
     scratch = Scratch(vectors.sparkSession)
     rows = vectors.select(c("vec_id").cast("long").alias("vec_id"), c("embedding").cast("array<double>").alias("vector"), c("label").cast("string").alias("label"))
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     usable = c("label").isNotNull() & c("vector").isNotNull() & F.forall("vector", finite) & F.exists("vector", lambda x: x != 0)
     rows = rows.withColumn("usable", F.coalesce(usable, F.lit(False)))
     good = rows.where("usable").groupBy("label", "vector").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("weight"))
-    good = good.where("least is not null").select(c("least").alias("node"), "label", "vector", "weight")
+    # nodes are vectors, whatever their ids; the numbers are written once
+    good = good.select(F.monotonically_increasing_id().alias("node"), "least", "label", "vector", "weight")
     good, seen = scratch.keep(good, "embedding-rows", rows=F.count(F.lit(1)))
     bits = bits_for(seen["rows"])
     tables = tables_for(bits)
@@ -155,12 +158,16 @@ def embedding_links(vectors: DataFrame) -> DataFrame:
     partners = found.groupBy("node").agg(F.sum("partners").alias("partners"))
     roots = components(found, "node", "root")
     named = good.join(partners, "node", "left").join(roots, "node", "left").select(
-        "vector", "label", F.coalesce("root", "node").alias("component"),
+        "vector", "label", "least", F.coalesce("root", "node").alias("root"),
         (F.coalesce("partners", F.lit(0)) + c("weight") - 1).alias("links"))
-    named = named.withColumn("usable", F.lit(True))
+    named = scratch.keep(named, "embedding-named")
+    ids = named.groupBy("root").agg(F.min("least").alias("component"))
+    named = named.join(ids, "root").drop("root", "least").withColumn("usable", F.lit(True))
     out = rows.join(named, ["usable", "label", "vector"], "left")
-    component = F.coalesce("component", "vec_id")
-    return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (c("vec_id") == component).alias("kept"))
+    component = F.when(c("links").isNull(), c("vec_id")).otherwise(c("component"))
+    return out.select(
+        "vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
+        c("vec_id").eqNullSafe(component).alias("kept"))
 
 
 def _block_pairs(codes: DataFrame, good: DataFrame, groups: int) -> DataFrame:

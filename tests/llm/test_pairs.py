@@ -153,6 +153,18 @@ def test_embedding_links(spark):
     assert embedding_codes.embedding_links(df.limit(0)).count() == 0
 
 
+def test_embedding_links_of_repeated_and_null_ids(spark):
+    """Vectors, not ids, link: an id with two vectors does not join two groups, and null ids take part."""
+    a, b = [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0]
+    near = lambda v, e: [x + e * (i == 3) for i, x in enumerate(v)]
+    rows = [(1, a, 0), (1, b, 0), (2, near(a, 0.05), 0), (3, near(b, 0.05), 0)]
+    rows += [(None, a, 1), (7, near(a, 0.05), 1), (None, b, 1), (None, b, 1), (9, near(b, 2.0), 1), (9, near(b, 2.0), 1)]
+    got = Counter(tuple(r) for r in embedding_codes.embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect())
+    assert got == Counter([
+        (1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (None, 1, 7, False), (7, 1, 7, True),
+        (None, 1, None, True), (None, 1, None, True), (9, 1, 9, True), (9, 1, 9, True)])
+
+
 def test_codes_estimate_without_bias():
     """The estimator's mean over random rotations is the inner product."""
     rng = np.random.default_rng(1)
