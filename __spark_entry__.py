@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import oracles
 from kerbsight.functions import cleaning, direction, geo
-from kerbsight.operators import checks, network, profiles
+from kerbsight.operators import checks, network, profiles, reach
 from kerbsight.operators import impressions as imp
 from kerbsight.operators import propagate
 from kerbsight.operators.centroid import with_centroid
@@ -302,6 +302,11 @@ def _segment_hours(spark, sf):
     return profiles.segment_hours(runs)
 
 
+def network_core(spark, sf):
+    bit = lambda name: c(name).bitwiseAND(F.lit(1)) == 1  # noqa: E731 - the first bit is that of the largest core
+    return reach.labels(standin.net_edges(spark, sf)).select("node", bit("after").alias("reached"), bit("before").alias("reaches"))
+
+
 def stop_paths(spark, sf):
     at = cut(_stop_nodes(spark, sf))
     start = at.select("haltestellen_id", c("node_id").alias("src"))
@@ -575,6 +580,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "direction_counts": direction_counts,
         "geometry_roundtrip": geometry_roundtrip,
         "network_extent": network_extent,
+        "network_core": network_core,
         "publish_gold": publish_gold,
         "landed_days": landed_days,
         "named_files": named_files,

@@ -370,7 +370,21 @@ VIEWS.update({
     "frontage_list": "SELECT DISTINCT objectid, gwr_egid, bezeichnung FROM quads",
 })
 
-RECURSIVE = {"flow_rows": "", "car_rows": "", "reach": "(src, node, dist, hops) USING KEY (src, node)", "walked": ""}
+RECURSIVE = {"flow_rows": "", "car_rows": "", "reach": "(src, node, dist, hops) USING KEY (src, node)", "walked": "",
+             "street_roots": "(node, root)", "core_ahead": "(node)", "core_behind": "(node)"}
+#: the largest component of two-way streets, and what it reaches and is reached from
+CORE_VIEWS = {
+    "streets": "SELECT DISTINCT u, v FROM net_edges WHERE u <> v",
+    "two_way": "SELECT a.u, a.v FROM streets a JOIN streets b ON b.u = a.v AND b.v = a.u",
+    "street_nodes": "SELECT u AS node FROM streets UNION SELECT v FROM streets",
+    "street_roots": "SELECT node, node FROM street_nodes UNION"
+                    " SELECT w.v, r.root FROM street_roots r JOIN two_way w ON w.u = r.node WHERE r.root < w.v",
+    "least_roots": "SELECT node, min(root) AS root FROM street_roots GROUP BY node",
+    "core_nodes": "SELECT node FROM least_roots WHERE root ="
+                  " (SELECT root FROM least_roots GROUP BY root ORDER BY count(*) DESC, root LIMIT 1)",
+    "core_ahead": "SELECT node FROM core_nodes UNION SELECT e.v FROM core_ahead r JOIN streets e ON e.u = r.node",
+    "core_behind": "SELECT node FROM core_nodes UNION SELECT e.u FROM core_behind r JOIN streets e ON e.v = r.node",
+}
 
 
 def statement(select: str, **extra: str) -> str:
@@ -602,6 +616,9 @@ def oracle_sql() -> dict[str, str]:
         "named_files": "SELECT * FROM supplier",
         "csv_tables": "SELECT s_suppkey AS haltestellen_id, s_name || CASE s_nationkey % 3 WHEN 0 THEN ' (Stadt Zürich)'"
                       " WHEN 1 THEN ' (Zürich)' ELSE ' ' END AS haltestellenlangname FROM supplier",
+        "network_core": s(
+            "SELECT node, node IN (SELECT node FROM core_ahead) AS reached, node IN (SELECT node FROM core_behind) AS reaches"
+            " FROM street_nodes", **CORE_VIEWS),
         "network_extent": s(
             "SELECT min(least(x1, x2)) AS min_x, min(least(y1, y2)) AS min_y, max(greatest(x1, x2)) AS max_x,"
             " max(greatest(y1, y2)) AS max_y FROM net_segments"),
