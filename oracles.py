@@ -372,9 +372,9 @@ VIEWS.update({
 
 RECURSIVE = {"flow_rows": "", "car_rows": "", "reach": "(src, node, dist, hops) USING KEY (src, node)", "walked": "",
              "street_roots": "(node, root)", "core_ahead": "(node)", "core_behind": "(node)"}
-#: the largest component of two-way streets, and what it reaches and is reached from
+#: the largest component of two-way streets, and what it reaches and is reached from; most streets lead to the larger node only
 CORE_VIEWS = {
-    "streets": "SELECT DISTINCT u, v FROM net_edges WHERE u <> v",
+    "streets": "SELECT DISTINCT u, v FROM net_edges WHERE u < v OR u > v AND (u + v) % 3 = 0",
     "two_way": "SELECT a.u, a.v FROM streets a JOIN streets b ON b.u = a.v AND b.v = a.u",
     "street_nodes": "SELECT u AS node FROM streets UNION SELECT v FROM streets",
     "street_roots": "SELECT node, node FROM street_nodes UNION"
