@@ -280,15 +280,17 @@ class _CarStep:
         counted = row(F.lit(CREDIT), c("node"), no_dist, no_dist, F.lit(""), c("u"), c("key"), c("edge_flow"))
         once = F.coalesce(c("chunk"), F.lit(0)) == 0
         kept = F.concat(
-            F.when(once & (found | c("goes")), F.array(state)).otherwise(F.array()),
-            F.when(once & credited, F.array(counted)).otherwise(F.array()),
+            F.when(found | c("goes"), F.array(state)).otherwise(F.array()),
+            F.when(credited, F.array(counted)).otherwise(F.array()),
         )
         onward = F.coalesce(F.filter(F.transform("outs", child), lambda r: r["edge_flow"] > 0), F.array())
         self.at = F.when(self.goes, c("node"))
         self.weights = F.transform("outs", weight)
         self.partial = _sum(self.weights)
         self.total = _sum(c("ws"))
-        self.emitted = F.inline(F.concat(kept, F.when(c("goes"), onward).otherwise(F.array())))
+        self.kept, self.onward = F.inline(kept), F.inline(onward)
+        own = F.when(once, kept).otherwise(F.array())
+        self.emitted = F.inline(F.concat(own, F.when(c("goes"), onward).otherwise(F.array())))
 
     def apply(self, rows: DataFrame) -> DataFrame:
         judged = rows.withColumn("earlier", self.earlier).filter(self.matters).withColumns({"goes": self.goes, "at": self.at})
@@ -299,10 +301,15 @@ class _CarStep:
                 .groupBy("at", "bearing").agg(F.sum("part").alias("total"))
             )
             judged = judged.join(totals, ["at", "bearing"], "left")
-        met = judged.join(self.outs, "at", "left").withColumn("ws", self.weights)
-        if not self.net.many_chunks:
-            met = met.withColumn("total", self.total)
-        return met.select(*self.seed, self.emitted)
+        if not self.net.small:
+            # only arrivals that go on meet the adjacency; other rows have no node and would all meet in one task
+            met = self._weighed(judged.filter("goes").join(self.outs, "at"))
+            return judged.select(*self.seed, self.kept).unionByName(met.select(*self.seed, self.onward))
+        return self._weighed(judged.join(self.outs, "at", "left")).select(*self.seed, self.emitted)
+
+    def _weighed(self, met: DataFrame) -> DataFrame:
+        met = met.withColumn("ws", self.weights)
+        return met if self.net.many_chunks else met.withColumn("total", self.total)
 
 
 def mass_balance(flows: DataFrame, seeds: DataFrame, flow: str = "total_flow", seed_flow: str = "flow") -> DataFrame:
