@@ -14,8 +14,12 @@ are shingles. The product of the matrix with itself holds the overlap of every p
    them.
 3. *Masked product.* Overlaps are accumulated for row pairs that meet in a prefix column, size bounds permitting. Two
    rounds first multiply each row only with one pivot row of each of its columns, which already joins dense groups;
-   pairs inside one component need no product any more. Then all pairs across components that meet in a prefix column
-   within the size and position bounds are multiplied, without any cap, so no link that joins two components is lost.
+   pairs inside one component need no product any more. Columns whose rows are still in several components are left.
+   Where at most ``SPARSE`` rows meet in one, their pairs are listed, size and position bounds permitting. Rows that
+   denser columns tie together are a family, multiplied as a blocked product: its rows are dealt into row blocks, a task
+   takes a pair of blocks, accumulates the overlaps of their rows column by column, and only the links that join two
+   components leave it. The rows of a family's largest component meet the others only, not each other. There is no cap,
+   so no link that joins two components is lost.
 """
 
 from __future__ import annotations
@@ -39,7 +43,9 @@ SHINGLE = 5
 PIVOT_ROUNDS = 2
 #: Entries that a task gathers before it sends them to the column blocks, and aims to have in one block.
 CHUNK, BLOCK = 1_000_000, 1_000_000
-_ROWS = "kind int, doc_id long, n long, sig long, block int, keys binary, owners binary, sigs binary"
+#: Rows of a column whose pairs are listed one by one; entries that a row block of the product aims to have.
+SPARSE, ROW_BLOCK = 32, 250_000
+_ROWS = "kind int, doc_id long, text_code long, n long, sig long, block int, keys binary, owners binary, sigs binary"
 
 
 def _least(n):
@@ -53,14 +59,15 @@ def _first_pass(blocks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def documents():
             for batch in batches:
-                for doc, text in zip(batch.column("doc_id").to_pylist(), W.texts_of(batch), strict=True):
+                ids = zip(batch.column("doc_id").to_pylist(), batch.column("text_code").to_pylist(), strict=True)
+                for (doc, code), text in zip(ids, W.texts_of(batch), strict=True):
                     found = W.shingle_set((text or b"").lower().split(), SHINGLE)
                     n = len(found)
-                    yield doc, n, W.signature(found) if n else None, found[: n - _least(n) + -(-n // 10)].copy()
+                    yield doc, n, W.signature(found) if n else None, found[: n - _least(n) + -(-n // 10)].copy(), code
 
         for held in W.in_chunks(documents(), lambda d: len(d[3]) + 64, CHUNK):
             yield _doc_rows(held)
-            entries = {sig: prefix for _, n, sig, prefix in held if n}
+            entries = {sig: prefix for _, n, sig, prefix, _ in held if n}
             if entries:
                 yield _block_rows(entries, blocks)
 
@@ -68,7 +75,7 @@ def _first_pass(blocks: int):
 
 
 def _batch(**columns) -> pa.RecordBatch:
-    kinds = {"kind": pa.int32(), "doc_id": pa.int64(), "n": pa.int64(), "sig": pa.int64(), "block": pa.int32(),
+    kinds = {"kind": pa.int32(), "doc_id": pa.int64(), "text_code": pa.int64(), "n": pa.int64(), "sig": pa.int64(), "block": pa.int32(),
              "keys": pa.binary(), "owners": pa.binary(), "sigs": pa.binary()}
     rows = len(next(iter(columns.values())))
     return pa.RecordBatch.from_arrays(
@@ -76,7 +83,7 @@ def _batch(**columns) -> pa.RecordBatch:
 
 
 def _doc_rows(held: list) -> pa.RecordBatch:
-    return _batch(kind=[0] * len(held), doc_id=[d[0] for d in held], n=[d[1] for d in held], sig=[d[2] for d in held])
+    return _batch(kind=[0] * len(held), doc_id=[d[0] for d in held], text_code=[d[4] for d in held], n=[d[1] for d in held], sig=[d[2] for d in held])
 
 
 def _block_rows(entries: dict[int, np.ndarray], blocks: int) -> pa.RecordBatch:
@@ -162,22 +169,21 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     doc_id are documents of their own. An empty table gives empty tables.
     """
     scratch = Scratch(docs.sparkSession)
-    docs = docs.select(c("doc_id").cast("long").alias("doc_id"), c("text").cast("string").alias("text"))
+    docs = docs.select(c("doc_id").cast("long").alias("doc_id"), c("text").cast("string").alias("text")).withColumn("text_code", F.xxhash64("text"))
     blocks = max(64, text_bytes(docs) // (18 * BLOCK))
     parts = scratch.keep(docs.mapInArrow(_first_pass(blocks), _ROWS), "jaccard-parts")
-    members = scratch.keep(parts.where("kind = 0").select("doc_id", c("n").alias("n_shingles"), "sig"), "jaccard-members")
+    members = scratch.keep(parts.where("kind = 0").select("doc_id", c("n").alias("n_shingles"), "sig", "text_code"), "jaccard-members")
 
     in_blocks = parts.where("kind = 1").select("block", "keys", "owners", "sigs").groupBy("block").applyInPandas(_shared_in_block, "sig long, shared long")
     in_chunks = parts.where("kind = 2").select("owners", "sigs").mapInPandas(_local_counts, "sig long, shared long")
     shared = in_blocks.unionByName(in_chunks).groupBy("sig").agg(F.sum("shared").alias("shared"))
-    classes = members.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
+    classes = members.where("sig is not null").groupBy("sig").agg(F.min(F.struct("doc_id", "text_code")).alias("rep"), F.first("n_shingles").alias("n"))
     live, seen = scratch.keep(
-        classes.join(shared, "sig").where(c("shared") >= F.greatest(F.lit(1), F.ceil(c("n") * 3 / 40))).select("doc_id", "sig"),
+        classes.join(shared, "sig").where(c("shared") >= F.greatest(F.lit(1), F.ceil(c("n") * 3 / 40))).select(c("rep.doc_id").alias("rep"), c("rep.text_code").alias("rep_code"), "sig"),
         "jaccard-live", rows=F.count(F.lit(1)))
     scratch.drop(parts)
 
-    side = F.broadcast(live) if is_small(seen["rows"], 32) else live
-    whole = docs.join(side.withColumnRenamed("doc_id", "rep"), docs.doc_id.eqNullSafe(c("rep"))).select("sig", "text")
+    whole = _representatives(docs, F.broadcast(live) if is_small(seen["rows"], 40) else live)
     whole, got = scratch.keep(whole.mapInArrow(_whole_rows, "sig long, n long, shingles array<long>"), "jaccard-rows", rows=F.count(F.lit(1)))
     if got["rows"] > seen["rows"]:  # repeated rows of one doc_id and text
         whole = scratch.keep(whole.dropDuplicates(["sig"]), "jaccard-rows")
@@ -185,10 +191,21 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     prefix = scratch.keep(_prefixes(whole), "jaccard-prefixes")
     roots = docs.sparkSession.createDataFrame([], "node long, root long")
     for turn in range(PIVOT_ROUNDS + 1):
-        pairs = _pivot_pairs(prefix, roots, turn) if turn < PIVOT_ROUNDS else _cross_pairs(prefix, roots)
-        joined = components(scratch.keep(_multiplied(pairs, whole), "jaccard-links"), "ar", "br")
+        if turn < PIVOT_ROUNDS:
+            links = _multiplied(_pivot_pairs(prefix, roots, turn), whole)
+        else:
+            rows = scratch.keep(_open_rows(prefix, roots), "jaccard-open")
+            links = _multiplied(_cross_pairs(rows.where(c("held") <= SPARSE)), whole)
+            links = links.unionByName(_blocked_product(_in_blocks(scratch, rows.where(c("held") > SPARSE)), whole))
+        joined = components(scratch.keep(links, "jaccard-links"), "ar", "br")
         roots = scratch.keep(_carried(roots, joined), "jaccard-roots")
-    return members, roots.select(c("node").alias("sig"), "root")
+    return members.drop("text_code"), roots.select(c("node").alias("sig"), "root")
+
+
+def _representatives(docs: DataFrame, live: DataFrame) -> DataFrame:
+    """(sig, text) of the rows that stand for the sets of ``live``. A set is found by one id and text code, so rows that share
+    an id, or have none, do not meet each other's sets."""
+    return docs.join(live, docs.doc_id.eqNullSafe(c("rep")) & (docs.text_code == c("rep_code"))).select("sig", "text")
 
 
 def _carried(roots: DataFrame, joined: DataFrame) -> DataFrame:
@@ -228,12 +245,18 @@ def _pivot_pairs(prefix: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
     return rows.join(pivots, "s").where(near).select(c("sig").alias("a"), c("p").alias("b"), c("root").alias("ar"), c("pr").alias("br")).distinct()
 
 
-def _cross_pairs(prefix: DataFrame, roots: DataFrame) -> DataFrame:
+def _open_rows(prefix: DataFrame, roots: DataFrame) -> DataFrame:
+    """The prefix entries of columns whose rows are in more than one component, with the number of rows in the column."""
+    rows = _with_root(prefix, roots)
+    columns = rows.groupBy("s").agg(F.count(F.lit(1)).alias("held"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    return rows.join(columns.where("lo < hi").select("s", "held"), "s")
+
+
+def _cross_pairs(rows: DataFrame) -> DataFrame:
     """All pairs of rows in different components that meet within the size and position bounds.
 
     At the first column that two linked rows share, the smaller row is within ``n - ceil(6 n / 7)`` of its order, and what
     is left of both orders still suffices for the overlap of ``ceil(3 (n + m) / 7)`` that the pair needs."""
-    rows = _with_root(prefix, roots)
     small = rows.where(c("f") <= c("n") - F.ceil(c("n") * 6 / 7)).select("s", c("sig").alias("a"), c("n").alias("an"), c("f").alias("af"), c("root").alias("ar"))
     large = rows.select("s", c("sig").alias("b"), c("n").alias("bn"), c("f").alias("bf"), c("root").alias("br"))
     meet = (
@@ -244,6 +267,63 @@ def _cross_pairs(prefix: DataFrame, roots: DataFrame) -> DataFrame:
     return small.join(large, meet).select("a", "b", "ar", "br").distinct()
 
 
+def _in_blocks(scratch: Scratch, rows: DataFrame) -> DataFrame:
+    """(sig, root, family, p, q): the cells of the blocked product that each row of a dense column goes to.
+
+    A family holds all rows that chains of dense columns tie together, so two rows of one dense column meet in one cell
+    at least. Blocks ``0 .. r - 1`` hold the rows outside the family's largest component and meet every block; blocks from
+    ``r`` on hold the largest component and meet the first ones only."""
+    tied = components(rows.select("sig", "s"), "sig", "s").withColumnRenamed("node", "sig").withColumnRenamed("root", "family")
+    members = scratch.keep(rows.select("sig", "n", "root").distinct().join(tied, "sig"), "jaccard-family")
+    parts = members.groupBy("family", "root").agg(F.sum("n").alias("entries"))
+    families = parts.groupBy("family").agg(F.max(F.struct("entries", "root")).alias("top"), F.sum("entries").alias("entries"), F.count(F.lit(1)).alias("parts"))
+    families = families.where("parts > 1").select(
+        "family", c("top.root").alias("top"),
+        F.ceil((c("entries") - c("top.entries")) / ROW_BLOCK).cast("int").alias("r"),
+        F.ceil(c("top.entries") / ROW_BLOCK).cast("int").alias("t"))
+    code, in_top = F.xxhash64("sig", F.lit("block")), c("root") == c("top")
+    block = F.when(in_top, c("r") + F.pmod(code, c("t"))).otherwise(F.pmod(code, c("r"))).cast("int")
+    last = F.when(in_top, c("r")).otherwise(c("r") + c("t")) - 1
+    dealt = members.join(families, "family").withColumn("i", block).withColumn("j", F.explode(F.sequence(F.lit(0), last)))
+    return dealt.select("sig", "root", "family", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), "i")
+
+
+def _blocked_product(dealt: DataFrame, whole: DataFrame) -> DataFrame:
+    """The links between components in all cells, a spanning set of each cell's."""
+    return dealt.join(whole, "sig").groupBy("family", "p", "q").applyInPandas(
+        _cell_links, "a long, b long, ar long, br long, overlap int")
+
+
+def _cell_links(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of one cell: links between different components, without those that earlier ones of the cell already imply."""
+    rows = rows.sort_values("sig", ignore_index=True)
+    sigs, size, roots = (rows[k].to_numpy(np.int64) for k in ("sig", "n", "root"))
+    places, at = np.unique(roots, return_inverse=True)
+    group = np.arange(len(places))
+    left = np.flatnonzero(rows["i"] == rows["p"].iloc[0])
+    keys = np.concatenate([np.asarray(v, np.int64) for v in rows["shingles"]])
+    owners = np.repeat(np.arange(len(rows)), size)
+    order = np.argsort(keys, kind="stable")
+    _, column, held = np.unique(keys, return_inverse=True, return_counts=True)
+    listed, start = owners[order], np.r_[0, np.cumsum(held)]
+    first = np.r_[0, np.cumsum(size)]
+    out = []
+    for a in left:
+        mine = column[first[a]:first[a + 1]]
+        mine = mine[held[mine] > 1]
+        if not len(mine):
+            continue
+        overlap = np.zeros(len(rows), np.int64)
+        for k in mine:
+            overlap[listed[start[k]:start[k + 1]]] += 1  # a row holds a column once
+        near = 100 * overlap >= 75 * (size[a] + size - overlap)
+        for b in np.flatnonzero(near & (group[at] != group[at[a]])):
+            if group[at[a]] != group[at[b]]:
+                out.append((sigs[a], sigs[b], roots[a], roots[b], overlap[b]))
+                group[group == group[at[b]]] = group[at[a]]
+    return pd.DataFrame(out, columns=["a", "b", "ar", "br", "overlap"])
+
+
 def _multiplied(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     """The pairs whose overlap reaches 75 of 100 parts of the union, by their whole rows."""
     left = whole.select(c("sig").alias("a"), c("n").alias("an"), c("shingles").alias("at"))

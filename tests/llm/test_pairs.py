@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 from hashlib import sha256
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from kerbsight.llm import embedding_codes, license_scan, ngram_jaccard, phrase_dedup, simhash_scan
 from .conftest import prose
@@ -70,6 +71,36 @@ def test_jaccard_chains_and_boundaries(spark):
     assert got == brute_components(rows)
 
 
+def test_jaccard_families_in_blocks(spark, monkeypatch):
+    """Groups of texts with one core, most pairs of which stay below 75 %, in many row blocks; with ids that repeat or are null."""
+    monkeypatch.setattr(ngram_jaccard, "SPARSE", 2)
+    monkeypatch.setattr(ngram_jaccard, "ROW_BLOCK", 900)
+    monkeypatch.setattr(ngram_jaccard, "PIVOT_ROUNDS", 1)
+    rng = random.Random(8)
+    rows = []
+    for g in range(3):
+        core = prose(rng, 90).split()
+        for k in range(70):
+            copy = [*core]
+            for _ in range(1 + k % 4):
+                copy[rng.randrange(90)] = f"f{rng.randrange(40)}"
+            rows.append((None if k % 9 == 0 else 1000 * g + k // 2, " ".join(copy)))
+    got = Counter(tuple(r) for r in ngram_jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == brute_components(rows)
+    assert 10 < len({r[2] for r in got}) < 120
+
+
+def test_jaccard_rows_without_an_id_meet_their_own_set_only(spark):
+    rng = random.Random(9)
+    base = prose(rng, 80).split()
+    rows = [(None if k % 2 else 7, " ".join([*base[: k % 60], f"u{k}", *base[k % 60 :]])) for k in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_code", F.xxhash64("text"))
+    live = docs.select(F.col("doc_id").alias("rep"), F.col("text_code").alias("rep_code"), F.col("text_code").alias("sig"))
+    assert ngram_jaccard._representatives(docs, live).count() == 1000
+    got = ngram_jaccard.jaccard_components(docs)
+    assert {tuple(r) for r in got.select("doc_id", "component_id").distinct().collect()} == {(None, 7), (7, 7)}
+
+
 def test_repeated_windows(docs, no_docs, monkeypatch):
     rows = [(r.doc_id, (r.text or "").encode().split()) for r in docs.collect()]
     places = Counter(tuple(w[i : i + 35]) for _, w in rows for i in range(len(w) - 34))
