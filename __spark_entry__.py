@@ -17,7 +17,7 @@ from kerbsight.operators.centroid import with_centroid
 from kerbsight.operators.nearest import nearest_edges, nearest_nodes
 from kerbsight.operators.paths import shortest_paths
 from kerbsight.operators.spatial_join import meets
-from kerbsight.plans import car_flows, frontage_impressions, gold, ingest, pedbike_flows, transit_flows, visibility
+from kerbsight.plans import car_flows, frontage_impressions, gold, ingest, pedbike_flows, release, transit_flows, visibility
 from kerbsight.session import cut, scratch_root
 from kerbsight.sources import landing, standin, tables, wkb
 from kerbsight.streaming import counts as streaming
@@ -417,6 +417,42 @@ def publish_gold(spark, sf):
     return report
 
 
+def released_summary(spark, sf):
+    """The models' tables under a version, released and summarised from what is published, after a broken release was refused."""
+    folder = _run_folder(spark, "release")
+    edges = cut(_numbered(spark, sf).select("edge_id", "u", "v", "key", "geom"))
+    flows = {"bike": standin.flows_bike(edges), "ped": standin.flows_ped(edges), "motorized_traffic": standin.flows_cars(edges)}
+    gold_tables = {
+        "frontage_visibility": visibility.visibility_gold(standin.frontages(spark, sf)),
+        "transit_flows_hourly": wkb.to_wkb(standin.flows_transit(spark, sf)),
+    }
+    for name, rows in flows.items():
+        rows = rows if name == "motorized_traffic" else propagate.normalize_overall(rows.drop("geom"))
+        tables.write_normalized(wkb.to_wkb(edges), rows, f"{folder}/models", name, "v1", ["hour"])
+        for part in (f"{name}_edges", f"{name}_flows"):
+            gold_tables[part] = spark.read.parquet(tables.versioned(f"{folder}/models", part, "v1"))
+    release.release(gold_tables, folder, "v1")
+    refused = release.release(_gold_tables(spark, sf), folder, "v2")
+    table = imp.top_frontages(release.rebuild_summary(spark, folder))
+    return _plain(table).withColumns({"released": F.lit(",".join(release.switches(spark, folder))), "refused": F.lit(",".join(refused))})
+
+
+def partition_refresh(spark, sf):
+    """Orders by month: a first load, one without changes, and one with a changed month and one month gone."""
+    folder = _run_folder(spark, "refresh")
+    orders = standin.table(spark, sf, "orders").select(
+        "o_orderkey", F.round(c("o_totalprice") * 100).cast("bigint").alias("cents"), F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    ends = orders.agg(F.min("month").alias("lo"), F.max("month").alias("hi"))
+    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
+    later = orders.where(c("month") < hi).withColumn("cents", c("cents") + (c("month") == lo).cast("bigint"))
+    for run, rows in enumerate((orders, orders, later)):
+        report = landing.refresh_partitions(rows, f"{folder}/rows", f"{folder}/state", "month", "orders", str(run), f"{folder}/audit")
+    stored = spark.read.schema(orders.schema).parquet(f"{folder}/rows").groupBy("month").agg(F.sum("cents").alias("cents"))
+    audit = spark.read.parquet(f"{folder}/audit")
+    return report.join(stored, "month", "left").withColumns({
+        "idle_runs": audit.agg(F.count_if(c("status") == "no_new_data")).scalar(), "rows_written": audit.agg(F.sum("records")).scalar()})
+
+
 def landed_days(spark, sf):
     """Raw records of a month in one folder per day, counted from the folders."""
     folder = _run_folder(spark, "landed")
@@ -584,6 +620,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "network_extent": network_extent,
         "network_core": network_core,
         "publish_gold": publish_gold,
+        "released_summary": released_summary,
+        "partition_refresh": partition_refresh,
         "landed_days": landed_days,
         "named_files": named_files,
         "csv_tables": csv_tables,

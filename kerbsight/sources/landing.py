@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -185,15 +187,24 @@ def fingerprint(df: DataFrame) -> DataFrame:
     which needs no sorting and combines on the map side.
     """
     marked = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in df.columns]
-    digest = F.sha2(F.concat_ws("\u001f", *marked), 256)
-    pieces = df.select(digest.alias("d")).select(*[
+    return _digests(df.select(F.sha2(F.concat_ws("\u001f", *marked), 256).alias("d")))
+
+
+def part_fingerprints(df: DataFrame, by: str) -> DataFrame:
+    """The same for every partition: ``by, n_rows, sha256``; one pass and one row for each partition and task are shuffled."""
+    marked = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in df.columns]
+    return _digests(df.select(by, F.sha2(F.concat_ws("\u001f", *marked), 256).alias("d")), by)
+
+
+def _digests(rows: DataFrame, *by: str) -> DataFrame:
+    pieces = rows.select(*by, *[
         F.conv(F.substring("d", 8 * i + 1, 8), 16, 10).cast("decimal(20,0)").alias(f"p{i}") for i in range(8)
     ])
-    sums = pieces.agg(F.count(F.lit(1)).alias("n_rows"), *[
+    sums = pieces.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), *[
         F.coalesce(F.sum(f"p{i}"), F.lit(0)).cast("decimal(38,0)").cast("string").alias(f"s{i}") for i in range(8)
     ])
     text = F.concat_ws("-", F.col("n_rows").cast("string"), *[F.col(f"s{i}") for i in range(8)])
-    return sums.select("n_rows", F.sha2(text, 256).alias("sha256"))
+    return sums.select(*by, "n_rows", F.sha2(text, 256).alias("sha256"))
 
 
 def refresh_if_changed(df: DataFrame, folder: str, state_folder: str, unit: str) -> str:
@@ -213,6 +224,59 @@ def refresh_if_changed(df: DataFrame, folder: str, state_folder: str, unit: str)
     return "success"
 
 
+def refresh_partitions(df: DataFrame, folder: str, state_folder: str, by: str, unit: str, run_id: str,
+                       audit_folder: str | None = None) -> DataFrame:
+    """Rewrite only the partitions whose rows differ from those last stored, and delete those that are gone.
+
+    ``by`` is a text column. Returns one row per partition, also of those gone: ``by, n_rows, action`` (new, changed, same,
+    gone). Data are written before the state, so a run that fails is repeated in full and then finds the same actions. The
+    audit gets one row a run. ``df`` must not be read from ``folder``. A missing value of ``by`` is a partition of its own.
+    """
+    spark = df.sparkSession
+    now = part_fingerprints(df, by)
+    if exists(spark, state_folder):
+        stored = spark.read.parquet(state_folder).filter(F.col("unit") == unit)
+        last = stored.groupBy(by).agg(F.max_by("sha256", "number").alias("old"), F.max("number").alias("number"))
+        number = stored.agg(F.max("number")).first()[0] or 0
+    else:
+        last, number = now.select(by, F.col("sha256").alias("old")).limit(0), 0
+    left, right = now.alias("now"), last.where("old is not null").alias("last")
+    both = left.join(right, F.col(f"now.{by}").eqNullSafe(F.col(f"last.{by}")), "full")
+    action = (
+        F.when(F.col("old").isNull(), "new").when(F.col("sha256").isNull(), "gone")
+        .when(F.col("old") == F.col("sha256"), "same").otherwise("changed")
+    )
+    key = F.when(F.col("sha256").isNull(), F.col(f"last.{by}")).otherwise(F.col(f"now.{by}")).alias(by)
+    written = F.sum(F.when(F.col("action").isin("new", "changed"), F.col("n_rows")))
+    report, seen = cut_observed(
+        both.select(key, F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "sha256", action.alias("action")), "partitions",
+        written=F.coalesce(written, F.lit(0)), **{a: F.count_if(F.col("action") == a) for a in ("new", "changed", "same", "gone")})
+    if seen["new"] + seen["changed"]:
+        todo = report.where(F.col("action").isin("new", "changed")).select(F.col(by).alias("_part"))
+        df.join(todo, F.col(by).eqNullSafe(F.col("_part")), "left_semi").hint("rebalance", F.col(by)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(by).parquet(folder)
+    if seen["gone"]:  # names of folders, as many as the file system lists
+        gone = [r[by] for r in report.where(F.col("action") == "gone").select(by).collect()]
+        _delete_partitions(spark, folder, by, gone)
+    moved = report.where(F.col("action") != "same")
+    if seen["new"] + seen["changed"] + seen["gone"]:
+        moved.select(F.lit(unit).alias("unit"), by, "sha256", F.lit(number + 1).cast("bigint").alias("number")).write.mode("append").parquet(state_folder)
+    if audit_folder:
+        status = "success" if seen["new"] + seen["changed"] + seen["gone"] else "no_new_data"
+        note = json.dumps({a: seen[a] for a in ("new", "changed", "same", "gone")})
+        audit_row(spark, unit, run_id, status, seen["written"], 0, "", note).write.mode("append").parquet(audit_folder)
+    return report.drop("sha256")
+
+
+def _delete_partitions(spark: SparkSession, folder: str, by: str, values: list[str | None]) -> None:
+    jvm = spark.sparkContext._jvm
+    escaped = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for value in values:
+        name = "__HIVE_DEFAULT_PARTITION__" if value in (None, "") else escaped(value)
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{escaped(by)}={name}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def observed_rows(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """A written copy of the table and its number of rows, from one job."""
     staged, seen = cut_observed(df, label, n=row_count())

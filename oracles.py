@@ -582,6 +582,23 @@ def oracle_sql() -> dict[str, str]:
             totals=f"SELECT objectid, {SUMMARY}, sum(total_impressions) AS total_all_impressions FROM impressions GROUP BY objectid",
             buildings="SELECT gwr_egid, arg_min(x_lon_center, objectid) AS lon, arg_min(y_lat_centre, objectid) AS lat"
                       " FROM frontage_list JOIN centroids USING (objectid) GROUP BY gwr_egid"),
+        # what is published gives the summary again; of the second release six tables break a rule
+        "released_summary": s(
+            "SELECT f.gwr_egid, f.objectid, f.bezeichnung, round(b.lon, 6) AS longitude, round(b.lat, 6) AS latitude, t.* EXCLUDE (objectid),"
+            " 'v1' AS released, 'bike_edges,bike_flows,motorized_traffic_edges,motorized_traffic_flows,ped_edges,ped_flows' AS refused"
+            " FROM totals t JOIN frontage_list f USING (objectid) JOIN buildings b USING (gwr_egid)",
+            totals=f"SELECT objectid, {SUMMARY}, sum(total_impressions) AS total_all_impressions FROM impressions GROUP BY objectid",
+            buildings="SELECT gwr_egid, arg_min(x_lon_center, objectid) AS lon, arg_min(y_lat_centre, objectid) AS lat"
+                      " FROM frontage_list JOIN centroids USING (objectid) GROUP BY gwr_egid"),
+        "partition_refresh": """
+          WITH o AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, round(o_totalprice * 100)::BIGINT AS cents FROM orders),
+               m AS (SELECT month, count(*) AS n, sum(cents) AS cents FROM o GROUP BY 1),
+               e AS (SELECT min(month) AS lo, max(month) AS hi, sum(n) AS n FROM m)
+          SELECT month, CASE WHEN month = hi THEN 0 ELSE m.n END AS n_rows,
+                 CASE month WHEN hi THEN 'gone' WHEN lo THEN 'changed' ELSE 'same' END AS action,
+                 (CASE month WHEN hi THEN NULL WHEN lo THEN cents + m.n ELSE cents END)::BIGINT AS cents, 1::BIGINT AS idle_runs,
+                 (e.n + (SELECT n FROM m WHERE month = lo))::BIGINT AS rows_written
+          FROM m CROSS JOIN e""",
         "summary_check": s(
             "SELECT count(*) AS row_count, count(*) FILTER (total > 0) AS with_data FROM"
             " (SELECT objectid, sum(total_impressions) AS total FROM impressions GROUP BY objectid)"),

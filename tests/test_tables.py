@@ -3,13 +3,14 @@
 import json
 import statistics
 import struct
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from kerbsight import schemas
 from kerbsight.operators import checks, conform, impressions, profiles
-from kerbsight.plans import gold, ingest
+from kerbsight.plans import gold, ingest, release
 from kerbsight.sources import landing, publish, tables, wkb
 from kerbsight.streaming import counts as streaming
 
@@ -222,6 +223,68 @@ def test_publish_and_checks(spark, tmp_path):
         publish.publish_gold({"other": flows}, str(tmp_path))
 
 
+def test_a_release_is_whole_or_nothing(spark, tmp_path):
+    folder = str(tmp_path)
+    edges = spark.createDataFrame([(1, b"x", 1, 2, 0), (2, b"y", 2, 3, 0)], "edge_id long, geometry binary, u long, v long, key int")
+    flows = spark.createDataFrame([(1, 7, 2.0, 1.0), (2, 7, 4.0, 1.0)], "edge_id long, hour int, flow double, flow_norm double")
+    good = {
+        "frontage_visibility": spark.createDataFrame(
+            [(1, 5, "a", b"x", 8.5, 47.4)], "objectid long, gwr_egid long, bezeichnung string, geometry binary, x_lon_center double, y_lat_centre double"),
+        "transit_flows_hourly": spark.createDataFrame(
+            [("a", "b", 7, 3.0, 1, b"x")], "haltestellen_id string, nach_hst_id string, hour int, flow_besetzung double, n_runs int, geometry binary"),
+        "bike_edges": edges, "ped_edges": edges, "motorized_traffic_edges": edges, "bike_flows": flows, "ped_flows": flows,
+        "motorized_traffic_flows": flows.withColumnRenamed("flow", "total_flow"),
+    }
+    with pytest.raises(FileNotFoundError):
+        release.released(spark, folder, "bike_flows")
+    assert release.release(good, folder, "v1") == []
+    total = lambda: release.released(spark, folder, "bike_flows").agg(F.sum("flow")).first()[0]
+    faults = {
+        "bike_flows": flows.union(flows), "ped_flows": flows.limit(0), "bike_edges": edges.filter("edge_id = 1"),
+        "ped_edges": edges.withColumn("geometry", F.lit(None).cast("binary")),
+    }
+    for name, table in faults.items():
+        want = ["bike_flows"] if name == "bike_edges" else [name]  # a lost edge makes orphans of its flows
+        assert release.release({**good, name: table}, folder, "v2") == want
+    broken = flows.withColumn("flow", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        release.release({**good, "motorized_traffic_flows": broken.withColumnRenamed("flow", "total_flow")}, folder, "v2")
+    with pytest.raises(ValueError, match="published already"):
+        release.release(good, folder, "v1")
+    with pytest.raises(ValueError, match="has no"):
+        release.release({**good, "bike_flows": flows.drop("hour")}, folder, "v2")
+    with pytest.raises(ValueError, match="has the tables"):
+        release.release({"bike_flows": flows}, folder, "v2")
+    assert release.switches(spark, folder) == ["v1"] and total() == 6.0
+    assert release.release({**good, "bike_flows": flows.withColumn("flow", F.col("flow") * 2)}, folder, "v2") == []
+    assert release.switches(spark, folder) == ["v1", "v2"] and total() == 12.0
+
+
+def test_only_changed_partitions_are_rewritten(spark, tmp_path):
+    folder, args = str(tmp_path / "rows"), (str(tmp_path / "state"), "p", "unit")
+    rows = [(i, "a/b" if i % 4 == 0 else "c d" if i % 4 == 1 else None if i % 4 == 2 else "e") for i in range(40)]
+    first = spark.createDataFrame(rows, "i int, p string")
+
+    def run(df, name):
+        report = landing.refresh_partitions(df, folder, *args, name, str(tmp_path / "audit"))
+        return {r.p: r.action for r in report.collect()}, Counter(tuple(r) for r in spark.read.schema("i int, p string").parquet(folder).collect())
+
+    def files():
+        return {str(f.relative_to(folder)) for f in (tmp_path / "rows").rglob("*.parquet")}
+
+    assert run(first, "1") == ({"a/b": "new", "c d": "new", None: "new", "e": "new"}, Counter(rows))
+    before = files()
+    assert run(first.orderBy(F.desc("i")), "2")[0] == {"a/b": "same", "c d": "same", None: "same", "e": "same"} and files() == before
+    changed = first.filter("p is not null and p != 'a/b'").withColumn("i", F.when(F.col("p") == "e", -F.col("i")).otherwise(F.col("i")))
+    actions, stored = run(changed, "3")
+    assert actions == {"a/b": "gone", "c d": "same", None: "gone", "e": "changed"}
+    assert stored == Counter((-i if p == "e" else i, p) for i, p in rows if p in ("e", "c d"))
+    assert {f for f in files() if f.startswith("p=c")} == {f for f in before if f.startswith("p=c")}
+    assert run(first, "4")[0] == {"a/b": "new", "c d": "same", None: "new", "e": "changed"}
+    audit = spark.read.parquet(str(tmp_path / "audit")).orderBy("run_id").collect()
+    assert [(r.status, r.records) for r in audit] == [("success", 40), ("no_new_data", 0), ("success", 10), ("success", 30)]
+
+
 # -------------------------------------------------------------------------- streaming
 def test_streamed_months(spark, tmp_path):
     landed = str(tmp_path / "landed")
