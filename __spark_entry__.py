@@ -21,6 +21,7 @@ from kerbsight.plans import car_flows, frontage_impressions, gold, ingest, pedbi
 from kerbsight.session import cut, scratch_root
 from kerbsight.sources import landing, standin, tables, wkb
 from kerbsight.streaming import counts as streaming
+from kerbsight.streaming import envelopes
 
 c = F.col
 LANDED_FILES = 20
@@ -453,6 +454,25 @@ def partition_refresh(spark, sf):
         "idle_runs": audit.agg(F.count_if(c("status") == "no_new_data")).scalar(), "rows_written": audit.agg(F.sum("records")).scalar()})
 
 
+def envelope_landing(spark, sf):
+    """An envelope for every user and day of the events, some cut off in the middle, landed by day from a stream."""
+    folder = _run_folder(spark, "envelopes")
+    time = F.when(c("event_id") % 11 == 0, "unknown").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    event = F.struct("event_id", time.alias("time"), F.round(c("value") * 100).cast("bigint").alias("cents"))
+    packed = standin.table(spark, sf, "events").groupBy("user_id", F.to_date("ts").alias("d")).agg(F.collect_list(event).alias("data"))
+    text = F.to_json(F.struct("user_id", "data"))
+    cut_off = F.when(c("user_id") % 7 == 0, F.substring(text, F.lit(1), F.length(text) - 9)).otherwise(text)
+    packed.select(cut_off.alias("value")).repartition(6).write.text(f"{folder}/landed")
+    documents = envelopes.read_documents(spark, f"{folder}/landed", whole_files=False, files_per_batch=2)
+    envelopes.land_envelopes(documents, f"{folder}/out", f"{folder}/state", "event_id bigint, time string, cents bigint", "time")
+    days = spark.read.parquet(f"{folder}/out/days").groupBy(c("day").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.sum("cents").alias("cents"))
+    aside = spark.read.parquet(f"{folder}/out/aside").agg(F.count_if(c("kind") == "document").alias("d"), F.count_if(c("kind") == "record").alias("r"))
+    audit = spark.read.parquet(f"{folder}/out/audit").agg(F.sum("documents").alias("d"), F.sum("records").alias("r"))
+    return days.withColumns({
+        "broken": aside.select("d").scalar(), "undated": aside.select("r").scalar(),
+        "documents": audit.select("d").scalar(), "records": audit.select("r").scalar()})
+
+
 def landed_days(spark, sf):
     """Raw records of a month in one folder per day, counted from the folders."""
     folder = _run_folder(spark, "landed")
@@ -621,6 +641,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "network_core": network_core,
         "publish_gold": publish_gold,
         "released_summary": released_summary,
+        "envelope_landing": envelope_landing,
         "partition_refresh": partition_refresh,
         "landed_days": landed_days,
         "named_files": named_files,

@@ -590,6 +590,14 @@ def oracle_sql() -> dict[str, str]:
             totals=f"SELECT objectid, {SUMMARY}, sum(total_impressions) AS total_all_impressions FROM impressions GROUP BY objectid",
             buildings="SELECT gwr_egid, arg_min(x_lon_center, objectid) AS lon, arg_min(y_lat_centre, objectid) AS lat"
                       " FROM frontage_list JOIN centroids USING (objectid) GROUP BY gwr_egid"),
+        "envelope_landing": """
+          WITH e AS (SELECT *, user_id % 7 = 0 AS cut_off, event_id % 11 = 0 AS undated FROM events)
+          SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, sum(round(value * 100)::BIGINT)::BIGINT AS cents,
+                 (SELECT count(DISTINCT (user_id, ts::DATE)) FROM e WHERE cut_off) AS broken,
+                 (SELECT count(*) FROM e WHERE NOT cut_off AND undated) AS undated,
+                 (SELECT count(DISTINCT (user_id, ts::DATE)) FROM e) AS documents,
+                 (SELECT count(*) FROM e WHERE NOT cut_off) AS records
+          FROM e WHERE NOT cut_off AND NOT undated GROUP BY 1""",
         "partition_refresh": """
           WITH o AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, round(o_totalprice * 100)::BIGINT AS cents FROM orders),
                m AS (SELECT month, count(*) AS n, sum(cents) AS cents FROM o GROUP BY 1),

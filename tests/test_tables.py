@@ -13,6 +13,7 @@ from kerbsight.operators import checks, conform, impressions, profiles
 from kerbsight.plans import gold, ingest, release
 from kerbsight.sources import landing, publish, tables, wkb
 from kerbsight.streaming import counts as streaming
+from kerbsight.streaming import envelopes
 
 CAR = "msid string, richtung string, messung_dat_zeit string, anz_fahrzeuge string, ekoord string, nkoord string, msname string, id long"
 
@@ -260,6 +261,29 @@ def test_a_release_is_whole_or_nothing(spark, tmp_path):
     assert release.switches(spark, folder) == ["v1", "v2"] and total() == 12.0
 
 
+def test_envelopes_put_aside_what_they_cannot_use(spark, tmp_path):
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    texts = [
+        '{"data": [{"id": 1, "t": "2025-01-02T03:00", "v": "a"},\n {"id": 2, "t": "2025-01-03", "v": null}], "total": 2}',
+        '{"data": [{"id": 3, "t": "2025-01-0', '{"other": []}', '{"data": []}', '{"data": [{"id": "x", "t": "2025-01-02"}]}', "",
+        '{"data": [{"id": 4, "t": "2025-02-30"}, {"id": 5}, {"id": 6, "t": "2025-01-02 x", "more": 1}]}',
+    ]
+    for k, text in enumerate(texts):
+        (landed / f"{k}.json").write_text(text)
+    out = str(tmp_path / "out")
+    for _ in range(2):  # the second run finds nothing new
+        documents = envelopes.read_documents(spark, str(landed), files_per_batch=3)
+        envelopes.land_envelopes(documents, out, str(tmp_path / "state"), "id bigint, t string, v string", "t")
+    days = spark.read.parquet(f"{out}/days")
+    assert sorted((r.id, str(r.day), r.v) for r in days.collect()) == [(1, "2025-01-02", "a"), (2, "2025-01-03", None), (6, "2025-01-02", None)]
+    aside = Counter((r.kind, r.content) for r in spark.read.parquet(f"{out}/aside").collect())
+    want = [("document", texts[k]) for k in (1, 2, 4)] + [("record", '{"id":4,"t":"2025-02-30"}'), ("record", '{"id":5}')]
+    assert {k: n for k, n in aside.items() if k[1]} == dict.fromkeys(want, 1)
+    audit = spark.read.parquet(f"{out}/audit").agg(F.sum("records"), F.sum("undated")).first()
+    assert tuple(audit) == (5, 2)
+
+
 def test_only_changed_partitions_are_rewritten(spark, tmp_path):
     folder, args = str(tmp_path / "rows"), (str(tmp_path / "state"), "p", "unit")
     rows = [(i, "a/b" if i % 4 == 0 else "c d" if i % 4 == 1 else None if i % 4 == 2 else "e") for i in range(40)]
