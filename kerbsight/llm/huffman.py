@@ -13,6 +13,7 @@ any other. It is decoded by one table lookup for each id, for all runs between c
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from struct import pack
 from zlib import crc32
@@ -34,8 +35,9 @@ LONGEST, STEP = 16, 64
 BLOCK, PART_BYTES = 1 << 16, 16 << 20
 #: Words that a worker keeps with their ids, in each of two generations; half as many pieces. About 180 bytes each.
 CACHED_WORDS = 800_000
-#: How the tokenizer's own settings cut a normalised text: fixed value.
-_PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Fixed value: how the tokenizers whose ids are those of a text's words in turn cut a normalised text. No piece holds white space.
+_CUT_AT_SPACES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PIECE = regex.compile(_CUT_AT_SPACES)
 _BLOCK_ROWS = "part int, block int, no_id binary, doc_ids binary, doc_sizes binary, ids binary"
 
 
@@ -63,17 +65,20 @@ def _packed(ids: list[int]) -> bytes:
     return pack(f"<{len(ids)}H", *ids)
 
 
-class WordIds:
-    """word (bytes without ASCII white space) -> its ids as little-endian uint16.
+class TextIds:
+    """The ids of a text (bytes) as little-endian uint16.
 
-    No piece of this tokenizer spans white space, so the ids of a text are those of its words in turn. Words below U+0250 are
-    cut here and their pieces go to the tokenizer's model; all others, and those that may hold a special token, go through
-    the tokenizer as a whole. Both words and pieces are kept for a while, in bounded memory."""
+    With a tokenizer that cuts at white space a text's ids are those of its words in turn. Words below U+0250 are cut here and their
+    pieces go to the tokenizer's model; all others, and those that may hold a special token, go through the tokenizer as a whole.
+    Both words and pieces are kept for a while, in bounded memory. Any other tokenizer takes whole texts."""
 
     def __init__(self, path: str, cached: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        if self.tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError("the file format holds ids below 65,536")
+        self.by_words = cuts_at_spaces(json.loads(self.tokenizer.to_str()))
         self.model = self.tokenizer.model
         plain = [b for r in ((33, 127), (161, 173), (174, 256)) for b in range(*r)]
         rest = [b for b in range(256) if b not in set(plain)]
@@ -87,14 +92,33 @@ class WordIds:
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
         if b"<|" in word or not word.isascii() and (max(text) >= "ɐ" or "İ" in text):
-            return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            return self._encoded(word)
         return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text.lower())))
 
+    def _encoded(self, text: bytes) -> bytes:
+        return _packed(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids)
+
     def of(self, text: bytes) -> bytes:
-        return b"".join(map(self.words.__getitem__, text.split()))
+        return b"".join(map(self.words.__getitem__, text.split())) if self.by_words else self._encoded(text)
+
+
+def cuts_at_spaces(settings: dict) -> bool:
+    """Whether a tokenizer's settings make the ids of a text those of its words in turn: lower-casing and composition, which do not
+    reach across white space, pieces without any, no added token that does, and nothing put around a text."""
+    normal = settings["normalizer"] or {}
+    before = settings["pre_tokenizer"] or {}
+    split, *rest = before.get("pretokenizers") or [{}]
+    return (
+        [n["type"] for n in normal.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+        and normal["normalizers"][1]["pattern"] == {"Regex": r"\s+"} and normal["normalizers"][1]["content"] == " "
+        and split.get("pattern") == {"Regex": _CUT_AT_SPACES} and split["behavior"] == "Removed" and split["invert"]
+        and [(r["type"], r.get("add_prefix_space"), r.get("use_regex")) for r in rest] == [("ByteLevel", False, False)]
+        and settings["post_processor"] is None and settings["truncation"] is None and settings["padding"] is None
+        and not settings["model"].get("dropout")
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or len(t["content"].split()) != 1 or not t["content"].startswith("<|") for t in settings["added_tokens"]))
 
 
-_OPEN: dict[tuple[str, int], WordIds] = {}
+_OPEN: dict[tuple[str, int], TextIds] = {}
 
 
 def _tokenised(path: str, cached: int):
@@ -104,7 +128,7 @@ def _tokenised(path: str, cached: int):
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        lookup = _OPEN.get((path, cached)) or _OPEN.setdefault((path, cached), WordIds(path, cached))
+        lookup = _OPEN.get((path, cached)) or _OPEN.setdefault((path, cached), TextIds(path, cached))
         end = np.array([END_ID], "<u2").tobytes()
 
         def documents():
@@ -204,13 +228,14 @@ class Code:
 def write_ids(docs: DataFrame, tokenizer: str, folder: str, cached: int = CACHED_WORDS) -> None:
     """Tokenise every text of ``docs`` (doc_id, text) with the tokenizer file and write the two tables below ``folder``.
 
-    Documents are in ascending order of doc_id (null first, repeated rows in any order); each ends with id 1. Null and empty
-    texts have that id only. ``cached`` bounds what a worker keeps of its words; it changes no result. Vocabularies of up to
-    65,536 ids are supported. An empty table writes empty tables."""
+    Documents are in ascending order of doc_id (null first, then by a code of the text, so that an id with many rows is no single
+    task); each ends with id 1. Null and empty texts have that id only. ``cached`` bounds what a worker keeps of its words; it
+    changes no result. A vocabulary of more than 65,536 ids is refused. An empty table writes empty tables."""
     scratch = Scratch(docs.sparkSession)
     docs = docs.select(c("doc_id").cast("long").alias("doc_id"), c("text").cast("string").alias("text"))
     parts = 1 + text_bytes(docs) // PART_BYTES
-    ordered = docs.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
+    docs = docs.withColumn("code", F.xxhash64("text"))
+    ordered = docs.repartitionByRange(parts, "doc_id", "code").sortWithinPartitions("doc_id", "code").drop("code")
     ids = scratch.keep(ordered.mapInArrow(_tokenised(tokenizer, cached), _BLOCK_ROWS), "huffman-ids", codec="zstd")
     counts = ids.select("ids").mapInArrow(_counted, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").collect()
     symbols, n = np.array([r["id"] for r in counts], np.int64), np.array([r["n"] for r in counts], np.int64)

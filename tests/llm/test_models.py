@@ -193,6 +193,40 @@ def test_token_files(spark, docs, no_docs, tmp_path):
     assert huffman.id_digests(spark, folder + "0").count() == 0
 
 
+def test_any_tokenizer_gives_its_own_ids(spark, docs, tmp_path):
+    """One that does not cut at white space takes whole texts; one id with many rows; too large a vocabulary is refused."""
+    path, folder = public_tokenizers.path("byte_bpe_50k.json"), f"file:{tmp_path}/ids"
+    many = docs.select("doc_id", "text").unionByName(spark.range(300).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("a  row \n of "), "id").alias("text")))
+    huffman.write_ids(many, path, folder)
+    tokenizer = Tokenizer.from_file(path)
+    want = Counter((r.doc_id, *tokenizer.encode(r.text or "", add_special_tokens=False).ids, 1) for r in many.collect())
+    rows = huffman.read_ids(spark, folder).orderBy("part", "block", "place").collect()
+    assert Counter((r.doc_id, *r.ids) for r in rows) == want
+    ids = [r.doc_id for r in rows]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
+    # the settings that decide
+    import json
+    settings = json.loads(Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).to_str())
+    assert huffman.cuts_at_spaces(settings) and not huffman.cuts_at_spaces(json.loads(tokenizer.to_str()))
+    for change in ({"post_processor": {"type": "ByteLevel"}}, {"normalizer": None}, {"pre_tokenizer": None}, {"truncation": {"max_length": 5}},
+                   {"added_tokens": [settings["added_tokens"][0] | {"rstrip": True}]}, {"added_tokens": [settings["added_tokens"][0] | {"content": "a b"}]}):
+        assert not huffman.cuts_at_spaces(settings | change)
+
+
+def test_words_stand_for_texts():
+    """Random texts of awkward characters: ids by words are those of the whole text, however small the memory."""
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(21)
+    odd = list("aZsS09'. \t\n\x0b\r\x1c\x85\xa0\u0301\u0307\u2028İΣςǅﬁ漢🙂|<>") + ["'LL", "<|endoftext|>", "e\u0301", " \u0301", "word ", "\u3000"]
+    texts = ["".join(rng.choice(odd) for _ in range(rng.randrange(40))) for _ in range(3000)] + ["", None, " ", "x " * 5000]
+    tokenizer = Tokenizer.from_file(path)
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for cached in (0, 50, 100_000):
+        lookup = huffman.TextIds(path, cached)
+        assert lookup.by_words
+        assert [np.frombuffer(lookup.of((x or "").encode()), "<u2").tolist() for x in texts] == want
+        assert len(lookup.words) <= max(1, cached)
+
+
 def test_code_lengths():
     rng = np.random.default_rng(0)
     for n, longest in ((1, 16), (2, 16), (300, 9), (300, 16), (1000, 10)):
