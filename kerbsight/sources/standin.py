@@ -51,7 +51,8 @@ def crowded_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def net_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both directions of every grid step; some one-way, some doubled, some bent."""
     nodes = net_nodes(spark, sf_dir)
-    a = nodes.select(
+    # a table of one small file is read by one task; what comes of it is larger
+    a = nodes.repartition("node_id").select(
         F.col("node_id").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"), "one_way", "doubled",
         F.explode(F.array(
             F.struct((F.col("gx") + 1).alias("gx"), F.col("gy").alias("gy")),

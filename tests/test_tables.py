@@ -1,17 +1,19 @@
 """Profiles, ingest, publishing, WKB and streaming."""
 
 import json
+import random
 import statistics
 import struct
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from kerbsight import schemas
 from kerbsight.operators import checks, conform, impressions, profiles
 from kerbsight.plans import gold, ingest, release
-from kerbsight.sources import landing, publish, tables, wkb
+from kerbsight.sources import landing, publish, standin, tables, wkb
 from kerbsight.streaming import counts as streaming
 from kerbsight.streaming import envelopes
 
@@ -309,6 +311,23 @@ def test_only_changed_partitions_are_rewritten(spark, tmp_path):
     assert [(r.status, r.records) for r in audit] == [("success", 40), ("no_new_data", 0), ("success", 10), ("success", 30)]
 
 
+@pytest.mark.parametrize("polygon", [False, True])
+def test_wkb_columns_are_as_geometry_by_geometry(polygon):
+    rng = random.Random(5)
+    point = lambda: {"x": rng.random(), "y": rng.random()}
+    geoms = [None if rng.random() < 0.1 else [[point() for _ in range(rng.randrange(polygon, 5))] for _ in range(rng.choice([0, 1, 1, 2]))] for _ in range(80)]
+    written = [wkb.encode(g, polygon) for g in geoms]
+    column = pa.array([None, *geoms], wkb.ARROW_GEOM)[1:]
+    assert wkb.encode_column(column, polygon).to_pylist() == written
+    read = wkb.decode_column(pa.array([b"no", *written], pa.binary())[1:])
+    assert read.type == wkb.ARROW_GEOM and read.to_pylist() == [wkb.decode(g) for g in written]
+
+
+def test_the_network_is_not_made_by_one_task(spark):
+    edges = standin.net_edges(spark, "/root/testdata/sf0.001")
+    assert "hashpartitioning(node_id" in edges._jdf.queryExecution().executedPlan().toString()
+
+
 # -------------------------------------------------------------------------- streaming
 def test_streamed_months(spark, tmp_path):
     landed = str(tmp_path / "landed")
