@@ -11,6 +11,8 @@ from kerbsight.functions.cleaning import whole_id
 from kerbsight.operators.conform import snake_columns
 from kerbsight.session import cut, cut_observed, row_count
 
+#: shares of a month that is looked up in a large table
+MONTH_SHARES = 512
 
 # -------------------------------------------------------------------- daily landing
 def month_slice(records: DataFrame, time: str, year: int, month: int) -> DataFrame:
@@ -71,9 +73,21 @@ def keep_last(records: DataFrame, key: list[str] | None, order: Column) -> DataF
 def merge_months(existing: DataFrame, arrived: DataFrame, key: list[str] | None = ("id",),
                  time: str = "messung_dat_zeit") -> DataFrame:
     """Existing rows of the touched months with the new rows; the newest copy of a key stays."""
+    return _newest(_of_months(existing, arrived, time), arrived, key)
+
+
+def _of_months(existing: DataFrame, arrived: DataFrame, time: str) -> DataFrame:
+    """Existing rows of the months that ``arrived`` touches. A month is dealt into shares, so that it is no single task."""
+    shares = F.explode(F.sequence(F.lit(0), F.lit(MONTH_SHARES - 1)))
+    touched = arrived.select(F.substring(time, 1, 7).alias("_m")).distinct().withColumn("_share", shares)
+    share = F.pmod(F.xxhash64(*existing.columns), F.lit(MONTH_SHARES)).cast("int")
+    dealt = existing.withColumns({"_m": F.substring(time, 1, 7), "_share": share})
+    return dealt.join(touched, ["_m", "_share"], "left_semi").drop("_m", "_share")
+
+
+def _newest(old: DataFrame, arrived: DataFrame, key: list[str] | None) -> DataFrame:
+    """Both tables, without the older copies of a key."""
     batch = "_batch"
-    touched = arrived.select(F.substring(time, 1, 7).alias("_m")).distinct()
-    old = existing.withColumn("_m", F.substring(time, 1, 7)).join(touched, "_m", "left_semi").drop("_m")
     both = old.withColumn(batch, F.lit(0)).unionByName(arrived.withColumn(batch, F.lit(1)), allowMissingColumns=True)
     if not key:
         return both.drop(batch).dropDuplicates()
@@ -108,7 +122,7 @@ def upsert_months(arrived: DataFrame, folder: str, key: list[str] | None = ("id"
             stored = spark.read.parquet(folder)
             month = F.concat(F.col("year").cast("string"), F.lit("-"), F.lpad(F.col("month").cast("string"), 2, "0"))
             old = stored.filter(month.isin(months)).drop("year", "month")
-        merged = _with_month(merge_months(old, fresh.drop("year", "month"), key, time), time)
+        merged = _with_month(_newest(old, fresh.drop("year", "month"), key), time)
         staged = cut(merged, "months")
         staged.hint("rebalance", F.col("year"), F.col("month")).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"

@@ -328,6 +328,21 @@ def test_the_network_is_not_made_by_one_task(spark):
     assert "hashpartitioning(node_id" in edges._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_month_is_no_single_task(spark):
+    """All rows lie in one month; looking it up spreads them."""
+    rows = spark.range(4000).select("id", F.lit("2024-01-01T00:00:00").alias("t"), (F.col("id") % 3).alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        old = landing._of_months(rows, rows.where("id = 7"), "t")
+        tasks = [r["count"] for r in old.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(tasks) == 4000 and max(tasks) < 2000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert landing._of_months(rows, rows.where("id < 0"), "t").count() == 0
+
+
 # -------------------------------------------------------------------------- streaming
 def test_streamed_months(spark, tmp_path):
     landed = str(tmp_path / "landed")
