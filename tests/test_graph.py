@@ -372,6 +372,22 @@ def test_labels_refute_only_what_no_way_connects(spark, seed):
     assert ways <= allowed < 0.8 * len(known) ** 2
 
 
+def test_long_ways_take_few_rounds(spark, monkeypatch):
+    """A one-way street of 600 nodes is searched block by block, not node by node."""
+    rounds, written = [], reach.cut_observed
+
+    def counted(df, label="stage", **metrics):
+        rounds.append(label)
+        return written(df, label, **metrics)
+
+    monkeypatch.setattr(reach, "cut_observed", counted)
+    monkeypatch.setattr(reach, "BLOCK", 200, raising=False)
+    rows = [(i, i + 1, 0, 1.0, None, []) for i in range(600)] + [(301, 300, 0, 1.0, None, [])]
+    known = {r.node: (r.after & 1, r.before & 1) for r in reach.labels(spark.createDataFrame(rows, EDGES)).collect()}
+    assert known == {i: (int(i >= 300), int(i <= 301)) for i in range(601)}
+    assert rounds.count("core-reach") < 40
+
+
 def test_targets_behind_one_way_streets_do_not_flood(spark, monkeypatch):
     """A 30 x 30 grid of two-way streets; each source has a near target, and one behind a street that only leads out of it."""
     rows = []
