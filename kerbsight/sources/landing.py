@@ -85,10 +85,12 @@ def _of_months(existing: DataFrame, arrived: DataFrame, time: str) -> DataFrame:
     return dealt.join(touched, ["_m", "_share"], "left_semi").drop("_m", "_share")
 
 
-def _newest(old: DataFrame, arrived: DataFrame, key: list[str] | None) -> DataFrame:
-    """Both tables, without the older copies of a key."""
+def _newest(old: DataFrame, arrived: DataFrame, key: list[str] | None, order: str | None = None) -> DataFrame:
+    """Both tables, without the older copies of a key. ``order`` names a column that numbers the batches of ``arrived`` from 0."""
     batch = "_batch"
-    both = old.withColumn(batch, F.lit(0)).unionByName(arrived.withColumn(batch, F.lit(1)), allowMissingColumns=True)
+    number = F.col(order) + 1 if order else F.lit(1)
+    fresh = arrived.withColumn(batch, number.cast("bigint")).drop(*([order] if order else []))
+    both = old.withColumn(batch, F.lit(0).cast("bigint")).unionByName(fresh, allowMissingColumns=True)
     if not key:
         return both.drop(batch).dropDuplicates()
     rest = F.struct(*[c for c in both.columns if c not in (batch, *key)])
@@ -97,10 +99,10 @@ def _newest(old: DataFrame, arrived: DataFrame, key: list[str] | None) -> DataFr
 
 
 def upsert_months(arrived: DataFrame, folder: str, key: list[str] | None = ("id",),
-                  time: str = "messung_dat_zeit", run: str = "run") -> dict[str, int]:
+                  time: str = "messung_dat_zeit", run: str | Column = "run", order: str | None = None) -> dict[str, int]:
     """Rewrite only the month partitions that got new rows; returns how many rows were written and rejected.
 
-    Rows whose time has no month land in ``rejects_folder``, below the name of the run; a repeated run replaces them. The
+    ``order`` names a column with the number of a row's batch, where several arrive together; it is not stored. Rows whose time has no month land in ``rejects_folder``, below the name of the run; a repeated run replaces them. The
     merged rows are staged first, because one job cannot read and overwrite a folder.
     """
     spark = arrived.sparkSession
@@ -111,18 +113,18 @@ def upsert_months(arrived: DataFrame, folder: str, key: list[str] | None = ("id"
     )
     rejected = seen["arrived"] - seen["written"]
     if rejected:
-        bad = fresh.filter(~F.col("_ok")).drop("_ok", "year", "month").withColumn("run", F.lit(run))
+        bad = fresh.filter(~F.col("_ok")).drop("_ok", "year", "month").withColumn("run", F.lit(run)).drop(*([order] if order else []))
         bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(rejects_folder(folder))
     fresh = fresh.filter("_ok").drop("_ok")
     if seen["written"]:
-        old = fresh.drop("year", "month").limit(0)
+        old = fresh.drop("year", "month", *([order] if order else [])).limit(0)
         if exists(spark, folder):
             # the touched months, at most twelve a year, prune the stored partitions
             months = [r["m"] for r in fresh.select(F.concat_ws("-", "year", "month").alias("m")).distinct().collect()]
             stored = spark.read.parquet(folder)
             month = F.concat(F.col("year").cast("string"), F.lit("-"), F.lpad(F.col("month").cast("string"), 2, "0"))
             old = stored.filter(month.isin(months)).drop("year", "month")
-        merged = _with_month(_newest(old, fresh.drop("year", "month"), key), time)
+        merged = _with_month(_newest(old, fresh.drop("year", "month"), key, order), time)
         staged = cut(merged, "months")
         staged.hint("rebalance", F.col("year"), F.col("month")).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
@@ -144,6 +146,11 @@ def exists(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def append_raw(arrived: DataFrame, folder: str, time: str, load: str) -> None:
     """Add new rows, as they came, to the yearly raw table, in a partition of their load.
 

@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbsight.sources.landing import exists, upsert_months
+from kerbsight.sources.landing import delete, exists, upsert_months
 
 MERGE_EVERY = 10
+#: the column that numbers kept micro-batches
+BATCH = "batch_no"
 
 
 def read_landed(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet",
@@ -37,11 +39,23 @@ def _each_batch(counts: DataFrame, checkpoint: str, work: Callable[[DataFrame, i
 
 def ingest_months(counts: DataFrame, folder: str, checkpoint: str, key: list[str] = ("id",),
                   time: str = "messung_dat_zeit") -> None:
-    """Upsert every micro-batch into its month partitions; rows without a month go to the reject folder.
+    """Upsert micro-batches into month partitions; rows without a month go to the reject folder, by batch.
 
-    Upserts are repeatable, so a batch that runs twice after a failure changes nothing.
+    Micro-batches are kept as they came; when all is read they are upserted together, a later batch over an earlier one. So a month is
+    rewritten once, not with every batch. A batch that runs twice replaces its rows, and what a failed run has kept the next one
+    upserts. Upserts are repeatable, so it does not matter if the kept batches of a finished upsert were not deleted.
     """
-    _each_batch(counts, checkpoint, lambda batch, number: upsert_months(batch, folder, list(key), time, f"batch-{number}"))
+    spark, parts = counts.sparkSession, f"{folder.rstrip('/')}-batches"
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.withColumn(BATCH, F.lit(number).cast("bigint")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(parts)
+
+    _each_batch(counts, checkpoint, keep)
+    if exists(spark, parts):
+        kept = spark.read.schema(T.StructType([*counts.schema.fields, T.StructField(BATCH, T.LongType())])).parquet(parts)
+        upsert_months(kept, folder, list(key), time, F.concat(F.lit("batch-"), F.col(BATCH)), BATCH)
+        delete(spark, parts)
 
 
 def hour_parts(counts: DataFrame, time: str = "ts", station: str = "msid", value: str = "flow") -> DataFrame:

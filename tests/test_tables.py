@@ -354,6 +354,25 @@ def test_streamed_months(spark, tmp_path):
     assert sorted((r.id, r.v) for r in spark.read.parquet(str(tmp_path / "months")).collect()) == [(1, "A"), (2, "b")]
 
 
+def test_batches_of_a_month_are_merged_together(spark, tmp_path, monkeypatch):
+    """Every batch corrects an id and has a row without a month; the month is written once."""
+    landed, calls = str(tmp_path / "landed"), []
+    schema = "id long, messung_dat_zeit string, v string"
+    for i in range(4):
+        rows = [(1, "2025-01-01T00:00:00", "zyxw"[i]), (10 + i, "2025-01-01T00:00:00", "n"), (1, "2025-13-01", str(i))]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landed)
+    once = streaming.upsert_months
+    monkeypatch.setattr(streaming, "upsert_months", lambda *given: calls.append(1) or once(*given))
+    stream = streaming.read_landed(spark, landed, spark.createDataFrame([], schema).schema, files_per_batch=2)
+    folder = str(tmp_path / "months")
+    streaming.ingest_months(stream, folder, str(tmp_path / "state"))
+    assert len(calls) == 1
+    stored = {r.id: r.v for r in spark.read.parquet(folder).collect()}
+    assert stored.keys() == {1, 10, 11, 12, 13} and stored[1] in "wx"
+    bad = spark.read.parquet(landing.rejects_folder(folder)).collect()
+    assert sorted(r.v for r in bad) == ["0", "1", "2", "3"] and Counter(r.run.split("-")[0] for r in bad) == {"batch": 4}
+
+
 @pytest.mark.parametrize("per_batch", [1, 1000])
 def test_streams_lose_nothing(spark, tmp_path, per_batch):
     """Files whose times jump back by days, copies in different files, more batches than one merge takes."""
