@@ -145,7 +145,9 @@ class _PathStep:
         settled = F.struct(*[c(n).alias(n) for n in self.columns], F.lit(False).alias("live"))
         own = F.when(F.coalesce(c("chunk"), F.lit(0)) == 0, F.array(settled)).otherwise(F.array())
         onward = F.filter(F.transform("outs", child), lambda r: F.coalesce(r["live"], F.lit(False)))
-        self.node = F.when(c("live"), c("v"))
+        self.outs = net.joinable().withColumnRenamed("node", "at")
+        # settled rows meet nothing; without a node of their own they would all lie in one task
+        self.node = F.when(c("live"), c("v")).otherwise(F.xxhash64(*self.columns))
         self.weights = F.transform("outs", weight)
         self.partial = _sum(self.weights)
         self.total = _sum(c("ws"))
@@ -166,7 +168,7 @@ class _PathStep:
             at = at.join(
                 totals, (c("node") == c("tn")) & c("bearing").eqNullSafe(c("tb")) & (c("dist") == c("td")), "left"
             ).drop("tn", "tb", "td")
-        met = at.join(self.net.joinable(), "node", "left").withColumn("ws", self.weights)
+        met = at.join(self.outs, c("live") & (c("node") == c("at")), "left").withColumn("ws", self.weights)
         if not self.net.many_chunks:
             met = met.withColumn("total", self.total)
         return met.select(self.emitted).select(*[c(f"r.{n}") for n in self.columns], c("r.live").alias("live")).withColumn(

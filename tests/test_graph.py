@@ -344,6 +344,24 @@ def test_paths_read_a_stored_adjacency(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_settled_rows_spread(spark, monkeypatch):
+    """Beyond the broadcast limit, rows that flow no further are no single task."""
+    monkeypatch.setattr(network, "BROADCAST_EDGES", 0)
+    net = adjacency(spark.createDataFrame(graph(3), EDGES), propagate.BIKE.comfort)
+    rows = spark.range(4000).select(
+        F.lit(8).alias("hour"), F.lit(0.0).alias("bearing"), F.col("id").alias("u"), (F.col("id") % 12).alias("v"), F.lit(0).alias("key"),
+        F.lit(0.0).alias("dist"), F.lit(9.0).alias("flow"), F.lit(False).alias("live"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = propagate._PathStep(net, propagate.BIKE).apply(rows)
+        tasks = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(tasks) == 4000 and max(tasks) < 2000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 # ------------------------------------------------------------------------------ reachability
 def reached_from(rows, start):
     out, seen, todo = out_edges(rows), {start}, [start]
