@@ -179,19 +179,26 @@ def _side(ax: Column, ay: Column, bx: Column, by: Column, px: Column, py: Column
     return (bx - ax) * (py - ay) - (by - ay) * (px - ax)
 
 
-def quad_meets_segment(quad: list[tuple[Column, Column]], x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
-    """Closed intersection test of a convex quad and a segment (touching counts).
-
-    Two convex shapes are apart exactly when an edge of one of them separates them:
-    both segment ends strictly outside one quad edge, or all quad vertices strictly
-    on one side of the segment's line.
-    """
+def quad_turn(quad: list[tuple[Column, Column]]) -> Column:
+    """1.0 for a quad that turns left, -1.0 for one that turns right, 0.0 for one without area."""
     area = sum(
         (quad[i][0] - quad[0][0]) * (quad[i + 1][1] - quad[0][1])
         - (quad[i + 1][0] - quad[0][0]) * (quad[i][1] - quad[0][1])
         for i in (1, 2)
     )
-    turn = F.signum(area)
+    return F.signum(area)
+
+
+def quad_meets_segment(quad: list[tuple[Column, Column]], x1: Column, y1: Column, x2: Column, y2: Column,
+                       turn: Column | None = None) -> Column:
+    """Closed intersection test of a convex quad and a segment (touching counts).
+
+    Two convex shapes are apart exactly when an edge of one of them separates them:
+    both segment ends strictly outside one quad edge, or all quad vertices strictly
+    on one side of the segment's line. ``turn`` may give the quad's :func:`quad_turn`:
+    with it the test stays within what the JVM compiles.
+    """
+    turn = quad_turn(quad) if turn is None else turn
     apart = F.lit(False)
     for i in range(4):
         (ax, ay), (bx, by) = quad[i], quad[(i + 1) % 4]

@@ -24,7 +24,7 @@ QUAD = [f"q{axis}{i}" for i in range(4) for axis in ("x", "y")]
 
 
 def quad_rows(polygons: DataFrame, keys: list[str], rings: str = "rings") -> DataFrame:
-    """One row per ring: keys, the eight vertex coordinates and the bounding box."""
+    """One row per ring: keys, the eight vertex coordinates, the turn and the bounding box."""
     ring = F.col("_ring")
     flat = polygons.select(*keys, F.explode(rings).alias("_ring")).select(
         *keys,
@@ -32,7 +32,8 @@ def quad_rows(polygons: DataFrame, keys: list[str], rings: str = "rings") -> Dat
     )
     xs, ys = [F.col(f"qx{i}") for i in range(4)], [F.col(f"qy{i}") for i in range(4)]
     return flat.select(
-        "*", F.least(*xs).alias("pl"), F.least(*ys).alias("pb"), F.greatest(*xs).alias("pr"), F.greatest(*ys).alias("pt")
+        "*", geo.quad_turn(list(zip(xs, ys))).alias("turn"),
+        F.least(*xs).alias("pl"), F.least(*ys).alias("pb"), F.greatest(*xs).alias("pr"), F.greatest(*ys).alias("pt")
     )
 
 
@@ -138,9 +139,10 @@ def meets(polygons: DataFrame, polygon_keys: list[str], lines: DataFrame, line_k
         (F.col("pl") <= F.col("sr")) & (F.col("sl") <= F.col("pr"))
         & (F.col("pb") <= F.col("st")) & (F.col("sb") <= F.col("pt"))
     )
-    touching = quads.join(pieces, keys).filter(
+    # the planner takes exploded rows to be as few as those they come from, and would broadcast either side whole
+    touching = quads.hint("merge").join(pieces, keys).filter(
         boxes_meet & in_cell
-        & geo.quad_meets_segment(corners, F.col("sx1"), F.col("sy1"), F.col("sx2"), F.col("sy2"))
+        & geo.quad_meets_segment(corners, F.col("sx1"), F.col("sy1"), F.col("sx2"), F.col("sy2"), F.col("turn"))
     )
     # a line has several pieces and a polygon several rings: keep each pair once; the
     # carried columns belong to the line, so they do not make more groups

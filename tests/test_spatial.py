@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,3 +143,28 @@ def test_a_crowded_square_metre_does_not_shrink_the_grid(spark):
     assert cell == same == 32.0 and both.count() <= 2 * (alone.count() + 6000)
     assert occupied.agg(F.max("shares")).first()[0] > 1
     assert both.groupBy("cx", "cy", "share").count().agg(F.max("count")).first()[0] <= 2 * 1024
+
+
+def test_meets_broadcasts_no_exploded_side(spark, tmp_path):
+    """Small files say nothing about the rows that their geometries explode to."""
+    areas, lines = make(spark, 5)
+    areas.write.parquet(f"{tmp_path}/areas")
+    found = meets(spark.read.parquet(f"{tmp_path}/areas"), ["objectid"], lines, ["k"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert {tuple(r) for r in found.collect()} == brute(areas, lines)
+
+
+def test_meets_stays_within_what_the_jvm_compiles(spark):
+    """The JVM runs methods beyond 8,000 bytes uncompiled, some ten times slower."""
+    areas, lines = make(spark, 6)
+    found = meets(areas, ["objectid"], lines, ["k"])
+    context = spark.sparkContext._jvm.org.apache.spark.sql.execution.debug
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = meets(areas, ["objectid"], lines, ["k"])._jdf.queryExecution().executedPlan()
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", context.package.codegenString(plan))]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sizes and max(sizes) <= 8000
+    assert {tuple(r) for r in found.collect()} == brute(areas, lines)
