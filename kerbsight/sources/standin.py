@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbsight.functions import geo
+from kerbsight.session import cut
 
 GRID = 40
 
@@ -193,7 +194,9 @@ def frontages(spark: SparkSession, sf_dir: str) -> DataFrame:
         dy = F.when(p % 4 == 1, length).when(p % 4 == 3, -length).otherwise(0.0)
         return F.array(geo.point(x, y), geo.point(x + dx, y + dy))
 
-    return table(spark, sf_dir, "part").select(
+    # as for the network; written, because the planner would move the filters of later steps back into the one reading task
+    rows = cut(table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_name").repartition("p_partkey"), "frontages")
+    return rows.select(
         p.alias("objectid"), F.floor(p / 3).alias("gwr_egid"), c("p_name").alias("bezeichnung"),
         F.when(p % 5 == 0, F.array(wall(x0, y0), wall(x0 + 12, y0 + 180))).otherwise(F.array(wall(x0, y0))).alias("geom"),
     )
@@ -227,7 +230,8 @@ def flows_cars(edges: DataFrame) -> DataFrame:
 
 def flows_transit(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = net_nodes(spark, sf_dir)
-    a = nodes.select(F.col("node_id").alias("a"), (F.col("node_id") + 2).alias("b"), F.col("x").alias("x1"), F.col("y").alias("y1"))
+    a = nodes.repartition("node_id").select(
+        F.col("node_id").alias("a"), (F.col("node_id") + 2).alias("b"), F.col("x").alias("x1"), F.col("y").alias("y1"))
     b = nodes.select(F.col("node_id").alias("b"), F.col("x").alias("x2"), F.col("y").alias("y2"))
     return _hourly(a.join(b, "b"), [8, 17]).select(
         F.col("a").cast("string").alias("haltestellen_id"), F.col("b").cast("string").alias("nach_hst_id"), "hour",

@@ -12,6 +12,7 @@ from kerbsight.operators import nearest
 from kerbsight.operators.impressions import sight_areas
 from kerbsight.operators.nearest import nearest_edges, nearest_nodes
 from kerbsight.operators.spatial_join import meets
+from kerbsight.sources import standin
 
 LINES = "k int, geom array<array<struct<x:double,y:double>>>"
 
@@ -168,3 +169,16 @@ def test_meets_stays_within_what_the_jvm_compiles(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert sizes and max(sizes) <= 8000
     assert {tuple(r) for r in found.collect()} == brute(areas, lines)
+
+
+def test_frontages_of_one_file_are_dealt_to_all_tasks(spark, tmp_path):
+    """A single file is read by one task; its sight areas are computed by all, and no filter is moved back into the reading task."""
+    rows = spark.range(1000).selectExpr("id AS p_partkey", "'name' AS p_name", "CAST(id % 50 AS INT) AS p_size")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        areas = sight_areas(standin.frontages(spark, str(tmp_path)))
+        assert areas.rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert areas.count() == 1000 - len({p for p in range(1000) if p % 101 == 0 or p % 50 == 0})
