@@ -37,13 +37,13 @@ CHUNK_BYTES, SHARD_BYTES = 4 << 20, 1 << 20
 _PARTS = "kind int, key long, doc long, start int, size int, text binary"
 
 
-def stretches(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchors, first, last): runs of successive windows with one anchor, at most LONGEST windows each."""
-    if len(words) < WINDOW:
+def stretches(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchors, first, last): runs of successive windows with one anchor, at most LONGEST windows each, in a text with the codes
+    ``grams`` of its runs of GRAM words."""
+    span = WINDOW - GRAM + 1
+    if len(grams) < span:
         return (np.empty(0, np.uint64),) + (np.empty(0, np.int64),) * 2
-    least = W.run_codes(W.word_codes(words), GRAM)
-    grams, span = least, WINDOW - GRAM + 1
-    width = 1
+    least, width = grams, 1
     while 2 * width <= span:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
@@ -57,23 +57,24 @@ def stretches(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each stretch; weight 2 if the anchor occurs more than once inside its document's windows there."""
+    """A row for each stretch of ``size`` windows; weight 2 if the anchor occurs more than once inside its document's windows there."""
     for batch in batches:
-        keys, docs, starts, weights = [], [], [], []
+        keys, docs, starts, sizes, weights = [], [], [], [], []
         for doc, text in zip(batch.column("doc").to_pylist(), W.texts_of(batch), strict=True):
             words = (text or b"").split()
-            anchors, first, last = stretches(words)
-            if len(anchors):
+            if len(words) >= WINDOW:
                 grams = W.run_codes(W.word_codes(words), GRAM)
+                anchors, first, last = stretches(grams)
                 own, count = np.unique(grams, return_counts=True)
                 repeated = own[count > 1]
                 keys.append(anchors.view(np.int64))
                 docs.append(np.full(len(anchors), doc))
                 starts.append(first)
+                sizes.append(last - first + 1)
                 weights.append(1 + np.isin(anchors, repeated))
         if keys:
-            columns = [np.concatenate(keys), np.concatenate(docs), np.concatenate(starts).astype(np.int32), np.concatenate(weights).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "doc", "start", "weight"])
+            columns = [np.concatenate(keys), np.concatenate(docs), *[np.concatenate(x).astype(np.int32) for x in (starts, sizes, weights)]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "doc", "start", "size", "weight"])
 
 
 def recurring(rows: list[list[bytes]]) -> list[list[int]]:
@@ -119,23 +120,22 @@ def _sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def held() -> Iterator[tuple]:
         for batch in batches:
-            for doc, text, starts, hot in zip(batch.column("doc").to_pylist(), W.texts_of(batch), batch.column("starts").to_pylist(), batch.column("hot").to_pylist(), strict=True):
-                yield doc, (text or b"").split(), starts, hot, len(text or b"")
+            lists = [batch.column(name).to_pylist() for name in ("doc", "keys", "starts", "sizes", "hot")]
+            for text, doc, *found in zip(W.texts_of(batch), *lists, strict=True):
+                yield doc, (text or b"").split(), found, len(text or b"")
 
     schema = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("doc", pa.int64()), ("start", pa.int32()), ("size", pa.int32()), ("text", pa.binary())])
-    for chunk in W.in_chunks(held(), lambda d: d[4], CHUNK_BYTES):
+    for chunk in W.in_chunks(held(), lambda d: d[3], CHUNK_BYTES):
         rows, hot_stretches = [], []
-        for doc, words, starts, hot, _ in chunk:
-            anchors, first, last = stretches(words)
-            names = anchors.view(np.int64).tolist()
-            for k, s, many in zip(np.searchsorted(first, starts).tolist(), starts, hot, strict=True):
-                if k == len(first) or first[k] != s:  # another row of the same key
+        for doc, words, stretches_there, _ in chunk:
+            for key, s, size, many in zip(*stretches_there, strict=True):
+                stretch = words[s : s + size - 1 + WINDOW]
+                if len(stretch) < size - 1 + WINDOW:  # another row of the same key
                     continue
-                stretch = words[s : int(last[k]) + WINDOW]
                 if many:
                     hot_stretches.append((doc, s, stretch))
                 else:
-                    rows.append((0, names[k], doc, s, None, b" ".join(stretch)))
+                    rows.append((0, key, doc, s, None, b" ".join(stretch)))
         found = recurring([w for _, _, w in hot_stretches])
         told: set[int] = set()
         for (doc, first, words), starts in zip(hot_stretches, found, strict=True):
@@ -190,10 +190,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession)
     docs = docs.select(c("doc_id").cast("long").alias("doc_id"), c("text").cast("string").alias("text"))
     docs = docs.withColumn("doc", F.xxhash64("doc_id", "text"))  # rows that share it by chance only share candidates
-    anchors = scratch.keep(docs.select("doc", "text").mapInArrow(_anchors, "key long, doc long, start int, weight int"), "phrase-anchors")
+    anchors = scratch.keep(docs.select("doc", "text").mapInArrow(_anchors, "key long, doc long, start int, size int, weight int"), "phrase-anchors")
     recurs = anchors.groupBy("key").agg(F.sum("weight").alias("times")).where("times > 1")
-    wanted = anchors.join(recurs, "key").groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("start", (c("times") > HOT).alias("hot")))).alias("at"))
-    wanted = wanted.select("doc", c("at.start").alias("starts"), c("at.hot").alias("hot"))
+    wanted = anchors.join(recurs, "key").groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("start", "size", "key", (c("times") > HOT).alias("hot")))).alias("at"))
+    wanted = wanted.select("doc", *[c(f"at.{n}").alias(f"{n}s") for n in ("key", "start", "size")], c("at.hot").alias("hot"))
     parts = docs.select("doc", "text").join(wanted.hint("shuffle_hash"), "doc")
     parts, seen = scratch.keep(parts.mapInArrow(_sent, _PARTS), "phrase-stretches", bytes=F.coalesce(F.sum(F.octet_length("text")), F.lit(0)))
     scratch.drop(anchors)

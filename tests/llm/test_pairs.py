@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from kerbsight.llm import embedding_codes, license_scan, ngram_jaccard, phrase_dedup, simhash_scan
@@ -118,6 +119,22 @@ def test_repeated_windows(docs, no_docs, monkeypatch):
     assert Counter(tuple(r) for r in phrase_dedup.without_repeats(docs).collect()) == want
 
 
+def test_words_are_coded_once_for_the_anchors_and_not_again(monkeypatch):
+    coded, word_codes = [], phrase_dedup.W.word_codes
+    monkeypatch.setattr(phrase_dedup.W, "word_codes", lambda words: coded.append(len(words)) or word_codes(words))
+    words = [f"w{i}" for i in range(200)]
+    batch = pa.RecordBatch.from_pydict({"doc": [5], "text": [" ".join(words)]})
+    (anchors,) = phrase_dedup._anchors([batch])
+    found = {n: anchors.column(n).to_pylist() for n in ("key", "start", "size")}
+    assert sum(found["size"]) == 200 - phrase_dedup.WINDOW + 1
+    lists = {f"{n}s": [found[n]] for n in ("key", "start", "size")}
+    (sent,) = phrase_dedup._sent([pa.RecordBatch.from_pydict({"doc": [5], "text": [" ".join(words)], **lists, "hot": [[False] * len(found["key"])]})])
+    ends = [s + n - 1 + phrase_dedup.WINDOW for s, n in zip(found["start"], found["size"], strict=True)]
+    assert sent.column("text").to_pylist() == [" ".join(words[s:e]).encode() for s, e in zip(found["start"], ends, strict=True)]
+    assert sent.column("key").to_pylist() == found["key"] and coded == [200]
+
+
+
 def test_contaminations(spark, docs, no_docs, texts):
     rng = random.Random(9)
     items = {i: prose(rng, n) for i, n in enumerate((30, 45, 3, 24, 60))}
