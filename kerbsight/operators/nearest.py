@@ -181,7 +181,8 @@ def nearest_nodes(points: DataFrame, point_keys: list[str], nodes: DataFrame, ce
 
 def _per_place(points: DataFrame, point_keys: list[str], lines: DataFrame, line_keys: list[str],
                ties: bool, cell: float, hot_rows: int) -> DataFrame:
-    known = points.filter(F.col("px").isNotNull() & F.col("py").isNotNull())
+    # read twice, as places to search and as keys to place; written once, as what they come from may be many rows
+    known = cut(points.select(*point_keys, "px", "py").filter(F.col("px").isNotNull() & F.col("py").isNotNull()), "points")
     places, seen = cut_observed(known.select(F.col("px").alias("ix"), F.col("py").alias("iy")).distinct(), "places", n=row_count())
     if not seen["n"]:
         raise ValueError("no points to place")
@@ -189,6 +190,6 @@ def _per_place(points: DataFrame, point_keys: list[str], lines: DataFrame, line_
         places.withColumn("px", F.col("ix")).withColumn("py", F.col("iy")), ["ix", "iy"], lines, line_keys, ties, cell, hot_rows
     )
     return (
-        points.join(found, (points["px"] == found["ix"]) & (points["py"] == found["iy"]))
-        .select(*[points[k] for k in point_keys], *[found[k] for k in line_keys], found["dist"])
+        known.join(found, (known["px"] == found["ix"]) & (known["py"] == found["iy"]))
+        .select(*[known[k] for k in point_keys], *[found[k] for k in line_keys], found["dist"])
     )

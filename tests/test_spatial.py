@@ -182,3 +182,13 @@ def test_frontages_of_one_file_are_dealt_to_all_tasks(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert areas.count() == 1000 - len({p for p in range(1000) if p % 101 == 0 or p % 50 == 0})
+
+
+def test_points_to_place_are_read_once(spark, tmp_path):
+    """What places are made from may be a large table; it is not read again to attach the keys."""
+    rows = [(i, 10.0 * i, 5.0) for i in range(9)] + [(9, None, 5.0)]
+    spark.createDataFrame(rows, "k int, px double, py double").write.parquet(f"{tmp_path}/points")
+    edges = spark.createDataFrame([(1, 2, 0, [part((0, 0), (100, 0))])], "u long, v long, key int, geom array<array<struct<x:double,y:double>>>")
+    found = nearest_edges(spark.read.parquet(f"{tmp_path}/points"), ["k"], edges)
+    assert not [f for f in found.inputFiles() if f"{tmp_path}/points" in f]
+    assert sorted(tuple(r) for r in found.collect()) == [(i, 1, 2, 0, 5.0) for i in range(9)]
