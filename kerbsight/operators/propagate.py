@@ -51,8 +51,10 @@ CARS = CarModel()
 #: with at most this many moving rows a job does several levels
 FEW_ROWS = 20_000
 #: levels of a round of the directional model, and the moving rows from which on a round has fewer of them
-MANY_LEVELS, FEW_LEVELS, TAIL_ROWS = 3, 10, 3_000
+MANY_LEVELS, FEW_LEVELS, TAIL_ROWS = 3, 4, 3_000
 KNOWN, BEST, ARRIVAL, CREDIT = 0, 1, 2, 3
+#: seeds that go as one bundle, and the neighbouring seeds that bundles are made of
+MEMBERS, SEED_BLOCK = 24, 4_096
 
 
 # --------------------------------------------------------------- bike and pedestrian
@@ -185,23 +187,20 @@ def propagate_cars(seeds: DataFrame, edges: DataFrame, model: CarModel = CARS, m
     A node is expanded again only by a strictly shorter arrival. Which arrival counts
     as earlier is first-in-first-out order: level by level and, within a level, by the
     path of edge positions. The path is kept as fixed-width text, so text order is
-    arrival order and one window per (seed, node) reproduces the queue exactly.
+    arrival order and one window per (bundle, node) reproduces the queue exactly.
 
-    A seed's rows are of no concern to other seeds, so everything lies in buckets by seed and a level needs no shuffle while the
-    network is small enough to broadcast. The distances that a seed has found so far are a table beside the frontier: a round
+    Seeds with the same start and bearing, the hours of a station, take the same paths: they go as one bundle, a row with the flow of
+    each member and bits for the members that it still concerns. Distances are judged member by member.
+
+    A bundle's rows are of no concern to other bundles, so everything lies in buckets by bundle and a level needs no shuffle while the
+    network is small enough to broadcast. The distances that a bundle has found so far are a table beside the frontier: a round
     appends the distances that it has improved, and the arrivals and credits that it has made, and writes nothing again.
     """
     net = net or adjacency(edges)
     step = _CarStep(net, model)
     c = F.col
-    starts = seeds.filter(c("flow").isNotNull() & c("bearing").isNotNull()).select(
-        "seed", c("hour").cast("int").alias("hour"), "bearing", F.lit(ARRIVAL).alias("kind"), "node",
-        F.lit(0.0).alias("dist"), c("flow").cast("double").alias("flow"), F.lit("").alias("path"),
-        F.lit(None).cast("bigint").alias("u"), F.lit(None).cast("int").alias("key"), F.lit(0.0).alias("edge_flow"),
-        F.lit(0).alias("round"),
-    ).filter((c("dist") <= model.max_distance) & (c("flow") >= model.min_flow))
-    rows = Buckets(seeds.sparkSession, "cars", ["seed"], folders=("kind", "round"))
-    moving = rows.append(rows.placed(starts), moving=row_count())["moving"]
+    rows = Buckets(seeds.sparkSession, "cars", ["bundle"], folders=("kind", "round"))
+    moving = rows.append(rows.placed(_bundles(seeds, model)), moving=row_count())["moving"]
     done, last = 0, 0
     while moving and done < max_levels:
         few = moving <= FEW_ROWS
@@ -211,8 +210,35 @@ def propagate_cars(seeds: DataFrame, edges: DataFrame, model: CarModel = CARS, m
     every = rows.close()
     if moving:
         raise RuntimeError(f"flows still moving after {max_levels} levels")
-    credited = every.filter(c("u").isNotNull())
-    return credited.groupBy("u", c("node").alias("v"), "key", "hour").agg(F.sum("edge_flow").alias("total_flow"))
+    credited = every.filter(c("u").isNotNull()).select("u", "node", "key", "credited", F.posexplode(F.arrays_zip("hours", "flows")).alias("member", "m"))
+    credited = credited.filter(F.get(_bits(), c("member")).bitwiseAND(c("credited")) != 0).select("u", "node", "key", c("m.hours").alias("hour"), c("m.flows").alias("flow"))
+    return credited.groupBy("u", c("node").alias("v"), "key", "hour").agg(F.sum("flow").alias("total_flow"))
+
+
+def _bits() -> Column:
+    """The bit of each member of a bundle."""
+    return F.array(*[F.lit(1 << i).cast("bigint") for i in range(MEMBERS)])
+
+
+def _bundles(seeds: DataFrame, model: CarModel) -> DataFrame:
+    """The first arrivals: one row for at most ``MEMBERS`` seeds of the same start and bearing, the largest flow first.
+
+    Members are numbered among ``SEED_BLOCK`` neighbouring seeds, so that a crowded start is no single task."""
+    c = F.col
+    starts = seeds.filter(c("flow").isNotNull() & c("bearing").isNotNull()).select(
+        "seed", c("hour").cast("int").alias("hour"), "bearing", "node", c("flow").cast("double").alias("flow"),
+        F.floor(c("seed").try_cast("bigint") / SEED_BLOCK).alias("block"),
+    ).filter((F.lit(0.0) <= model.max_distance) & (c("flow") >= model.min_flow) & (c("flow") > 0))
+    place = F.row_number().over(Window.partitionBy("bearing", "node", "block").orderBy("seed")) - 1
+    members = F.sort_array(F.collect_list(F.struct("flow", "seed", "hour")), asc=False)
+    bundles = starts.withColumn("part", F.floor(place / MEMBERS)).groupBy("bearing", "node", "block", "part").agg(members.alias("m"))
+    everyone = F.aggregate(F.slice(_bits(), F.lit(1), F.size("m")), F.lit(0).cast("bigint"), lambda a, b: a.bitwiseOR(b))
+    return bundles.select(
+        F.array_min("m.seed").alias("bundle"), c("m.hour").alias("hours"), "bearing", F.lit(ARRIVAL).alias("kind"), "node",
+        F.lit(0.0).alias("dist"), c("m.flow").alias("flows"), F.lit(1.0).alias("decay"), everyone.alias("alive"),
+        F.lit(0).cast("bigint").alias("credited"), F.lit("").alias("path"), F.lit(None).cast("bigint").alias("u"),
+        F.lit(None).cast("int").alias("key"), F.lit(0).alias("round"),
+    )
 
 
 def _car_round(rows: Buckets, step: "_CarStep", levels: int, number: int, few: bool) -> DataFrame:
@@ -222,13 +248,15 @@ def _car_round(rows: Buckets, step: "_CarStep", levels: int, number: int, few: b
     arrives = (c("kind") == ARRIVAL) & (c("round") == number - 1)
     at = table.filter((c("kind") == BEST) | arrives)
     if few:
-        # seeds at rest need their node distances no more
-        at = at.join(F.broadcast(table.filter(arrives).select("seed").distinct()), "seed", "left_semi")
+        # bundles at rest need their node distances no more
+        at = at.join(F.broadcast(table.filter(arrives).select("bundle").distinct()), "bundle", "left_semi")
     # arrivals were credited by the round that made them
     at = at.withColumns({"u": F.lit(None).cast("bigint"), "kind": F.when(c("kind") == BEST, KNOWN).otherwise(c("kind"))}).drop("round")
     for _ in range(levels):
         at = step.apply(at)
-    at = at.filter(c("kind") != KNOWN).withColumn("round", F.lit(number))
+    # children that go no further are judged in vain within a round, and kept as credits
+    kind = F.when((c("kind") == ARRIVAL) & (c("alive") == 0), CREDIT).otherwise(c("kind"))
+    at = at.filter(c("kind") != KNOWN).withColumns({"kind": kind, "round": F.lit(number)})
     return at if step.net.small and not step.net.many_chunks else rows.placed(at)
 
 
@@ -236,83 +264,100 @@ class _CarStep:
     """One level: arrivals nearer than all before them go on, and emit their children.
 
     Rows are of four kinds: ``KNOWN`` (a distance that is in the table), ``BEST`` (one that is not yet), ``ARRIVAL`` (to be judged in
-    this level) and ``CREDIT`` (only a flow to be counted). ``seed``, ``hour`` and ``bearing`` pass through as they are, so that
-    Spark knows that the rows of a seed stay where they are.
+    this level) and ``CREDIT`` (only a flow to be counted). ``flows`` has what each member brings onto the edge, ``decay`` what is left
+    of it at its end; ``alive`` and ``credited`` are bits of the members that arrive (or have found a distance) and are counted.
+    ``bundle``, ``hours`` and ``bearing`` pass through as they are, so that Spark knows that the rows of a bundle stay where they are.
     """
 
-    seed = ["seed", "hour", "bearing"]
+    bundle = ["bundle", "hours", "bearing"]
 
     def __init__(self, net: Adjacency, model: CarModel):
         c = F.col
         self.net = net
-        before = Window.partitionBy("seed", "node").orderBy("kind", "path").rowsBetween(Window.unboundedPreceding, -1)
+        none = F.lit(0).cast("bigint")
+        before = Window.partitionBy("bundle", "node").orderBy("kind", "path").rowsBetween(Window.unboundedPreceding, -1)
         self.outs = net.joinable().withColumnRenamed("node", "at")
-        self.earlier = F.min("dist").over(before)
-        self.goes = (c("kind") == ARRIVAL) & (c("earlier").isNull() | (c("dist") < c("earlier")))
+        has = [c("alive").bitwiseAND(F.lit(1 << i)) != 0 for i in range(MEMBERS)]
+        self.earlier = {f"e{i}": F.min(F.when(h, c("dist"))).over(before) for i, h in enumerate(has)}
+        nearer = [F.when(h & (c(f"e{i}").isNull() | (c("dist") < c(f"e{i}"))), F.lit(1 << i)).otherwise(0) for i, h in enumerate(has)]
+        self.goes = F.when(c("kind") == ARRIVAL, reduce(Column.bitwiseOR, nearer)).otherwise(0).cast("bigint")
         found = c("kind") < ARRIVAL
+        goes = c("goes") != 0
         credited = ~found & c("u").isNotNull()
-        self.matters = self.goes | found | credited
+        self.matters = goes | found | credited
 
         def weight(o: Column) -> Column:
             w = direction.linear_weight(c("bearing"), o["bearing"], model.max_arc)
             return F.when(w >= model.min_share, w).otherwise(0.0)
 
-        def row(kind: Column, node: Column, dist: Column, flow: Column, path: Column, u: Column, key: Column, edge_flow: Column) -> Column:
+        def row(kind: Column, node: Column, dist: Column, flows: Column, decay: Column, alive: Column, paid: Column, path: Column, u: Column, key: Column, share: Column) -> Column:
             return F.struct(
-                kind.alias("kind"), node.alias("node"), dist.alias("dist"), flow.alias("flow"), path.alias("path"),
-                u.alias("u"), key.alias("key"), edge_flow.alias("edge_flow"),
+                kind.alias("kind"), node.alias("node"), dist.alias("dist"), flows.alias("flows"), decay.alias("decay"),
+                alive.alias("alive"), paid.alias("credited"), path.alias("path"), u.alias("u"), key.alias("key"), share.alias("share"),
             )
 
-        no_dist, no_node, no_key = F.lit(None).cast("double"), F.lit(None).cast("bigint"), F.lit(None).cast("int")
+        nothing, no_node, no_key = F.lit(None).cast("double"), F.lit(None).cast("bigint"), F.lit(None).cast("int")
+        no_flows = F.lit(None).cast("array<double>")
 
         def child(o: Column, i: Column) -> Column:
-            share = c("flow") * F.try_divide(F.get("ws", i), c("total"))
             length = F.coalesce(o["length"], F.lit(0.0))
-            dist = c("dist") + length
-            flow = direction.decay_per_100m(share, length, model.decay)
-            moves = (dist <= model.max_distance) & (flow >= model.min_flow)
             position = F.lpad(F.lower(F.hex(o["ord"])), net.ord_digits, "0")
             return row(
-                F.when(moves, ARRIVAL).otherwise(CREDIT), o["v"], F.when(moves, dist), F.when(moves, flow),
-                F.when(moves, F.concat(c("path"), position)).otherwise(""), c("node"), o["key"].cast("int"), share,
+                F.lit(ARRIVAL), o["v"], c("dist") + length, c("flows"), direction.decay_per_100m(F.lit(1.0), length, model.decay),
+                none, c("goes"), F.concat(c("path"), position), c("node"), o["key"].cast("int"),
+                F.try_divide(F.get("ws", i), c("total")),
             )
 
         # a distance that was found stays, and an arrival that goes on has found one
-        state = row(F.when(found, c("kind")).otherwise(BEST), c("node"), c("dist"), no_dist, F.lit(""), no_node, no_key, F.lit(0.0))
-        counted = row(F.lit(CREDIT), c("node"), no_dist, no_dist, F.lit(""), c("u"), c("key"), c("edge_flow"))
+        state = row(F.when(found, c("kind")).otherwise(BEST), c("node"), c("dist"), no_flows, nothing,
+                    F.when(found, c("alive")).otherwise(c("goes")), none, F.lit(""), no_node, no_key, nothing)
+        counted = row(F.lit(CREDIT), c("node"), nothing, c("flows"), nothing, none, c("credited"), F.lit(""), c("u"), c("key"), nothing)
         once = F.coalesce(c("chunk"), F.lit(0)) == 0
         kept = F.concat(
-            F.when(found | c("goes"), F.array(state)).otherwise(F.array()),
+            F.when(found | goes, F.array(state)).otherwise(F.array()),
             F.when(credited, F.array(counted)).otherwise(F.array()),
         )
-        onward = F.coalesce(F.filter(F.transform("outs", child), lambda r: r["edge_flow"] > 0), F.array())
-        self.at = F.when(self.goes, c("node"))
+        onward = F.coalesce(F.filter(F.transform("outs", child), lambda r: r["share"] > 0), F.array())
+        self.at = F.when(goes, c("node"))
         self.weights = F.transform("outs", weight)
         self.partial = _sum(self.weights)
         self.total = _sum(c("ws"))
         self.kept, self.onward = F.inline(kept), F.inline(onward)
         own = F.when(once, kept).otherwise(F.array())
-        self.emitted = F.inline(F.concat(own, F.when(c("goes"), onward).otherwise(F.array())))
+        self.emitted = F.inline(F.concat(own, F.when(goes, onward).otherwise(F.array())))
+
+        # a child comes with the flows of the row that it comes from; those of all members fall alike, so the first ones go on
+        new = c("share").isNotNull()
+        self.flows = F.when(new, F.transform("flows", lambda f: f * c("spent") * c("share"))).otherwise(c("flows"))
+        going = F.when(c("dist") <= model.max_distance, F.size(F.filter("flows", lambda f: f * c("decay") >= model.min_flow)))
+        first = F.get(F.array(*[F.lit((1 << i) - 1).cast("bigint") for i in range(MEMBERS + 1)]), going)
+        self.alive = F.when(new, F.coalesce(first, none).bitwiseAND(c("credited"))).otherwise(c("alive"))
 
     def apply(self, rows: DataFrame) -> DataFrame:
-        judged = rows.withColumn("earlier", self.earlier).filter(self.matters).withColumns({"goes": self.goes, "at": self.at})
+        judged = rows.withColumns(self.earlier).withColumn("goes", self.goes).filter(self.matters).withColumn("at", self.at)
+        judged = judged.drop(*self.earlier)
         if self.net.many_chunks:
             totals = (
-                judged.filter("goes").select("at", "bearing").distinct()
+                judged.filter("goes != 0").select("at", "bearing").distinct()
                 .join(self.outs, "at").withColumn("part", self.partial)
                 .groupBy("at", "bearing").agg(F.sum("part").alias("total"))
             )
             judged = judged.join(totals, ["at", "bearing"], "left")
         if not self.net.small:
             # only arrivals that go on meet the adjacency; other rows have no node and would all meet in one task
-            met = self._weighed(judged.filter("goes").join(self.outs, "at"))
-            return judged.select(*self.seed, self.kept).unionByName(met.select(*self.seed, self.onward))
-        return self._weighed(judged.join(self.outs, "at", "left")).select(*self.seed, self.emitted)
+            met = self._weighed(judged.filter("goes != 0").join(self.outs, "at"))
+            return judged.select(*self.bundle, self.kept).drop("share").unionByName(self._children(met, self.onward))
+        return self._children(self._weighed(judged.join(self.outs, "at", "left")), self.emitted)
 
     def _weighed(self, met: DataFrame) -> DataFrame:
         met = met.withColumn("ws", self.weights)
         return met if self.net.many_chunks else met.withColumn("total", self.total)
 
+    def _children(self, met: DataFrame, emitted: Column) -> DataFrame:
+        rows = met.withColumnRenamed("decay", "spent").select(*self.bundle, "spent", emitted)
+        rows = rows.withColumn("flows", self.flows).withColumn("alive", self.alive)
+        return rows.drop("spent", "share")
+
 
 def mass_balance(flows: DataFrame, seeds: DataFrame, flow: str = "total_flow", seed_flow: str = "flow") -> DataFrame:
     """Scale each hour so that its edge flows sum to its seed flows (unless they sum to 0)."""

@@ -306,6 +306,28 @@ def test_a_level_writes_what_it_adds(spark, monkeypatch):
         assert known == 0 and best <= judged and best + arrivals + credits <= 2 * frontier
 
 
+def test_the_hours_of_a_start_go_together(spark, monkeypatch):
+    """Seeds of one start and bearing share their rows, more of them than a bundle holds make two, and each hour keeps its own queue."""
+    written = []
+    append = propagate.Buckets.append
+
+    def counted(self, df, **metrics):
+        seen = append(self, df, **metrics, rows=F.count(F.lit(1)))
+        written.append(seen["rows"])
+        return seen
+
+    rows, rng = graph(6, nodes=20, edges=70), random.Random(11)
+    model = propagate.CarModel(max_distance=900.0, min_flow=2.0)
+    seeds = [(f"s{i:02}", i, 40.0, 3, rng.choice([3.0, 20.0, 60.0, 400.0, 900.0])) for i in range(propagate.MEMBERS + 4)]
+    largest = [max(seeds, key=lambda s: s[4])]
+    monkeypatch.setattr(propagate.Buckets, "append", counted)
+    found, wanted = run_cars(spark, rows, seeds, model), queue_walk(rows, seeds, model)
+    together, written[:] = sum(written), []
+    run_cars(spark, rows, largest, model)
+    assert found == pytest.approx(dict(wanted), rel=1e-9)
+    assert together <= 5 * sum(written)
+
+
 def exchanges(df):
     return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
