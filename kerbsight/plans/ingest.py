@@ -32,14 +32,13 @@ def ingest_year(source: DataFrame, year: int, dataset: str, run_id: str, folders
     last_time = None
     try:
         last_time, last_id = landing.read_state(spark, folders.state, year)
-        arrived, rows = landing.observed_rows(
-            landing.new_records(source, year, last_time, last_id, time, ident), "arrived"
+        load = re.sub(r"\W", "_", f"{year}-after-{last_time}-{last_id}")
+        arrived, rows = landing.land_raw(
+            landing.new_records(source, year, last_time, last_id, time, ident), folders.raw, year, load
         )
         if not rows:
             _audit(spark, folders, dataset, run_id, "no_new_data", 0, year, last_time or "", "no new records")
             return "no_new_data"
-        load = re.sub(r"\W", "_", f"{year}-after-{last_time}-{last_id}")
-        landing.append_raw(arrived, folders.raw, time, load)
         snake_time, snake_ident = snake_names([time]), snake_names([ident])
         written = landing.upsert_months(arrived, folders.months, snake_ident, snake_time[0], load)
         mark = landing.watermark(arrived, time, ident)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from kerbsight.functions.cleaning import whole_id
@@ -102,15 +102,16 @@ def upsert_months(arrived: DataFrame, folder: str, key: list[str] | None = ("id"
                   time: str = "messung_dat_zeit", run: str | Column = "run", order: str | None = None) -> dict[str, int]:
     """Rewrite only the month partitions that got new rows; returns how many rows were written and rejected.
 
-    ``order`` names a column with the number of a row's batch, where several arrive together; it is not stored. Rows whose time has no month land in ``rejects_folder``, below the name of the run; a repeated run replaces them. The
-    merged rows are staged first, because one job cannot read and overwrite a folder.
+    ``arrived`` is read several times, mostly its times alone, so it should be a written table.
+
+    ``order`` names a column with the number of a row's batch, where several arrive together; it is not stored. Rows whose time has no month land in ``rejects_folder``, below the name of the run; a repeated run replaces them.
+    Rows merged with stored ones are staged first, because one job cannot read and overwrite a folder.
     """
     spark = arrived.sparkSession
     fresh = snake_columns(arrived)
     has_month = F.coalesce(F.col(time).rlike(r"^\d{4}-(0[1-9]|1[0-2])-"), F.lit(False))
-    fresh, seen = cut_observed(
-        _with_month(fresh, time).withColumn("_ok", has_month), "arrived-months", arrived=row_count(), written=F.count_if("_ok")
-    )
+    fresh = _with_month(fresh, time).withColumn("_ok", has_month)
+    seen = fresh.agg(row_count().alias("arrived"), F.count_if("_ok").alias("written")).first()
     rejected = seen["arrived"] - seen["written"]
     if rejected:
         bad = fresh.filter(~F.col("_ok")).drop("_ok", "year", "month").withColumn("run", F.lit(run)).drop(*([order] if order else []))
@@ -118,14 +119,15 @@ def upsert_months(arrived: DataFrame, folder: str, key: list[str] | None = ("id"
     fresh = fresh.filter("_ok").drop("_ok")
     if seen["written"]:
         old = fresh.drop("year", "month", *([order] if order else [])).limit(0)
-        if exists(spark, folder):
+        stores = exists(spark, folder)
+        if stores:
             # the touched months, at most twelve a year, prune the stored partitions
             months = [r["m"] for r in fresh.select(F.concat_ws("-", "year", "month").alias("m")).distinct().collect()]
             stored = spark.read.parquet(folder)
             month = F.concat(F.col("year").cast("string"), F.lit("-"), F.lpad(F.col("month").cast("string"), 2, "0"))
             old = stored.filter(month.isin(months)).drop("year", "month")
         merged = _with_month(_newest(old, fresh.drop("year", "month"), key, order), time)
-        staged = cut(merged, "months")
+        staged = cut(merged, "months") if stores else merged
         staged.hint("rebalance", F.col("year"), F.col("month")).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("year", "month").parquet(folder)
@@ -151,14 +153,26 @@ def delete(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def append_raw(arrived: DataFrame, folder: str, time: str, load: str) -> None:
-    """Add new rows, as they came, to the yearly raw table, in a partition of their load.
+def land_raw(arrived: DataFrame, folder: str, year: int, load: str) -> tuple[DataFrame, int]:
+    """Add new rows of a year, as they came, to the raw table, in a partition of their load; returns them as written, and their number.
 
-    ``load`` names what was asked for (the watermark), so a load that is repeated after a failure replaces its own rows.
+    ``load`` names what was asked for (the watermark), so a load that is repeated after a failure replaces its own rows. Columns of
+    the rows that are named like the two partitions give way to them in the raw table, but not in what is returned.
     """
-    arrived.withColumns({"year": F.substring(time, 1, 4), "load": F.lit(load)}).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("year", "load").parquet(folder)
+    parts = {"year": F.lit(str(year)), "load": F.lit(load)}
+    if {c.lower() for c in arrived.columns} & set(parts):
+        arrived, rows = observed_rows(arrived, "arrived")
+        if rows:
+            _raw(arrived.withColumns(parts), folder)
+        return arrived, rows
+    seen = Observation()
+    _raw(arrived.observe(seen, row_count().alias("n")).withColumns(parts), folder)
+    written = f"{folder.rstrip('/')}/year={year}/load={load}"
+    return arrived.sparkSession.read.schema(arrived.schema).parquet(written) if seen.get["n"] else arrived, seen.get["n"]
+
+
+def _raw(rows: DataFrame, folder: str) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "load").parquet(folder)
 
 
 # ------------------------------------------------------------------ state and audit

@@ -183,6 +183,19 @@ def test_ingest_runs(spark, tmp_path):
     assert (audit["r1"].records, audit["r2"].units_no_new_data, audit["r4"].units_failed) == (2, 1, 1)
 
 
+def test_an_ingest_run_copies_its_rows_no_further(spark, tmp_path, monkeypatch):
+    """The raw table is the copy that a run goes on with; only months that were there before are staged."""
+    folders = ingest.Folders(*[str(tmp_path / n) for n in ("raw", "months", "state", "audit")])
+    staged, write = [], landing.cut
+    monkeypatch.setattr(landing, "cut", lambda df, label: staged.append(label) or write(df, label))
+    monkeypatch.setattr(landing, "cut_observed", lambda df, label, **metrics: staged.append(label))
+    first = [(1, "2025-01-05T00:00:00", "a"), (2, "2025-13-05T00:00:00", "b")]
+    assert ingest.ingest_year(source(spark, first), 2025, "cars", "r1", folders) == "success" and staged == []
+    more = [*first, (3, "2025-13-06T00:00:00", "c"), (3, "2025-13-06T00:00:00", "d"), (4, "2025-13-07T00:00:00", "e")]
+    assert ingest.ingest_year(source(spark, more), 2025, "cars", "r2", folders) == "success" and staged == []
+    assert spark.read.parquet(folders.raw).count() == 5 and spark.read.parquet(folders.months).count() == 1
+
+
 def test_upsert_rewrites_only_touched_months(spark, tmp_path):
     folder = str(tmp_path / "months")
     make = lambda rows: spark.createDataFrame(rows, "id long, messung_dat_zeit string, v string")
