@@ -14,6 +14,8 @@ from kerbsight.functions import cleaning
 _RUN = re.compile(r"[^\W_]+")
 _CAPITAL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
 # Bookkeeping columns that a target table fills by itself.
 TARGET_OWN_COLUMNS = ("flow_id", "facade_pk", "created_at", "updated_at")
 # Columns loaded as whole numbers.
@@ -36,6 +38,9 @@ def conform(df: DataFrame, schema: T.StructType, defaults: dict[str, float] | No
         name = field.name
         if name not in df.columns:
             return F.lit(defaults[name]).cast(field.dataType).alias(name) if name in defaults else None
+        # whole numbers need no parsing
+        if isinstance(field.dataType, T.LongType) and isinstance(df.schema[name].dataType, _WHOLE):
+            return F.col(name).cast(field.dataType).alias(name)
         return _converted(name, field.dataType, defaults.get(name)).alias(name)
 
     columns = [fitted(f) for f in schema.fields]

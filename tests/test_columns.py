@@ -256,3 +256,16 @@ def test_overlapping_parts_use_the_union(spark):
     # mirror image of itself about x = 2683015
     x = one(spark, geo.lv95_to_lon(F.lit(2683015.0), F.lit(1247011.0)))
     assert row["x_lon_center"] == pytest.approx(x, abs=1e-6)
+
+
+def test_whole_numbers_are_not_parsed(spark):
+    """Ids that come as whole numbers are taken as they are; as text they are parsed, with the same result."""
+    from kerbsight import schemas
+    from kerbsight.operators.conform import conform
+
+    ids = [0, -7, 2**63 - 1, -(2**63), None]
+    typed = spark.createDataFrame([(i, "08:00:00") for i in ids], "plan_fahrt_id long, fz_ab string")
+    text = typed.withColumn("plan_fahrt_id", F.col("plan_fahrt_id").cast("string"))
+    assert [r[0] for r in conform(typed, schemas.TRANSIT_RUNS).collect()] == [r[0] for r in conform(text, schemas.TRANSIT_RUNS).collect()] == ids
+    plan = lambda df: conform(df, schemas.TRANSIT_RUNS)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "rlike" not in plan(typed) and "rlike" in plan(text)
