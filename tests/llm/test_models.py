@@ -7,6 +7,7 @@ from zlib import crc32
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -280,6 +281,41 @@ def test_decode_needs_one_block_only():
         assert (code.decode(bits, steps, len(part)) == part).all()
 
 
+def test_texts_are_tokenised_together():
+    """Each different word of some texts is made once, however small the memory; slices, nulls and a model without suffixes."""
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(8)
+    words = ["Ab", "don't", "x1y22", "née.", "(a)", "…", "Σας", "<|endoftext|>z", "%%%", "'s", "word,", "rare" * 9] + [prose(rng, 1) + "!" for _ in range(90)]
+    texts = ["left out", None, "", " \n", *("\t".join(rng.choices(words, k=rng.randrange(60))) for _ in range(200)), "\x1ca\x85 b"]
+    tokenizer = Tokenizer.from_file(path)
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts[1:]]
+    given = pa.array([t and t.encode() for t in texts], pa.large_binary()).slice(1)
+    for cached, suffix in ((0, True), (7, False), (1000, True)):
+        lookup, asked = huffman.TextIds(path, cached), []
+        lookup.is_last &= suffix
+        make = lookup.words.make
+        lookup.words.make = lambda new, make=make, asked=asked: asked.extend(new) or make(new)
+        ids, sizes = lookup.of_all(given)
+        assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+        assert len(asked) == len(set(asked)) and len(lookup.words) <= max(1, cached)
+    runs = list(huffman._slices(given, 500))
+    assert [at for at, _ in runs] == [0, *np.cumsum([n for _, n in runs])[:-1]] and sum(n for _, n in runs) == len(given) and len(runs) > 20
+
+
+def test_blocks_are_coded_and_decoded_side_by_side():
+    rng = np.random.default_rng(5)
+    symbols, counts = np.arange(0, 9000, 3), (2.0 ** rng.uniform(0, 40, 3000)).astype(np.int64)
+    code = huffman.Code(symbols, huffman.code_lengths(counts))
+    assert code.length.max() == huffman.LONGEST
+    blocks = [rng.choice(symbols, n) for n in (1, 64, 0, 65, 4000)] + [np.full(300, symbols[counts.argmax()])]
+    done = [code.encode(b) for b in blocks]
+    for ids, (bits, steps) in zip(blocks, done, strict=True):
+        want = "".join(f"{code.aligned[i]:016b}"[: code.length[i]] for i in ids)
+        assert "".join(map(str, np.unpackbits(np.frombuffer(bits, np.uint8)))) == want.ljust(-len(want) // 8 * -8, "0")
+        assert np.frombuffer(steps, "<u2").tolist() == [code.length[ids[k : k + 64]].sum() for k in range(0, len(ids), 64)]
+    got = code.decode_all([b for b, _ in done], [s for _, s in done], [len(b) for b in blocks])
+    assert (got == np.concatenate(blocks)).all()
+
+
 # ------------------------------------------------------------------------------------ chat
 def test_chat(spark):
     rng = random.Random(6)
