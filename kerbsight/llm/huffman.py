@@ -43,6 +43,8 @@ CACHED_WORDS = 800_000
 SLICE_BYTES, SIDE_BY_SIDE = 8 << 20, 16
 #: New pieces that make a line for the tokenizer, and lines that it takes at once.
 LINE, LINES = 64, 256
+#: Words whose ids are put together at once.
+RUN = 1 << 16
 #: Fixed value: how the tokenizers whose ids are those of a text's words in turn cut a normalised text. No piece holds white space.
 _CUT_AT_SPACES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PIECE = regex.compile(_CUT_AT_SPACES)
@@ -165,11 +167,15 @@ class TextIds:
         different = pa.ListArray.from_arrays([0, len(words.dictionary)], words.dictionary)
         found = self.words.of(pc.binary_join(different, pa.scalar(b"\n", pa.large_binary()))[0].as_py().split(b"\n"))
         table = np.frombuffer(b"".join(found), "<u2")
-        word, size = words.indices.to_numpy(), np.fromiter(map(len, found), np.int64, len(found)) // 2
-        sizes = size[word]
-        ends = np.r_[0, np.cumsum(sizes)]
-        place = np.repeat((np.cumsum(size) - size)[word] - ends[:-1], sizes) + np.arange(ends[-1])
-        return table[place], np.diff(ends[split.offsets.to_numpy() - split.offsets[0].as_py()])
+        word, size = words.indices.to_numpy(), np.fromiter(map(len, found), np.int32, len(found)) // 2
+        begin, sizes = np.cumsum(size, dtype=np.int64) - size, size[word]
+        ends = np.zeros(len(word) + 1, np.int64)
+        np.cumsum(sizes, out=ends[1:])
+        ids = np.empty(ends[-1], "<u2")
+        for a in range(0, len(word), RUN):  # a long text needs no more room than its words and ids
+            b = min(a + RUN, len(word))
+            ids[ends[a] : ends[b]] = table[np.repeat(begin[word[a:b]] - ends[a:b], sizes[a:b]) + np.arange(ends[a], ends[b])]
+        return ids, np.diff(ends[split.offsets.to_numpy() - split.offsets[0].as_py()])
 
 
 def cuts_at_spaces(settings: dict) -> bool:

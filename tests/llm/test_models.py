@@ -281,8 +281,9 @@ def test_decode_needs_one_block_only():
         assert (code.decode(bits, steps, len(part)) == part).all()
 
 
-def test_texts_are_tokenised_together():
+def test_texts_are_tokenised_together(monkeypatch):
     """Each different word of some texts is made once, however small the memory; slices, nulls and a model without suffixes."""
+    monkeypatch.setattr(huffman, "RUN", 50)
     path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(8)
     words = ["Ab", "don't", "x1y22", "née.", "(a)", "…", "Σας", "<|endoftext|>z", "%%%", "'s", "word,", "rare" * 9] + [prose(rng, 1) + "!" for _ in range(90)]
     texts = ["left out", None, "", " \n", *("\t".join(rng.choices(words, k=rng.randrange(60))) for _ in range(200)), "\x1ca\x85 b"]
